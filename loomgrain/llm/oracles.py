@@ -79,4 +79,28 @@ with b as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not coalesce(odd, false) as kept from v
 """
 
-SQL = {"op1_line_dedup": OP1, "op2_quality": OP2}
+OP3 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
+"""
+
+OP9 = """
+with p as (
+  select page_id, coalesce(html, '') as b from pages
+), d as (
+  select page_id, strlen(b)::bigint as n, sha1(b) as digest, b from p
+), m as (
+  select *, max(page_id) over (partition by b) as top from d
+)
+select page_id, n as payload_bytes, digest as payload_digest, case when n >= 1000 and top <> page_id then 'revisit' else 'response' end as record_type,
+       case when n >= 1000 and top <> page_id then top end as refers_to from m
+"""
+
+SQL = {"op1_line_dedup": OP1, "op2_quality": OP2, "op3_topk": OP3, "op9_warc": OP9}

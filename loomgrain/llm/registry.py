@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import line_dedup, quality
-from loomgrain.llm import oracles
-from loomgrain.session import ship_package
+from loomgrain.llm import line_dedup, oracles, quality, topk, url_filter, warc
+from loomgrain.session import Scratch, ship_package
+
+URL_RULES = [
+    url_filter.Rule("block", "com", "/en/"),
+    url_filter.Rule("allow", "example.com", "/en/7"),
+    url_filter.Rule("allow", "net", "/de/"),
+    url_filter.Rule("block", "example.net", "/de/8"),
+    url_filter.Rule("block", "org", "/es/"),
+]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,10 +36,48 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "warc").path("archive")
+    warc.write_archive(_read(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    records = warc.read_archive(spark, path)
+    notes = F.regexp_extract(F.decode("payload", "utf-8"), r"pageId: (-?\d+)", 1)
+    records = records.withColumn("note", F.when(F.col("record_type") == "metadata", notes))
+    captures = warc.assemble(records, ["refers_to", "digest", "http_head", "payload_length", "payload_sha1", "note"])
+    told = F.regexp_extract("http_head", r"(?i)content-length: (\d+)", 1).cast("long")
+    first = F.col("record_type") == "response"
+    rows = captures.select(
+        "capture_id",
+        F.try_element_at(F.col("metadata.note"), F.lit(1)).try_cast("long").alias("page_id"),
+        F.when(first, F.col("payload_length")).otherwise(told).alias("payload_bytes"),
+        F.when(first, F.col("payload_sha1")).otherwise(F.substring_index("digest", ":", -1)).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+    target = rows.where("record_type = 'response'").select(
+        F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target_page")
+    )
+    return rows.join(target, "refers_to", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("target_page").alias("refers_to")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_quality": op2_quality,
+        "op3_topk": op3_topk,
+        "op8_url_filter": op8_url_filter,
+        "op9_warc": op9_warc,
     }
 
 
