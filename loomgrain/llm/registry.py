@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgrain.llm import line_dedup, oracles, quality, topk, url_filter, warc
+import public_tokenizers
+
+from loomgrain.llm import bpe, line_dedup, oracles, packing, quality, topk, url_filter, warc
 from loomgrain.session import Scratch, ship_package
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 URL_RULES = [
     url_filter.Rule("block", "com", "/en/"),
     url_filter.Rule("allow", "example.com", "/en/7"),
@@ -41,6 +44,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return bpe.encode_documents(docs, VOCABULARY, bpe.build_lexicon(docs, VOCABULARY), digest=True)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -71,13 +79,22 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_read(spark, sf_dir, "documents"), VOCABULARY)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_quality": op2_quality,
         "op3_topk": op3_topk,
+        "op5_bpe": op5_bpe,
         "op8_url_filter": op8_url_filter,
         "op9_warc": op9_warc,
+        "op10_packing": op10_packing,
     }
 
 
