@@ -16,6 +16,7 @@ invalid UTF-8 into U+FFFD as the public library does; a null list of ids decodes
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import heapq
@@ -32,10 +33,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgrain.llm.frequent import most_frequent
+from loomgrain.session import Scratch
+
 MAX_WORD_BYTES = 64
 #: Fixed value: the public word pattern of this byte-level vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORDS = regex.compile(WORD_PATTERN)
+#: Marks that end a word of letters and are words of their own.
+_CLOSERS = frozenset(".,;:!?")
 _TANGLED = regex.compile(r"\s (?:\s|\Z)")
 
 
@@ -63,10 +69,12 @@ class Vocabulary:
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
         self.first = [vocab[c] for c in symbols]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, m in enumerate(d["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a] << 32 | vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.decimal = [str(i) for i in range(size)]
 
@@ -75,41 +83,39 @@ class Vocabulary:
         ids = [self.first[b] for b in word]
         if len(ids) > 40:
             return self._merge_long(ids)
-        merges = self.merges
-        found = [merges.get(p) for p in zip(ids, ids[1:])]
-        while True:
-            best, at = None, -1
-            for i, m in enumerate(found):
-                if m is not None and (best is None or m < best):
-                    best, at = m, i
-            if best is None:
-                return ids
-            ids[at : at + 2] = [best[1]]
+        get, made = self.ranks.get, self.made
+        none = len(made)
+        found = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        found.append(none)
+        while (best := min(found)) < none:
+            at = found.index(best)
+            ids[at : at + 2] = [made[best]]
             del found[at]
             if at:
-                found[at - 1] = merges.get((ids[at - 1], ids[at]))
-            if at < len(found):
-                found[at] = merges.get((ids[at], ids[at + 1]))
+                found[at - 1] = get(ids[at - 1] << 32 | ids[at], none)
+            if at + 1 < len(ids):
+                found[at] = get(ids[at] << 32 | ids[at + 1], none)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.ranks.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         gone = [False] * n
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if gone[i] or j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], gone[j] = new, True
+            ids[i], gone[j] = self.made[rank], True
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else -1
-                if left >= 0 and right >= 0 and (m := self.merges.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (m[0], left, ids[left], ids[right], m[1]))
+                if right >= 0 and (r := self.ranks.get(ids[left] << 32 | ids[right])) is not None:
+                    heapq.heappush(heap, (r, left, ids[left], ids[right]))
         return [x for x, g in zip(ids, gone, strict=True) if not g]
 
     def decode(self, ids) -> str:
@@ -226,95 +232,86 @@ def mapped(block: bytes | None) -> Lexicon | None:
     return _LEXICONS[key]
 
 
-class Encoder(dict):
-    """Maps a piece of text (a word with what precedes it up to a space) to its ids as little-endian 32-bit words."""
+class Memo(dict):
+    """A bounded memory in two generations: when the young one is full it becomes the old one, which is then asked first."""
 
-    def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None = None, held: int = 400_000):
+    def __init__(self, make, held: int):
         super().__init__()
-        self.vocab, self.lexicon, self.held = vocab, lexicon, held
+        self.make, self.half, self.old = make, held // 2, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.held:
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        out = self[piece] = self.ids_of(piece)
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        self[key] = out
         return out
 
+
+class Encoder:
+    """Texts to ids, as little-endian 32-bit words."""
+
+    def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None = None, held: int = 600_000):
+        self.vocab, self.lexicon = vocab, lexicon
+        self.after_space = Memo(self._spaced, held)
+        self.whole = Memo(self.ids_of, held // 6)
+        if vocab.special:
+            self.specials = {k: struct.pack("<I", v) for k, v in vocab.special.items()}
+
+    def _spaced(self, rest: str) -> bytes:
+        return self.ids_of(" " + rest)
+
     def ids_of(self, piece: str) -> bytes:
+        """The ids of a piece of text that no word crosses the ends of."""
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isalpha():
+            found = [piece]
+        elif word[-1:] in _CLOSERS and word[:-1].isalpha():
+            found = [piece[:-1], piece[-1]]
+        else:
+            found = _WORDS.findall(piece)
         ids: list[int] = []
-        for w in _WORDS.findall(piece):
+        for w in found:
             raw = w.encode()
             known = self.lexicon.get(raw) if self.lexicon and len(raw) <= MAX_WORD_BYTES else None
             ids += self.vocab.merge(raw) if known is None else known
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def learn(self, pieces: set[str]) -> None:
-        """Called with a batch's pieces before they are looked up; this class learns them one by one."""
+        return array.array("I", ids).tobytes()
 
-    def plain(self, text: str) -> list[str]:
-        """The pieces of a text without special tokens."""
-        if _TANGLED.search(text):
-            return _WORDS.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def pieces(self, text: str) -> list[str]:
+    def parts(self, text: str) -> list[tuple[str, list[str]]]:
+        """Stretches of a text: (what stands first, what follows single spaces), or (one word, nothing) where spaces are tangled."""
         split = self.vocab.split
-        if split is None or not any(s in text for s in self.vocab.special):
-            return self.plain(text)
-        out: list[str] = []
-        for part in split.split(text):
-            out += [part] if part in self.vocab.special else self.plain(part)
+        stretches = [text] if split is None or not any(x in text for x in self.vocab.special) else split.split(text)
+        out: list[tuple[str, list[str]]] = []
+        for t in stretches:
+            if t in self.vocab.special or not _TANGLED.search(t):
+                first, *rest = t.split(" ")
+                out.append((first, rest))
+            else:
+                out += [(w, []) for w in _WORDS.findall(t)]
         return out
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.pieces(text)))
-
+    def joined(self, parts: list[tuple[str, list[str]]]) -> bytes:
+        out = []
+        for first, rest in parts:
+            out.append(self.specials[first] if first in self.vocab.special else self.whole[first])
+            out += map(self.after_space.__getitem__, rest)
+        return b"".join(out)
 
-class SpecialEncoder(Encoder):
-    """An encoder that also knows special tokens as pieces."""
-
-    def ids_of(self, piece: str) -> bytes:
-        if piece in self.vocab.special:
-            return struct.pack("<I", self.vocab.special[piece])
-        return super().ids_of(piece)
-
-
-class LibraryEncoder(Encoder):
-    """An encoder whose unseen pieces are encoded by the public tokenizers library, a batch at a time."""
-
-    def __init__(self, vocab: Vocabulary, path: str, held: int = 400_000):
-        from tokenizers import Tokenizer
-
-        super().__init__(vocab, None, held)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > self.held:
-            self.clear()
-            new = list(pieces)
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def ids_of(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def encode(self, text: str) -> bytes:
+        return self.joined(self.parts(text))
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def worker_encoder(path: str, block: bytes | None = None, library: bool = False) -> Encoder:
+def worker_encoder(path: str, block: bytes | None = None) -> Encoder:
     """This worker's encoder; it lives as long as the worker, so later tasks find earlier words."""
-    key = (path, library, hashlib.sha256(block).digest() if block else b"")
+    key = (path, hashlib.sha256(block).digest() if block else b"")
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        vocab = vocabulary(path)
-        _ENCODERS[key] = LibraryEncoder(vocab, path) if library else SpecialEncoder(vocab, mapped(block))
+        _ENCODERS[key] = Encoder(vocabulary(path), mapped(block))
     return _ENCODERS[key]
 
 
@@ -349,13 +346,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def build_lexicon(docs: DataFrame, path: str, max_words: int = 65_536) -> bytes:
     """Compile the most frequent words of the corpus that occur at least twice, as words that follow a space."""
-    top = (
-        word_counts(docs)
-        .where((F.col("n") > 1) & (F.octet_length("word") < MAX_WORD_BYTES))
-        .orderBy(F.desc("n"), "word")
-        .limit(max_words // 2)
-        .collect()
-    )
+    scratch = Scratch(docs.sparkSession, "lexicon")
+    counts = word_counts(docs).where((F.col("n") > 1) & (F.octet_length("word") < MAX_WORD_BYTES))
+    counts = scratch.save(counts, "words")
+    top = most_frequent(counts, F.col("n"), max_words // 2).select("word").collect()
+    scratch.drop(counts)
     vocab = vocabulary(path)
     forms = {form.encode() for r in top for w in (r.word, " " + r.word) for form in _WORDS.findall(w)}
     return compile_lexicon({w: vocab.merge(w) for w in forms})
