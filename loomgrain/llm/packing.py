@@ -12,19 +12,52 @@ repeated pieces with numbers of their own; other columns are not read; an empty
 
 from __future__ import annotations
 
+import functools
+import itertools
 import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.llm.bpe import worker_encoder
+from loomgrain.llm.bpe import WORD_PATTERN, worker_encoder
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class WholeTextIds:
+    """Ids of whole texts by a public library over the same vocabulary; by our own encoder where it can't be used.
+
+    The library takes ranks as ids, which holds if later merges have larger ids, and gives up on very long runs of white
+    space; both cases go to the encoder of ``bpe``, which gives the same ids.
+    """
+
+    def __init__(self, path: str):
+        self.own = worker_encoder(path)
+        vocab = self.own.vocab
+        self.library = None
+        if all(a < b for a, b in itertools.pairwise(vocab.made)) and max(vocab.first) < vocab.made[0]:
+            special = set(vocab.special.values())
+            ranks = {raw: i for i, raw in enumerate(vocab.bytes) if i not in special}
+            self.library = tiktoken.Encoding("own", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens=vocab.special)
+
+    def __call__(self, text: str) -> bytes:
+        if self.library is not None:
+            try:
+                return self.library.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+            except Exception:  # the pattern matcher's own limits; nothing else can be raised for a text
+                pass
+        return self.own.encode(text)
+
+
+@functools.lru_cache(maxsize=2)
+def whole_text_ids(path: str) -> WholeTextIds:
+    return WholeTextIds(path)
+
+
 def lengths_of(n: int, most: int) -> list[int]:
     """n as pieces: most, as often as it fits, then falling powers of two."""
     rest = n % most
@@ -39,16 +72,14 @@ def pack_documents(docs: DataFrame, path: str, max_length: int = 2048, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encoder = worker_encoder(path, library=True)
+        ids_of = whole_text_ids(path)
         made = [0] * max_length.bit_length()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 b = batch.slice(at, 1000)
-                cut = [encoder.pieces(t or "") for t in b.column(1).to_pylist()]
-                encoder.learn({p for c in cut for p in c})
                 rows = []
-                for doc, c in zip(b.column(0).to_pylist(), cut, strict=True):
-                    raw = b"".join(map(encoder.__getitem__, c)) + end
+                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    raw = ids_of(text or "") + end
                     n, start = len(raw) // 4, 0
                     for length in lengths_of(n, max_length):
                         k = length.bit_length() - 1
