@@ -53,7 +53,7 @@ def write_archive(
     min_revisit_bytes: int = 1000,
     date: str = "2024-01-01T00:00:00Z",
     file_bytes: int = 16 << 20,
-    compression: str = "none",
+    compression: str = "gzip",
 ) -> None:
     """Write pages as an archive folder; among equal payloads the row with the largest key is the response."""
     body = F.coalesce(F.col(payload).cast("string"), F.lit(""))
@@ -185,8 +185,10 @@ _ARROW = [
 ]
 
 
-def read_archive(spark: SparkSession, path: str, batch_bytes: int = 8 << 20) -> DataFrame:
-    """One row per record of every file under path."""
+def read_archive(
+    spark: SparkSession, path: str, payload_of: tuple[str, ...] | None = None, batch_bytes: int = 8 << 20
+) -> DataFrame:
+    """One row per record of every file under path; with payload_of, only records of those types bring their payload."""
     names = [x.strip().split(" ")[0] for x in re.sub("map<string,string>", "map", _RECORD).split(",")]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +201,10 @@ def read_archive(spark: SparkSession, path: str, batch_bytes: int = 8 << 20) ->
             for raw in b.column(0):
                 rows, held = [], 0
                 for r in parse_records(_members(raw.as_py())):
+                    if payload_of is not None and r[1] not in payload_of:
+                        r = (*r[:-1], None)
                     rows.append(r)
-                    held += r[9] + 500
+                    held += len(r[-1] or b"") + 500
                     if held > batch_bytes:
                         yield batch(rows)
                         rows, held = [], 0
