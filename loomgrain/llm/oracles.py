@@ -91,6 +91,29 @@ select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
 """
 
+OP6 = """
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\x0C\r]+'), lambda x: x <> '') as w
+  from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i+1]) end) as s from w
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), c as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+), e as (
+  select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+), l as (
+  select a, b from e union select b, a from e
+), r(doc_id, q) as (
+  select doc_id, doc_id from documents union select r.doc_id, l.b from r join l on l.a = r.q
+), m as (
+  select doc_id, min(q) as component_id from r group by doc_id
+)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id, d.doc_id = m.component_id as kept
+from documents d join m on m.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""
+
 OP9 = """
 with p as (
   select page_id, coalesce(html, '') as b from pages
@@ -103,4 +126,4 @@ select page_id, n as payload_bytes, digest as payload_digest, case when n >= 100
        case when n >= 1000 and top <> page_id then top end as refers_to from m
 """
 
-SQL = {"op1_line_dedup": OP1, "op2_quality": OP2, "op3_topk": OP3, "op9_warc": OP9}
+SQL = {"op1_line_dedup": OP1, "op2_quality": OP2, "op3_topk": OP3, "op6_near_dup": OP6, "op9_warc": OP9}

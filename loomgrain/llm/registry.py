@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loomgrain.llm import bpe, line_dedup, oracles, packing, quality, topk, url_filter, warc
+from loomgrain.llm import bpe, line_dedup, near_dup, oracles, packing, quality, topk, toxicity, url_filter, warc
 from loomgrain.session import Scratch, ship_package
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,23 +44,37 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model, carry=["doc_id"])
+    return scored.select("doc_id", (toxicity.training_fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, VOCABULARY, bpe.build_lexicon(docs, VOCABULARY), digest=True)
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_read(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark, "warc").path("archive")
+    scratch = Scratch(spark, "warc")
+    path = scratch.path("archive")
     warc.write_archive(_read(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    records = warc.read_archive(spark, path)
+    records = warc.read_archive(spark, path, payload_of=("metadata",))
     notes = F.regexp_extract(F.decode("payload", "utf-8"), r"pageId: (-?\d+)", 1)
     records = records.withColumn("note", F.when(F.col("record_type") == "metadata", notes))
-    captures = warc.assemble(records, ["refers_to", "digest", "http_head", "payload_length", "payload_sha1", "note"])
+    kept = ["refers_to", "digest", "http_head", "payload_length", "payload_sha1", "note"]
+    records = scratch.save(records.select("record_id", "record_type", "concurrent_to", *kept), "records")
+    captures = warc.assemble(records)
     told = F.regexp_extract("http_head", r"(?i)content-length: (\d+)", 1).cast("long")
     first = F.col("record_type") == "response"
     rows = captures.select(
@@ -91,7 +105,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_quality": op2_quality,
         "op3_topk": op3_topk,
+        "op4_toxicity": op4_toxicity,
         "op5_bpe": op5_bpe,
+        "op6_near_dup": op6_near_dup,
         "op8_url_filter": op8_url_filter,
         "op9_warc": op9_warc,
         "op10_packing": op10_packing,

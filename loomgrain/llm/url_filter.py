@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgrain.llm.frequent import most_frequent
+from loomgrain.session import Scratch
+
 
 class Rule(NamedTuple):
     verdict: str
@@ -173,8 +176,11 @@ def filter_urls(
     text = F.concat("host", "path")
     decided = known.where("verdict is not null").select(text.alias("text"), "verdict")
     held = F.pmod(F.crc32("text"), F.lit(5)) == 0
-    kept = gram_counts(decided.where(~held), order).orderBy(F.desc(F.col("accepted") + F.col("rejected")), "gram").limit(max_grams)
-    model = UrlModel([tuple(r) for r in kept.collect()], order)
+    scratch = Scratch(spark, "urls")
+    counts = scratch.save(gram_counts(decided.where(~held), order), "grams")
+    kept = most_frequent(counts, F.col("accepted") + F.col("rejected"), max_grams)
+    model = UrlModel(sorted(tuple(r) for r in kept.collect()), order)
+    scratch.drop(counts)
     sample = decided.where(held).distinct().orderBy(F.xxhash64("text"), "text").limit(calibration_rows).collect()
     cut = _threshold([(model.score(r.text), r.verdict) for r in sample]) if model.trained() else math.inf
     model.memo.clear()
