@@ -114,6 +114,28 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id, d.doc_i
 from documents d join m on m.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
 """
 
+OP7 = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as x, strlen(coalesce(text, ''))::bigint as n from documents
+), p as (
+  select doc_id, unnest(range(0, n - 49)) as i, x from d where n >= 50
+), g as (
+  select doc_id, i, min(doc_id) over (partition by substr(x, 2 * i + 1, 100)) as first from p
+), s as (
+  select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 50 then 0 else 1 end as new from g where first < doc_id
+), r as (
+  select doc_id, k, min(i) as lo, max(i) + 50 as hi from (select doc_id, i, sum(new) over (partition by doc_id order by i) as k from s) group by doc_id, k
+), c as (
+  select doc_id, lo, hi, lag(hi, 1, 0) over (partition by doc_id order by lo) as before from r
+), k as (
+  select c.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (lo - before)), '' order by lo) as x, max(hi) as hi, sum(hi - lo)::bigint as gone, count(*) as spans
+  from c join d on c.doc_id = d.doc_id group by c.doc_id
+)
+select d.doc_id, d.n as n_bytes, coalesce(k.gone, 0)::bigint as n_removed, coalesce(k.spans, 0)::bigint as n_spans,
+       sha256(unhex(case when k.doc_id is null then d.x else k.x || substr(d.x, 2 * k.hi + 1) end)) as kept_sha256
+from d left join k on d.doc_id = k.doc_id
+"""
+
 OP9 = """
 with p as (
   select page_id, coalesce(html, '') as b from pages
@@ -126,4 +148,4 @@ select page_id, n as payload_bytes, digest as payload_digest, case when n >= 100
        case when n >= 1000 and top <> page_id then top end as refers_to from m
 """
 
-SQL = {"op1_line_dedup": OP1, "op2_quality": OP2, "op3_topk": OP3, "op6_near_dup": OP6, "op9_warc": OP9}
+SQL = {"op1_line_dedup": OP1, "op2_quality": OP2, "op3_topk": OP3, "op6_near_dup": OP6, "op7_suffix_dedup": OP7, "op9_warc": OP9}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from loomgrain.llm import bpe, line_dedup, near_dup, oracles, packing, quality, topk, toxicity, url_filter, warc
+from loomgrain.llm import bpe, line_dedup, near_dup, oracles, packing, quality, suffix_dedup, topk, toxicity, url_filter, warc
 from loomgrain.session import Scratch, ship_package
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,17 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -108,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_bpe": op5_bpe,
         "op6_near_dup": op6_near_dup,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_url_filter": op8_url_filter,
         "op9_warc": op9_warc,
         "op10_packing": op10_packing,
