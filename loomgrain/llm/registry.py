@@ -62,12 +62,13 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
+    left = F.coalesce("kept", F.lit("").cast("binary"))
     return out.select(
         "doc_id",
         "n_bytes",
-        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.col("n_bytes") - F.octet_length(left)).alias("n_removed"),
         (F.size("spans") / 2).cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2(left, 256).alias("kept_sha256"),
     )
 
 

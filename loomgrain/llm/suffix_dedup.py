@@ -7,6 +7,7 @@ doc_id goes; matches stay inside documents and are judged on the input.
    q is half the length). Equal strings have equal anchors, so strings are only compared with those of one anchor.
    Documents are dealt into chunks of a few MB; a chunk reports each of its distinct anchors once, however often it
    has it, and learns which of them occur in two documents.
+   Documents that are exact copies of one with a smaller doc_id go whole and take no further part.
 2. Buckets. For shared anchors a chunk sends its distinct stretches, a stretch being the bytes of consecutive strings with
    the same anchor, each with the smallest doc_id that has it. Stretches of one anchor meet in one task. There the
    strings' positions are put into buckets of equal q0-grams; a bucket is refined by sorting its positions on the bucket
@@ -24,13 +25,13 @@ result. Anchors are compared by 64-bit hash (which only decides who meets), stri
 
 from __future__ import annotations
 
-import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgrain.session import Scratch
@@ -175,225 +176,293 @@ def least_documents(stretches: list[bytes], docs: np.ndarray, length: int) -> tu
 
 
 def _texts(pdf: pd.DataFrame) -> list[bytes]:
-    return [b"" if t is None else t.encode() for t in pdf["text"]]
+    """UTF-8 of each row's text; exact copies of a smaller document are marked and count as empty here."""
+    return [b"" if t is None or c else t.encode() for t, c in zip(pdf["text"], pdf["copy"], strict=True)]
+
+
+def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A chunk's documents, with the rows that mark copies taken into ``copy``."""
+    marks = pdf["copy"].to_numpy(bool)
+    docs = pdf[~marks].copy()
+    docs["copy"] = docs["doc_id"].isin(pdf.loc[marks, "doc_id"]).to_numpy()
+    return docs
 
 
 def _report(length: int, q: int) -> Callable:
     """Chunk to (anchor, many): its distinct anchors, and whether two of its documents have it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = _gathered(pdf)
         ids = pdf["doc_id"].to_numpy(np.int64)
-        anchors, owners = [], []
+        anchors, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for a, s in _slices(_texts(pdf), length, q):
             anchors.append(s.anchor)
             owners.append(ids[a + s.row])
-        h, d = np.concatenate([np.zeros(0, np.uint64), *anchors]), np.concatenate([np.zeros(0, np.int64), *owners])
-        o = np.lexsort((d, h))
+        h, d = np.concatenate(anchors), np.concatenate(owners)
+        o = np.argsort(h, kind="stable")
         h, d = h[o], d[o]
-        first = np.ones(len(h), bool)
-        first[1:] = h[1:] != h[:-1]
-        at = np.nonzero(first)[0]
-        many = d[at] != d[np.append(at[1:], len(d)) - 1] if len(at) else np.zeros(0, bool)
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "anchor": h[at].view(np.int64), "many": many})
+        at = np.nonzero(np.append(True, h[1:] != h[:-1]))[0] if len(h) else np.zeros(0, np.int64)
+        many = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
+        chunk = pdf["chunk"].iloc[0] if len(pdf) else 0
+        return pd.DataFrame({"chunk": chunk, "anchor": h[at].view(np.int64), "many": many})
 
     return run
 
 
+def _is_in(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(keys), bool)
+    i = np.searchsorted(ordered, keys)
+    i[i == len(ordered)] = 0
+    return ordered[i] == keys
+
+
 def _send(length: int, q: int) -> Callable:
-    """Chunk and its shared anchors to (anchor, content, bytes, doc): its distinct stretches of shared anchors."""
+    """Chunk and its shared anchors to (anchor, bytes, doc): its distinct stretches of shared anchors."""
 
-    def run(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(docs) or not len(known):
-            return pd.DataFrame({"chunk": [], "anchor": [], "content": [], "bytes": [], "doc": []})
+    def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        docs = _gathered(pdf)
         ids, shared = docs["doc_id"].to_numpy(np.int64), np.sort(known["anchor"].to_numpy(np.int64).view(np.uint64))
-        found: list[tuple] = []
+        h, c, d = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        parts: list[bytes] = []
         for a, s in _slices(_texts(docs), length, q):
-            i = np.searchsorted(shared, s.anchor)
-            i[i == len(shared)] = 0
-            hit = np.nonzero(shared[i] == s.anchor)[0]
-            doc = ids[a + s.row[hit]]
-            o = np.lexsort((doc, s.content[hit], s.anchor[hit]))
-            hit, doc = hit[o], doc[o]
-            new = np.ones(len(hit), bool)
-            new[1:] = (s.anchor[hit[1:]] != s.anchor[hit[:-1]]) | (s.content[hit[1:]] != s.content[hit[:-1]])
-            hit, doc = hit[new], doc[new]
+            hit = np.nonzero(_is_in(s.anchor, shared))[0]
+            h.append(s.anchor[hit])
+            c.append(s.content[hit])
+            d.append(ids[a + s.row[hit]])
             raw = s.data.tobytes()
-            parts = [raw[x:y] for x, y in zip(s.lo[hit].tolist(), s.hi[hit].tolist(), strict=True)]
-            found.append((s.anchor[hit], s.content[hit], doc, parts))
-        h = np.concatenate([f[0] for f in found])
-        c = np.concatenate([f[1] for f in found])
-        d = np.concatenate([f[2] for f in found])
-        parts = [p for f in found for p in f[3]]
+            parts += [raw[x:y] for x, y in zip(s.lo[hit].tolist(), s.hi[hit].tolist(), strict=True)]
+        h, c, d = np.concatenate(h), np.concatenate(c), np.concatenate(d)
         o = np.lexsort((d, c, h))
         new = np.ones(len(o), bool)
         new[1:] = (h[o[1:]] != h[o[:-1]]) | (c[o[1:]] != c[o[:-1]])
         o = o[new]
-        return pd.DataFrame(
-            {
-                "chunk": docs["chunk"].iloc[0],
-                "anchor": h[o].view(np.int64),
-                "content": c[o].view(np.int64),
-                "bytes": [parts[i] for i in o],
-                "doc": d[o],
-            }
-        )
+        return pd.DataFrame({"anchor": h[o].view(np.int64), "bytes": [parts[i] for i in o.tolist()], "doc": d[o]})
 
     return run
 
 
+def _contents(stretches: list[bytes]) -> np.ndarray:
+    """The content hash of each stretch, as Stretches has it."""
+    sizes = np.array([len(x) for x in stretches], np.int64)
+    ends = np.cumsum(sizes)
+    sums = _HASHER.sums(np.frombuffer(b"".join(stretches), np.uint8))
+    return _HASHER.ranges(sums, ends - sizes, ends) ^ sizes.astype(np.uint64)
+
+
 def _answer(length: int, most: int = 2 << 20) -> Callable:
-    """Rows of stretches, those of one anchor together, to answers (chunk, anchor, content, least).
+    """Rows of stretches, those of one anchor together, to answers (doc, anchor, content, least).
 
     ``least`` has the smallest doc_id for each string of the stretch, or one value if it is the same for all; stretches
-    whose own doc_id is the smallest for all of their strings get no answer.
+    whose own doc_id is the smallest for all of their strings get no answer. Where all stretches of an anchor are the same
+    there is nothing to refine.
     """
 
-    def answers(rows: list[tuple]) -> pa.RecordBatch:
-        docs = np.array([r[4] for r in rows], np.int64)
-        owner, least = least_documents([r[3] for r in rows], docs, length)
-        changed = np.zeros(len(rows), bool)
-        changed[owner[least < docs[owner]]] = True
-        bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
-        out = []
-        for i in np.nonzero(changed)[0].tolist():
-            x = least[bounds[i] : bounds[i + 1]]
-            out.append((*rows[i][:3], (x[:1] if (x == x[0]).all() else x).tobytes()))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        columns = zip(*out, strict=True) if out else [[]] * 4
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "anchor", "content", "least"]
-        )
+    def answers(anchors: np.ndarray, parts: list[bytes], docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        contents = _contents(parts)
+        group = np.cumsum(np.append(True, anchors[1:] != anchors[:-1])) - 1
+        starts = np.nonzero(np.append(True, anchors[1:] != anchors[:-1]))[0]
+        uniform = np.minimum.reduceat(contents, starts) == np.maximum.reduceat(contents, starts)
+        least = np.minimum.reduceat(docs, starts)[group]
+        plain = np.nonzero(uniform[group] & (least < docs))[0]
+        out = [(plain, [x.tobytes() for x in least[plain]])]
+        mixed = np.nonzero(~uniform[group])[0]
+        a = 0
+        while a < len(mixed):
+            # whole groups, a bounded number of bytes at a time
+            b, held = a, 0
+            while b < len(mixed) and (held <= most or group[mixed[b]] == group[mixed[b - 1]]):
+                held += len(parts[mixed[b]])
+                b += 1
+            rows = mixed[a:b]
+            owner, found = least_documents([parts[i] for i in rows.tolist()], docs[rows], length)
+            bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
+            low, high = np.minimum.reduceat(found, bounds[:-1]), np.maximum.reduceat(found, bounds[:-1])
+            told = np.nonzero(low < docs[rows])[0]
+            values = [
+                (found[bounds[i] : bounds[i] + 1] if low[i] == high[i] else found[bounds[i] : bounds[i + 1]]).tobytes()
+                for i in told.tolist()
+            ]
+            out.append((rows[told], values))
+            a = b
+        for rows, values in out:
+            arrays = [pa.array(docs[rows]), pa.array(anchors[rows]), pa.array(contents[rows].view(np.int64)), pa.array(values, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "anchor", "content", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        held = 0
+        anchors, parts, docs = np.zeros(0, np.int64), [], np.zeros(0, np.int64)
         for b in batches:
-            for r in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                if held > most and r[1] != rows[-1][1]:
-                    yield answers(rows)
-                    rows, held = [], 0
-                rows.append(r)
-                held += len(r[3])
-        if rows:
-            yield answers(rows)
+            if not b.num_rows:
+                continue
+            anchors = np.concatenate([anchors, b.column(0).to_numpy()])
+            parts += b.column(1).to_pylist()
+            docs = np.concatenate([docs, b.column(2).to_numpy()])
+            cut = int(np.searchsorted(anchors, anchors[-1]))
+            if cut > 30_000:
+                yield from answers(anchors[:cut], parts[:cut], docs[:cut])
+                anchors, parts, docs = anchors[cut:], parts[cut:], docs[cut:]
+        if len(anchors):
+            yield from answers(anchors, parts, docs)
 
     return run
 
 
-def _mark(length: int, q: int) -> Callable:
-    """Chunk and its answers to (doc_id, n_bytes, spans, kept): the bytes left and the removed runs of every row."""
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """gone, widened to all bytes of every UTF-8 character that it touches."""
+    begins = (data & 0xC0) != 0x80
+    any_gone = np.maximum.reduceat(gone, np.nonzero(begins)[0])
+    return any_gone[np.cumsum(begins) - 1]
 
-    def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+
+def _mark(length: int, q: int, carry: list[str], whole: bool) -> Callable:
+    """Chunk and its answers to (doc_id, carried columns, n_bytes, spans, kept): the removed runs of every row, the bytes left."""
+
+    def run(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        docs = _gathered(pdf)
         if not len(docs):
-            return pd.DataFrame({"doc_id": [], "n_bytes": [], "spans": [], "kept": []})
-        texts, ids = _texts(docs), docs["doc_id"].to_numpy(np.int64)
-        cover = [None] * len(texts)
-        answers: dict[tuple[int, int], np.ndarray] = {
-            (a, c): np.frombuffer(x, np.int64)
-            for a, c, x in zip(told["anchor"].tolist(), told["content"].tolist(), told["least"], strict=True)
-        }
-        anchors = np.unique(told["anchor"].to_numpy(np.int64)) if len(told) else np.zeros(0, np.int64)
-        jobs: list[tuple] = []
+            return pd.DataFrame({c: [] for c in ["doc_id", *carry, "n_bytes", "spans", "kept"]})
+        ids, texts = docs["doc_id"].to_numpy(np.int64), _texts(docs)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        edges = np.zeros(int(starts[-1]) + 1, np.int32)
+        h, c, lo, hi, doc = ([np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
         for a, s in _slices(texts, length, q):
-            h, c = s.anchor.view(np.int64), s.content.view(np.int64)
-            # a stretch that the chunk has twice counts even where its first document in the chunk got no answer
-            jobs.append((a, h, c, s.lo, s.hi, s.row, s.starts, s.shift))
-        if jobs:
-            h = np.concatenate([j[1] for j in jobs])
-            c = np.concatenate([j[2] for j in jobs])
-            d = np.concatenate([ids[j[0] + j[5]] for j in jobs])
-            o = np.lexsort((d, c, h))
-            same = np.zeros(len(o), bool)
-            same[1:] = (h[o[1:]] == h[o[:-1]]) & (c[o[1:]] == c[o[:-1]])
-            start = np.maximum.accumulate(np.where(~same, np.arange(len(o)), 0))
-            least = np.empty(len(o), np.int64)
-            least[o] = d[o[start]]
-            i = np.searchsorted(anchors, h)
-            i[i == len(anchors)] = 0
-            maybe = (anchors[i] == h) if len(anchors) else np.zeros(len(h), bool)
-            at = 0
-            for a, jh, jc, lo, hi, row, starts, shift in jobs:
-                n = len(jh)
-                look = np.nonzero(maybe[at : at + n] | (least[at : at + n] < d[at : at + n]))[0]
-                for k in look.tolist():
-                    doc = a + int(row[k])
-                    x = answers.get((int(jh[k]), int(jc[k])))
-                    if x is None:
-                        gone = bool(least[at + k] < ids[doc])
-                        if not gone:
-                            continue
-                        runs = [(0, int(hi[k] - lo[k]))]
-                    elif len(x) == 1:
-                        if x[0] >= ids[doc]:
-                            continue
-                        runs = [(0, int(hi[k] - lo[k]))]
-                    else:
-                        less = np.nonzero(x < ids[doc])[0]
-                        if not len(less):
-                            continue
-                        cut = np.nonzero(np.diff(less) > 1)[0]
-                        begin, end = less[np.append(0, cut + 1)], less[np.append(cut, len(less) - 1)]
-                        runs = [(int(p), int(e) + length) for p, e in zip(begin, end, strict=True)]
-                    if cover[doc] is None:
-                        cover[doc] = np.zeros(len(texts[doc]) + 1, np.int32)
-                    base = int(lo[k] - starts[row[k]]) + shift
-                    for p, e in runs:
-                        cover[doc][base + p] += 1
-                        cover[doc][base + e] -= 1
-                at += n
-        spans, kept = [], []
-        for t, cv in zip(texts, cover, strict=True):
-            if cv is None:
-                spans.append([])
-                kept.append(t)
-                continue
-            gone = np.cumsum(cv[:-1]) > 0
-            edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-            spans.append(np.column_stack([np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]]).ravel().tolist())
-            kept.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
-        return pd.DataFrame({"doc_id": ids, "n_bytes": [len(t) for t in texts], "spans": spans, "kept": kept, "row": docs["row"]})
+            h.append(s.anchor)
+            c.append(s.content)
+            lo.append(s.lo + s.shift + starts[a])
+            hi.append(s.hi + s.shift + starts[a])
+            doc.append(a + s.row)
+        h, c, lo, hi, doc = (np.concatenate(x) for x in (h, c, lo, hi, doc))
+        # what the chunk itself knows: the smallest of its documents that has the same stretch
+        key = h * np.uint64(0xD6E8FEB86659FD93) + c
+        o = np.lexsort((ids[doc], key))
+        new = np.append(True, key[o[1:]] != key[o[:-1]]) if len(o) else np.zeros(0, bool)
+        least = np.empty(len(o), np.int64)
+        least[o] = ids[doc[o]][np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))] if len(o) else 0
+        ta, tc = (told[n].to_numpy(np.int64).view(np.uint64) for n in ("anchor", "content"))
+        tk = ta * np.uint64(0xD6E8FEB86659FD93) + tc
+        to = np.argsort(tk)
+        tk, tv = tk[to], told["least"].to_numpy()[to]
+        single = np.array([len(x) == 8 for x in tv], bool)
+        value = np.frombuffer(b"".join(x[:8] for x in tv), np.int64) if len(tv) else np.zeros(0, np.int64)
+        at = np.searchsorted(tk, key)
+        at[at == len(tk)] = 0
+        answered = tk[at] == key if len(tk) else np.zeros(len(key), bool)
+        one = answered & single[at] if len(tk) else answered
+        least[one] = np.minimum(least[one], value[at[one]])
+        gone = least < ids[doc]
+        for k in np.nonzero(answered & ~one & ~gone)[0].tolist():
+            less = np.nonzero(np.frombuffer(tv[at[k]], np.int64) < ids[doc[k]])[0]
+            if len(less):
+                cut = np.nonzero(np.diff(less) > 1)[0]
+                edges[lo[k] + less[np.append(0, cut + 1)]] += 1
+                np.add.at(edges, lo[k] + less[np.append(cut, len(less) - 1)] + length, -1)
+        np.add.at(edges, lo[gone], 1)
+        np.add.at(edges, hi[gone], -1)
+        gone = np.cumsum(edges[:-1]) > 0
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        if whole and len(data):
+            gone = _whole_characters(data, gone)
+        # a run ends with its document
+        step = np.zeros(len(data) + 1, np.int8)
+        step[: len(data)] = gone
+        border = np.zeros(len(data) + 1, bool)
+        border[starts] = True
+        before = np.append(0, step[:-1])
+        opens = np.nonzero((step == 1) & ((before == 0) | border))[0]
+        closes = np.nonzero((before == 1) & ((step == 0) | border))[0]
+        first = np.searchsorted(opens, starts)
+        spans = [
+            np.column_stack([opens[a:b], closes[a:b]]).ravel() - s if b > a else np.zeros(0, np.int64)
+            for a, b, s in zip(first[:-1].tolist(), first[1:].tolist(), starts[:-1].tolist(), strict=True)
+        ]
+        left = data[~gone].tobytes()
+        cuts = np.concatenate([[0], np.cumsum(~gone)])[starts].tolist()
+        kept = [left[a:b] for a, b in itertools.pairwise(cuts)]
+        n_bytes = sizes.copy()
+        for i in np.nonzero(docs["copy"].to_numpy())[0].tolist():
+            n_bytes[i] = len(docs["text"].iloc[i].encode())
+            spans[i], kept[i] = np.array([0, n_bytes[i]]), b""
+        kept = [None if t is None else k for t, k in zip(docs["text"], kept, strict=True)]
+        carried = {n: docs[n].to_numpy() for n in carry}
+        return pd.DataFrame({"doc_id": ids, **carried, "n_bytes": n_bytes, "spans": spans, "kept": kept})
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, chunk_bytes: int = 4 << 20, key: str | None = None) -> DataFrame:
-    """doc_id, n_bytes, spans (begin and end of each removed run, flat), kept (the bytes left) of each row.
+def exact_copies(known: DataFrame, length: int) -> DataFrame:
+    """doc_id of the documents whose whole text, at least ``length`` bytes, is also that of a smaller doc_id."""
+    narrow = known.where(F.octet_length("text") >= length).select(
+        "doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2"), F.octet_length("text").alias("n")
+    )
+    first = narrow.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return narrow.join(first, ["h1", "h2", "n"]).where("doc_id > first").select("doc_id").distinct()
+
+
+def remove_repeats(
+    docs: DataFrame,
+    length: int = 50,
+    chunk_bytes: int = 4 << 20,
+    carry: list[str] | None = None,
+    whole_characters: bool = False,
+) -> DataFrame:
+    """doc_id, n_bytes, spans (begin and end of each removed run, flat), kept (the bytes left; null for null text) of each row.
 
-    With key, a column that identifies rows, its values come back as ``row``.
+    carry names string columns to keep. With whole_characters a character goes if any byte of it does, so that kept is UTF-8.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
+    carry = list(carry or [])
     q = length // 2
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     chunks = max(1, -(-int(total) // chunk_bytes))
-    row = F.lit(0).cast("long") if key is None else F.col(key).cast("long")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("string").alias(c) for c in carry])
     known = base.where("doc_id is not null")
-    known = known.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
-    reported = known.groupBy("chunk").applyInPandas(_report(length, q), "chunk long, anchor long, many boolean")
-    # an anchor has at most one row a chunk (or few, if the input splits one), so the window needs no salt
-    w = Window.partitionBy("anchor")
-    seen = reported.withColumns({"n": F.count(F.lit(1)).over(w), "any": F.max("many").over(w)})
-    shared = scratch.save(seen.where((F.col("n") > 1) | F.col("any")).select("chunk", "anchor"), "shared")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
+    copies = scratch.save(exact_copies(known, length), "copies")
+    nothing = F.lit(None).cast("string")
+
+    def dealt(names: list[str]) -> DataFrame:
+        docs = known.select(chunk, "doc_id", "text", *names, F.lit(False).alias("copy"))
+        marks = copies.select(chunk, "doc_id", nothing.alias("text"), *[nothing.alias(c) for c in names], F.lit(True).alias("copy"))
+        return docs.unionByName(marks)
+
+    shared = _shared_anchors(dealt([]), length, q, scratch)
     scratch.release()
-    asked = (
-        known.groupBy("chunk")
-        .cogroup(shared.groupBy("chunk"))
-        .applyInPandas(_send(length, q), "chunk long, anchor long, content long, bytes binary, doc long")
-    )
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // (16 << 20)))
-    met = asked.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    told = scratch.save(met.mapInArrow(_answer(length), "chunk long, anchor long, content long, least binary"), "told")
+    told = _told(dealt([]), shared, length, q, int(total), chunk, scratch)
     scratch.drop(shared)
     scratch.release()
+    kept = "".join(f"{c} string, " for c in carry)
     marked = (
-        known.groupBy("chunk")
+        dealt(carry)
+        .groupBy("chunk")
         .cogroup(told.groupBy("chunk"))
-        .applyInPandas(_mark(length, q), "doc_id long, n_bytes long, spans array<int>, kept binary, row long")
+        .applyInPandas(_mark(length, q, carry, whole_characters), f"doc_id long, {kept}n_bytes long, spans array<long>, kept binary")
     )
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    raw = F.col("text").cast("binary")
     alone = base.where("doc_id is null").select(
-        "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), F.array().cast("array<int>").alias("spans"), raw.alias("kept"), "row"
+        "doc_id",
+        *carry,
+        F.coalesce(F.octet_length(raw), F.lit(0)).cast("long").alias("n_bytes"),
+        F.array().cast("array<long>").alias("spans"),
+        raw.alias("kept"),
     )
-    out = marked.unionByName(alone)
-    return out.drop("row") if key is None else out
+    return marked.unionByName(alone)
+
+
+def _shared_anchors(dealt: DataFrame, length: int, q: int, scratch: Scratch) -> DataFrame:
+    """(chunk, anchor) of every anchor that two documents have."""
+    reported = dealt.groupBy("chunk").applyInPandas(_report(length, q), "chunk long, anchor long, many boolean")
+    # an anchor has one row a chunk, so that the window holds few rows however many documents have it
+    w = Window.partitionBy("anchor")
+    seen = reported.withColumns({"n": F.count(F.lit(1)).over(w), "any": F.max("many").over(w)})
+    return scratch.save(seen.where((F.col("n") > 1) | F.col("any")).select("chunk", "anchor"), "shared")
+
+
+def _told(dealt: DataFrame, shared: DataFrame, length: int, q: int, total: int, chunk: Column, scratch: Scratch) -> DataFrame:
+    """(chunk, anchor, content, least): the answers for every chunk."""
+    asked = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_send(length, q), "anchor long, bytes binary, doc long")
+    parts = max(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 << 20)))
+    met = asked.repartition(parts, "anchor").sortWithinPartitions("anchor")
+    answers = met.mapInArrow(_answer(length), "doc_id long, anchor long, content long, least binary")
+    return scratch.save(answers.select(chunk, "anchor", "content", "least"), "told")
