@@ -9,8 +9,8 @@ length-normalised scores: the mean per character over the whole text, and the hi
 logistic curve over those, fitted on a fold the counts never saw, gives the score from 0 to 1.
 
 Counting is partial in each task (distinct words, then their n-grams), then one sum; the model keeps at most
-``max_grams`` n-grams of the top order (most frequent first), which bounds what is collected and broadcast. At most
-``calibration_rows`` rows fit the curve; both bounds are parameters.
+``max_grams`` n-grams of the top order (most frequent first), which bounds what is collected and broadcast. About
+``calibration_rows`` rows, drawn by hash, fit the curve; both bounds are parameters.
 
 Defined results: null and empty texts have no words and get the score of all-zero features (never missing);
 without training rows of both classes every score is 0.5 less a hair, so nothing is predicted toxic; repeated rows
@@ -273,6 +273,7 @@ def fit(
     window: int = 4,
     max_grams: int = 1_000_000,
     calibration_rows: int = 20_000,
+    max_broadcast_labels: int = 4_000_000,
     folds: int = 5,
 ) -> ToxicityModel:
     """Learn from labelled rows whose fold is not 0: counts from folds 1 to folds - 2, the curve from the last."""
@@ -281,10 +282,14 @@ def fit(
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    rows = docs.select("doc_id", "text").join(told, "doc_id").withColumn("fold", training_fold(F.col("doc_id"), folds))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    told = scratch.save(told, "labels")
+    # labels are narrow: up to a checked size they are broadcast, else both sides are shuffled
+    near = F.broadcast(told) if told.count() <= max_broadcast_labels else told
+    rows = docs.select("doc_id", "text").join(near, "doc_id").withColumn("fold", training_fold(F.col("doc_id"), folds))
+    rows = scratch.save(rows, "training")
     counted = rows.where(F.col("fold") < folds - 1)
     alphabet = Alphabet(_letters(counted))
-    scratch = Scratch(docs.sparkSession, "toxicity")
     counts = scratch.save(gram_counts(counted, alphabet, order), "grams")
     table = most_frequent(counts, F.col("toxic") + F.col("ordinary"), max_grams).toPandas().sort_values("key")
     scratch.drop(counts)
@@ -292,7 +297,9 @@ def fit(
         return ToxicityModel(None, None, window)
     model = KneserNey(alphabet, table.key.to_numpy(np.int64), table.toxic.to_numpy(), table.ordinary.to_numpy(), order)
     shared = docs.sparkSession.sparkContext.broadcast(ToxicityModel(model, None, window))
-    sample = rows.where(F.col("fold") == folds - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
+    last = rows.where(F.col("fold") == folds - 1)
+    share = min(1.0, calibration_rows / max(1, last.count()))
+    sample = last.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -300,6 +307,7 @@ def fit(
             yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(3)] + [b.column(1)], names=["a", "b", "c", "toxic"])
 
     seen = sample.select("text", "toxic").mapInArrow(describe, "a double, b double, c double, toxic int").toPandas()
+    scratch.drop(rows)
     y = seen.toxic.to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(model, np.array([-0.5, 0.0, 0.1, 0.1]), window)
