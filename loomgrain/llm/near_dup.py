@@ -228,6 +228,82 @@ def _relabel(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where("ca <> cb")
 
 
+def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b, element, at, delta, nb) for pairs (a, b): a prefix of how b's set differs from that of its reference a.
+
+    With s the sum of two set sizes and k = (1 - p) / (1 + p), sets have similarity p or more just if their symmetric
+    difference is at most s k. Two members of one reference with differences X and Y to it therefore need
+    |X & Y| >= (|X| + |Y| - s k) / 2, and so share an element of their first |X| - t + 1 and |Y| - t + 1 elements in
+    any common order. Elements that b adds come first: unlike those it lacks, few others have them.
+    """
+    texts = facts.select("rep", "text")
+    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
+    p = percent / 100
+    k = (1 - p) / (1 + p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(6)]
+                for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                    if a not in held:
+                        if len(held) > 200:
+                            held.clear()
+                        held[a] = shingle_set(ta, width)
+                    x, y = held[a], shingle_set(tb, width)
+                    added, lost = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                    delta, most = len(added) + len(lost), (len(y) + len(y) / p) * k
+                    apart = len(x) * k + p * len(y) * k  # what an unlinked partner differs by, at least
+                    t = (delta + apart - most) / 2
+                    if delta > (len(x) + len(y)) * k:
+                        t = min(t, delta - most)
+                    n = min(delta, max(0, delta - max(1, math.ceil(t - 1e-6)) + 1))
+                    e = np.concatenate([added, lost ^ _MIX])[:n].view(np.int64)
+                    for column, value in zip(out, (a, b, e, np.arange(n), delta, len(y)), strict=True):
+                        column.append(value if isinstance(value, np.ndarray) else np.full(n, value, np.int64))
+                names = ["a", "b", "element", "at", "delta", "nb"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
+
+    return both.mapInArrow(run, "a long, b long, element long, at long, delta long, nb long")
+
+
+def _apart(
+    members: DataFrame, stars: DataFrame, refs: DataFrame, roots: DataFrame, facts: DataFrame, width: int, percent: int, scratch: Scratch
+) -> DataFrame:
+    """(a, b) of different components that share an entry and may be alike; no such pair that is alike is left out.
+
+    Each class has a reference, of its entries' smallest classes the one with most entry mates. Classes of one
+    reference are paired through their differences to it, for which copies of one text that are no copies of each other
+    share nothing. In entries whose members have several references the entry's smallest class is one for all of them, so
+    every pair that shares an entry has a reference in common. Smallest classes themselves are paired with all their mates.
+    """
+    p = percent / 100
+    k = (1 - p) / (1 + p)
+    root = roots.select(F.col("id").alias("rep"), "root")
+    m = members.join(root, "rep", "left").join(refs.select("ref", "rep"), "rep", "left")
+    m = m.select("entry", "center", "rep", F.coalesce("root", "rep").alias("c"), F.coalesce("ref", "rep").alias("ref"))
+    kinds = m.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("ref").alias("r1"), F.max("ref").alias("r2"))
+    kinds = kinds.where("lo < hi").select("entry", (F.col("r1") < F.col("r2")).alias("many"))
+    m = scratch.save(m.join(kinds, "entry"), "apart")
+    by_ref = m.select(F.col("ref").alias("a"), F.col("rep").alias("b"), "c")
+    by_center = m.where("many").select(F.col("center").alias("a"), F.col("rep").alias("b"), "c")
+    edges = scratch.save(by_ref.unionByName(by_center).where("a <> b").distinct(), "references")
+    mixed = edges.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
+    near = edges.join(mixed, "a")
+    d = _differences(near.select("a", "b"), facts, width, percent).join(near, ["a", "b"])
+    d = scratch.save(d, "differences")
+    x = d.select("a", "element", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("at").alias("ax"), F.col("delta").alias("dx"), F.col("nb").alias("nx"))
+    y = d.select("a", "element", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("at").alias("ay"), F.col("delta").alias("dy"), F.col("nb").alias("ny"))
+    t = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * k) / 2 - 1e-6))
+    prefix = (F.col("ax") <= F.col("dx") - t) & (F.col("ay") <= F.col("dy") - t)
+    sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    same = x.join(y, ["a", "element"]).where((F.col("cx") < F.col("cy")) & sizes & prefix).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    open_ = _relabel(stars.select(F.col("center").alias("a"), F.col("rep").alias("b")), roots).select("a", "b")
+    return same.distinct().unionByName(open_)
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -265,25 +341,20 @@ def near_duplicates(
     links = scratch.save(_confirm(tried, facts, width, percent, distance), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     rest = stars.select(F.col("center").alias("a"), F.col("rep").alias("b")).join(tried, ["a", "b"], "left_anti")
-    for step in range(2):
-        if step == 0:
-            open_pairs = _relabel(rest, roots)
-            # one try for each pair of components, then the rest with what is left apart
-            pairs = open_pairs.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.min(F.struct("a", "b")).alias("p"))
-            pairs = pairs.select("p.a", "p.b")
-        else:
-            m = members.select("entry", "rep").join(roots.withColumnsRenamed({"id": "rep", "root": "root"}), "rep", "left")
-            m = m.select("entry", "rep", F.coalesce("root", "rep").alias("c"))
-            m = m.join(facts.select("rep", "n_shingles"), "rep")
-            split = m.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
-            m = scratch.save(m.join(split, "entry"), "apart")
-            x = m.select("entry", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"))
-            y = m.select("entry", F.col("rep").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"))
-            sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-            pairs = x.join(y, "entry").where((F.col("ca") < F.col("cb")) & sizes).select("a", "b").distinct()
-        new = _confirm(pairs, facts, width, percent, distance)
-        links = scratch.save(links.unionByName(new), "links")
-        roots = scratch.save(connected_components(links, scratch), "roots")
+    # one try for each pair of components that a star edge joins
+    open_pairs = _relabel(rest, roots)
+    pairs = open_pairs.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.min(F.struct("a", "b")).alias("p"))
+    new = _confirm(pairs.select("p.a", "p.b"), facts, width, percent, distance)
+    links = scratch.save(links.unionByName(new), "links")
+    roots = scratch.save(connected_components(links, scratch), "roots")
+    # whatever else could join two components
+    mates = stars.groupBy("center").agg(F.count(F.lit(1)).alias("mates"))
+    likely = F.struct(F.col("mates"), -F.col("center"))
+    refs = stars.join(mates, "center").groupBy("rep").agg(F.max_by("center", likely).alias("ref"))
+    refs = scratch.save(refs, "refs")
+    pairs = scratch.save(_apart(members, stars, refs, roots, facts, width, percent, scratch), "pairs")
+    links = scratch.save(links.unionByName(_confirm(pairs, facts, width, percent, distance)), "links")
+    roots = scratch.save(connected_components(links, scratch), "roots")
     placed = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.select("digest", F.coalesce("root", "rep").alias("component_id"))
     out = described.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")
