@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -92,8 +93,11 @@ class Scratch:
         p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
     def release(self) -> None:
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Shuffle files go in the background once their plans are garbage: collect it twice, with time to delete between."""
+        for wait in (0.0,) if self.spark.sparkContext.master.startswith("local[") else (1.0, 0.5):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(wait)
 
 
 def spread(spark: SparkSession, total_bytes: int, target_bytes: int) -> int:
