@@ -261,6 +261,8 @@ class Encoder:
             self.specials = {k: struct.pack("<I", v) for k, v in vocab.special.items()}
 
     def _spaced(self, rest: str) -> bytes:
+        if rest[-1:] in _CLOSERS and rest[:-1].isalpha():
+            return self.after_space[rest[:-1]] + self.whole[rest[-1]]
         return self.ids_of(" " + rest)
 
     def ids_of(self, piece: str) -> bytes:
@@ -324,8 +326,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             words: Counter = Counter()
             for piece, n in seen.items():
-                for w in _WORDS.findall(piece):
-                    words[w] += n
+                if piece.isalpha():
+                    words[piece] += n
+                elif piece[-1:] in _CLOSERS and piece[:-1].isalpha():
+                    words[piece[:-1]] += n
+                    words[piece[-1]] += n
+                else:
+                    for w in _WORDS.findall(piece):
+                        words[w] += n
             seen.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"]
