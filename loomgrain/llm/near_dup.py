@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgrain.session import Scratch
@@ -229,12 +229,12 @@ def _relabel(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, element, at, delta, nb) for pairs (a, b): a prefix of how b's set differs from that of its reference a.
+    """(a, b, element, reach, delta, nb) for pairs (a, b): how b's set differs from that of its reference a.
 
     With s the sum of two set sizes and k = (1 - p) / (1 + p), sets have similarity p or more just if their symmetric
     difference is at most s k. Two members of one reference with differences X and Y to it therefore need
     |X & Y| >= (|X| + |Y| - s k) / 2, and so share an element of their first |X| - t + 1 and |Y| - t + 1 elements in
-    any common order. Elements that b adds come first: unlike those it lacks, few others have them.
+    any common order; ``reach`` is how many that can be at most.
     """
     texts = facts.select("rep", "text")
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
@@ -260,18 +260,19 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
                     if delta > (len(x) + len(y)) * k:
                         t = min(t, delta - most)
                     n = min(delta, max(0, delta - max(1, math.ceil(t - 1e-6)) + 1))
-                    e = np.concatenate([added, lost ^ _MIX])[:n].view(np.int64)
-                    for column, value in zip(out, (a, b, e, np.arange(n), delta, len(y)), strict=True):
-                        column.append(value if isinstance(value, np.ndarray) else np.full(n, value, np.int64))
-                names = ["a", "b", "element", "at", "delta", "nb"]
+                    e = np.concatenate([added, lost ^ _MIX]).view(np.int64)
+                    for column, value in zip(out, (a, b, e, n, delta, len(y)), strict=True):
+                        column.append(value if isinstance(value, np.ndarray) else np.full(delta, value, np.int64))
+                names = ["a", "b", "element", "reach", "delta", "nb"]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
-    return both.mapInArrow(run, "a long, b long, element long, at long, delta long, nb long")
+    return both.mapInArrow(run, "a long, b long, element long, reach long, delta long, nb long")
 
 
 def _apart(
-    members: DataFrame, stars: DataFrame, refs: DataFrame, roots: DataFrame, facts: DataFrame, width: int, percent: int, scratch: Scratch
-) -> DataFrame:
+    members: DataFrame, stars: DataFrame, tested: DataFrame, refs: DataFrame, roots: DataFrame, facts: DataFrame,
+    width: int, percent: int, scratch: Scratch,
+) -> DataFrame:
     """(a, b) of different components that share an entry and may be alike; no such pair that is alike is left out.
 
     Each class has a reference, of its entries' smallest classes the one with most entry mates. Classes of one
@@ -292,15 +293,20 @@ def _apart(
     edges = scratch.save(by_ref.unionByName(by_center).where("a <> b").distinct(), "references")
     mixed = edges.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
     near = edges.join(mixed, "a")
-    d = _differences(near.select("a", "b"), facts, width, percent).join(near, ["a", "b"])
-    d = scratch.save(d, "differences")
+    d = scratch.save(_differences(near.select("a", "b"), facts, width, percent), "differences")
+    # the rarest elements come first, so that few members meet in one
+    often = d.groupBy("a", "element").agg(F.count(F.lit(1)).alias("often"))
+    rare = Window.partitionBy("a", "b").orderBy("often", "element")
+    d = d.join(often, ["a", "element"]).withColumn("at", F.row_number().over(rare) - 1).where("at < reach and often > 1")
+    d = scratch.save(d.drop("reach", "often").join(near, ["a", "b"]), "prefixes")
     x = d.select("a", "element", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("at").alias("ax"), F.col("delta").alias("dx"), F.col("nb").alias("nx"))
     y = d.select("a", "element", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("at").alias("ay"), F.col("delta").alias("dy"), F.col("nb").alias("ny"))
     t = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * k) / 2 - 1e-6))
     prefix = (F.col("ax") <= F.col("dx") - t) & (F.col("ay") <= F.col("dy") - t)
     sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
     same = x.join(y, ["a", "element"]).where((F.col("cx") < F.col("cy")) & sizes & prefix).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    open_ = _relabel(stars.select(F.col("center").alias("a"), F.col("rep").alias("b")), roots).select("a", "b")
+    open_ = stars.select(F.col("center").alias("a"), F.col("rep").alias("b")).join(tested, ["a", "b"], "left_anti")
+    open_ = _relabel(open_, roots).select("a", "b")
     return same.distinct().unionByName(open_)
 
 
@@ -344,7 +350,8 @@ def near_duplicates(
     # one try for each pair of components that a star edge joins
     open_pairs = _relabel(rest, roots)
     pairs = open_pairs.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.min(F.struct("a", "b")).alias("p"))
-    new = _confirm(pairs.select("p.a", "p.b"), facts, width, percent, distance)
+    pairs = scratch.save(pairs.select("p.a", "p.b"), "second")
+    new = _confirm(pairs, facts, width, percent, distance)
     links = scratch.save(links.unionByName(new), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     # whatever else could join two components
@@ -352,7 +359,7 @@ def near_duplicates(
     likely = F.struct(F.col("mates"), -F.col("center"))
     refs = stars.join(mates, "center").groupBy("rep").agg(F.max_by("center", likely).alias("ref"))
     refs = scratch.save(refs, "refs")
-    pairs = scratch.save(_apart(members, stars, refs, roots, facts, width, percent, scratch), "pairs")
+    pairs = scratch.save(_apart(members, stars, tried.unionByName(pairs), refs, roots, facts, width, percent, scratch), "pairs")
     links = scratch.save(links.unionByName(_confirm(pairs, facts, width, percent, distance)), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     placed = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
