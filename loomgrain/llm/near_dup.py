@@ -41,7 +41,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept for those seen so far."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -117,15 +117,18 @@ def describe(docs: DataFrame, width: int, signer: Signer) -> DataFrame:
     """(doc_id, n_shingles, digest, signature) of each row; an empty set has no digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, digests, signatures = [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingle_set(t, width)
-                n.append(len(s))
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                signatures.append(signer(s) if len(s) else None)
-            arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "digest", "signature"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                n, digests, signatures = [], [], []
+                for t in b.column(1):
+                    s = shingle_set(t.as_py(), width)
+                    n.append(len(s))
+                    digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                    signatures.append(signer(s) if len(s) else None)
+                arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "digest", "signature"])
+        _WORDS.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_shingles long, digest binary, signature binary"
@@ -175,8 +178,8 @@ def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, dista
             return held[rep]
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
                 out = []
                 for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     x, y = of(a, ta), of(b, tb)
@@ -244,8 +247,8 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
                 out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(6)]
                 for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                     if a not in held:

@@ -144,7 +144,7 @@ class KneserNey:
 class Scorer(dict):
     """Word scores, kept for the words seen so far; features of whole texts."""
 
-    def __init__(self, model: KneserNey, window: int, held: int = 400_000):
+    def __init__(self, model: KneserNey, window: int, held: int = 150_000):
         super().__init__()
         self.model, self.window, self.held = model, window, held
 
@@ -153,8 +153,8 @@ class Scorer(dict):
         if len(self) + len(new) > self.held:
             self.clear()
             new = list(words)
-        for a in range(0, len(new), 50_000):
-            part = new[a : a + 50_000]
+        for a in range(0, len(new), 20_000):
+            part = new[a : a + 20_000]
             cut = [_stretches(w) for w in part]
             d = self.model.differences([s for c in cut for s in c])
             ends = np.cumsum([len(c) for c in cut])
@@ -221,7 +221,7 @@ def gram_counts(rows: DataFrame, alphabet: Alphabet, order: int) -> DataFrame:
         for b in batches:
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 seen[toxic].update(words_in(text))
-            if len(seen[0]) + len(seen[1]) > 500_000:
+            if len(seen[0]) + len(seen[1]) > 200_000:
                 yield flush()
         yield flush()
 
@@ -271,7 +271,7 @@ def fit(
     labels: DataFrame,
     order: int = 6,
     window: int = 4,
-    max_grams: int = 1_000_000,
+    max_grams: int = 400_000,
     calibration_rows: int = 20_000,
     max_broadcast_labels: int = 4_000_000,
     folds: int = 5,
@@ -302,9 +302,11 @@ def fit(
     sample = last.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = shared.value.scorer.features(b.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(3)] + [b.column(1)], names=["a", "b", "c", "toxic"])
+        for whole in batches:
+            for a in range(0, whole.num_rows, 500):
+                b = whole.slice(a, 500)
+                x = shared.value.scorer.features(b.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(3)] + [b.column(1)], names=["a", "b", "c", "toxic"])
 
     seen = sample.select("text", "toxic").mapInArrow(describe, "a double, b double, c double, toxic int").toPandas()
     scratch.drop(rows)
@@ -323,8 +325,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for a in range(0, whole.num_rows, 2000):
-                b = whole.slice(a, 2000)
+            for a in range(0, whole.num_rows, 500):
+                b = whole.slice(a, 500)
                 s = shared.value.scores(b.column(at).to_pylist())
                 arrays = [*b.columns[:at], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*carried, "score", "predicted"])
