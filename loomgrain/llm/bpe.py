@@ -7,6 +7,8 @@ share prefixes and suffixes; every transition carries how many words come before
 number and that its ids. It is built once, broadcast as bytes (at most ``max_words`` words of at most
 ``MAX_WORD_BYTES``) and mapped from an unlinked file by each worker.
 
+New words of a batch of texts are looked up and merged together, one step or merge of every word at a time.
+
 Texts are cut at single spaces into pieces first, because a word can start with a space but never goes over one that
 follows a non-space; only where white space meets a space from both sides is the whole text matched at once.
 
@@ -28,6 +30,7 @@ import tempfile
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -77,6 +80,8 @@ class Vocabulary:
             self.made.append(vocab[a + b])
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.decimal = [str(i) for i in range(size)]
+        self._table: tuple[np.ndarray, np.ndarray] | None = None
+        self._pairs: np.ndarray | None = None
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: always the pair of least rank, the leftmost first."""
@@ -118,6 +123,98 @@ class Vocabulary:
                     heapq.heappush(heap, (r, left, ids[left], ids[right]))
         return [x for x, g in zip(ids, gone, strict=True) if not g]
 
+    def _rank_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """An open hash table of pair to rank, a quarter full: keys (first id, second id) and ranks."""
+        if self._table is None:
+            keys = np.array([(k >> 32) << 20 | (k & 0xFFFFFFFF) for k in self.ranks], np.int64)
+            ranks = np.array(list(self.ranks.values()), np.int32)
+            bits = max(4, int(len(keys) * 4).bit_length())
+            table, values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, len(self.made), np.int32)
+            at = self._slots(keys, bits)
+            left = np.arange(len(keys))
+            while len(left):
+                free = table[at[left]] < 0
+                _, first = np.unique(at[left][free], return_index=True)
+                won = left[free][first]
+                table[at[won]], values[at[won]] = keys[won], ranks[won]
+                left = left[table[at[left]] != keys[left]]
+                at[left] = (at[left] + 1) & ((1 << bits) - 1)
+            self._table = table, values
+        return self._table
+
+    def _byte_pairs(self) -> np.ndarray:
+        """The rank of every pair of bytes."""
+        if self._pairs is None:
+            first = np.array(self.first, np.int32)
+            self._pairs = self._ranks_of(np.repeat(first, 256), np.tile(first, 256))
+        return self._pairs
+
+    @staticmethod
+    def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        table, values = self._rank_table()
+        keys = a.astype(np.int64) << 20 | b
+        at = self._slots(keys, len(table).bit_length() - 1)
+        out = np.full(len(keys), len(self.made), np.int32)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            there = table[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = values[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+            at[open_] = (at[open_] + 1) & (len(table) - 1)
+        return out
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of many short words: in each round every word that still can merges its pair of least rank."""
+        none = len(self.made)
+        made = np.array(self.made, np.int32)
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ids = np.array(self.first, np.int32)[data]
+        out: list[bytes] = [b""] * len(words)
+        who = np.nonzero(sizes)[0]
+        sizes = sizes[who]
+        starts = np.cumsum(sizes) - sizes
+        last = np.zeros(len(ids), bool)
+        last[starts + sizes - 1] = True
+        ranks = np.full(len(ids), none, np.int32)
+        ranks[:-1] = self._byte_pairs()[data[:-1].astype(np.int64) << 8 | data[1:]]
+        ranks[last] = none
+        while len(who):
+            best = np.minimum.reduceat(ranks, starts)
+            done = best == none
+            if done.any():
+                ends = starts + sizes
+                packed = ids.astype("<u4").tobytes()
+                for i, a, b in zip(who[done].tolist(), (4 * starts[done]).tolist(), (4 * ends[done]).tolist(), strict=True):
+                    out[i] = packed[a:b]
+                stay = np.repeat(~done, sizes)
+                ids, ranks, last = ids[stay], ranks[stay], last[stay]
+                who, sizes, best = who[~done], sizes[~done], best[~done]
+                starts = np.cumsum(sizes) - sizes
+                if not len(who):
+                    break
+            owner = np.repeat(np.arange(len(who)), sizes)
+            hits = np.nonzero(ranks == best[owner])[0]
+            at = hits[np.append(True, owner[hits[1:]] != owner[hits[:-1]])]
+            ids[at] = made[best]
+            last[at] = last[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, ranks, last = ids[keep], ranks[keep], last[keep]
+            at = at - np.arange(len(at))
+            sizes = sizes - 1
+            starts = np.cumsum(sizes) - sizes
+            ranks[at] = none
+            right = at[~last[at]]
+            ranks[right] = self._ranks_of(ids[right], ids[right + 1])
+            left = at[at > starts] - 1
+            ranks[left] = self._ranks_of(ids[left], ids[left + 1])
+        return out
+
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -218,6 +315,40 @@ class Lexicon:
         return self.ids[self.offsets[number] : self.offsets[number + 1]]
 
 
+    def get_all(self, words: list[bytes]) -> list[bytes | None]:
+        """The packed ids of many words, None for those not in the lexicon; all words take each step together."""
+        out: list[bytes | None] = [None] * len(words)
+        if not self.words:
+            return out
+        first = np.frombuffer(self.first, np.uint32).astype(np.int64)
+        source = np.repeat(np.arange(self.states), np.diff(first))
+        steps = source << 8 | np.frombuffer(self.map, np.uint8, len(source), self.labels)
+        targets, skips = np.frombuffer(self.targets, np.uint32), np.frombuffer(self.skips, np.uint32)
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        state, number = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
+        alive = np.ones(len(words), bool)
+        for k in range(int(sizes.max(initial=0))):
+            i = np.nonzero(alive & (sizes > k))[0]
+            if not len(i):
+                break
+            key = state[i] << 8 | data[starts[i] + k]
+            e = np.minimum(np.searchsorted(steps, key), len(steps) - 1)
+            good = steps[e] == key if len(steps) else np.zeros(len(i), bool)
+            alive[i[~good]] = False
+            i, e = i[good], e[good]
+            number[i] += skips[e]
+            state[i] = targets[e]
+        finals = np.frombuffer(self.map, np.uint8, self.states, self.finals)
+        found = np.nonzero(alive & (finals[state] == 1))[0]
+        offsets, ids = np.frombuffer(self.offsets, np.uint32), np.frombuffer(self.ids, np.uint32).tobytes()
+        lo, hi = 4 * offsets[number[found]].astype(np.int64), 4 * offsets[number[found] + 1].astype(np.int64)
+        for i, a, b in zip(found.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            out[i] = ids[a:b]
+        return out
+
+
 _LEXICONS: dict[bytes, Lexicon] = {}
 
 
@@ -249,37 +380,43 @@ class Memo(dict):
         self[key] = out
         return out
 
+    def lacks(self, keys: set[str]) -> list[str]:
+        return [k for k in keys if k not in self and k not in self.old]
+
+    def put(self, keys: list[str], values: list[bytes]) -> None:
+        if len(self) + len(keys) > self.half:
+            self.old = dict(self)
+            self.clear()
+        self.update(zip(keys, values, strict=True))
+
 
 class Encoder:
     """Texts to ids, as little-endian 32-bit words."""
 
-    def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None = None, held: int = 600_000):
+    def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None = None, held: int = 500_000):
         self.vocab, self.lexicon = vocab, lexicon
-        self.after_space = Memo(self._spaced, held)
+        self.after_space = Memo(lambda rest: self.ids_of(" " + rest), held)
         self.whole = Memo(self.ids_of, held // 6)
-        if vocab.special:
-            self.specials = {k: struct.pack("<I", v) for k, v in vocab.special.items()}
+        self.words = Memo(self._word, held // 2)
+        self.specials = {k: struct.pack("<I", v) for k, v in vocab.special.items()}
 
-    def _spaced(self, rest: str) -> bytes:
-        if rest[-1:] in _CLOSERS and rest[:-1].isalpha():
-            return self.after_space[rest[:-1]] + self.whole[rest[-1]]
-        return self.ids_of(" " + rest)
+    def _word(self, word: str) -> bytes:
+        raw = word.encode()
+        known = self.lexicon.get(raw) if self.lexicon and len(raw) <= MAX_WORD_BYTES else None
+        return array.array("I", self.vocab.merge(raw) if known is None else known).tobytes()
 
-    def ids_of(self, piece: str) -> bytes:
-        """The ids of a piece of text that no word crosses the ends of."""
+    @staticmethod
+    def _split(piece: str) -> list[str]:
+        """The words of a piece of text that no word crosses the ends of."""
         word = piece[1:] if piece[:1] == " " else piece
         if word.isalpha():
-            found = [piece]
-        elif word[-1:] in _CLOSERS and word[:-1].isalpha():
-            found = [piece[:-1], piece[-1]]
-        else:
-            found = _WORDS.findall(piece)
-        ids: list[int] = []
-        for w in found:
-            raw = w.encode()
-            known = self.lexicon.get(raw) if self.lexicon and len(raw) <= MAX_WORD_BYTES else None
-            ids += self.vocab.merge(raw) if known is None else known
-        return array.array("I", ids).tobytes()
+            return [piece]
+        if word[-1:] in _CLOSERS and word[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return _WORDS.findall(piece)
+
+    def ids_of(self, piece: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self._split(piece)))
 
     def parts(self, text: str) -> list[tuple[str, list[str]]]:
         """Stretches of a text: (what stands first, what follows single spaces), or (one word, nothing) where spaces are tangled."""
@@ -294,6 +431,21 @@ class Encoder:
                 out += [(w, []) for w in _WORDS.findall(t)]
         return out
 
+    def learn(self, batch: list[list[tuple[str, list[str]]]]) -> None:
+        """Find what a batch of parts has that is not held yet, its short words all at once."""
+        new = self.after_space.lacks({w for parts in batch for _, rest in parts for w in rest})
+        split = [self._split(" " + w) for w in new]
+        words = self.words.lacks({w for ws in split for w in ws if len(w) <= MAX_WORD_BYTES // 4})
+        for a in range(0, len(words), 30_000):
+            part = words[a : a + 30_000]
+            raw = [w.encode() for w in part]
+            known = self.lexicon.get_all(raw) if self.lexicon else [None] * len(raw)
+            unseen = [i for i, x in enumerate(known) if x is None]
+            for i, x in zip(unseen, self.vocab.merge_all([raw[i] for i in unseen]), strict=True):
+                known[i] = x
+            self.words.put(part, known)
+        self.after_space.put(new, [b"".join(map(self.words.__getitem__, ws)) for ws in split])
+
     def joined(self, parts: list[tuple[str, list[str]]]) -> bytes:
         out = []
         for first, rest in parts:
@@ -372,8 +524,10 @@ def encode_documents(docs: DataFrame, path: str, lexicon: bytes | None, digest:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path, shared.value)
         vocab = encoder.vocab
-        for b in batches:
-            packed = (encoder.encode(t or "") for t in b.column(1).to_pylist())
+        for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+            parts = [encoder.parts(t or "") for t in b.column(1).to_pylist()]
+            encoder.learn(parts)
+            packed = (encoder.joined(p) for p in parts)
             if not digest:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], names=["doc_id", "ids"])
                 continue
