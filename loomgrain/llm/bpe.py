@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgrain.llm.frequent import most_frequent
+from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
 MAX_WORD_BYTES = 64
@@ -434,7 +435,7 @@ class Encoder:
     def learn(self, batch: list[list[tuple[str, list[str]]]]) -> None:
         """Find what a batch of parts has that is not held yet, its short words all at once."""
         new = self.after_space.lacks({w for parts in batch for _, rest in parts for w in rest})
-        split = [self._split(" " + w) for w in new]
+        split = [(" " + w,) if w.isalpha() else self._split(" " + w) for w in new]
         words = self.words.lacks({w for ws in split for w in ws if len(w) <= MAX_WORD_BYTES // 4})
         for a in range(0, len(words), 30_000):
             part = words[a : a + 30_000]
@@ -444,7 +445,8 @@ class Encoder:
             for i, x in zip(unseen, self.vocab.merge_all([raw[i] for i in unseen]), strict=True):
                 known[i] = x
             self.words.put(part, known)
-        self.after_space.put(new, [b"".join(map(self.words.__getitem__, ws)) for ws in split])
+        ids = self.words.__getitem__
+        self.after_space.put(new, [ids(ws[0]) if len(ws) == 1 else b"".join(map(ids, ws)) for ws in split])
 
     def joined(self, parts: list[tuple[str, list[str]]]) -> bytes:
         out = []
@@ -501,7 +503,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, path: str, max_words: int = 65_536) -> bytes:
@@ -540,7 +542,7 @@ def encode_documents(docs: DataFrame, path: str, lexicon: bytes | None, digest:
             arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -552,4 +554,4 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             texts = [None if p is None else vocab.decode(memoryview(p).cast("I")) for p in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, text string")

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -131,11 +132,14 @@ def describe(docs: DataFrame, width: int, signer: Signer) -> DataFrame:
         _WORDS.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, signature binary"
+        tidy(run), "doc_id long, n_shingles long, digest binary, signature binary"
     )
 
 
 def _entries(classes: DataFrame, index: ChunkIndex, components: int) -> DataFrame:
+    """(entry, rep) of every class; a narrow table in few files, so it is dealt out before it grows."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for a in range(0, b.num_rows, 2000):
@@ -146,7 +150,7 @@ def _entries(classes: DataFrame, index: ChunkIndex, components: int) -> DataFram
                 arrays = [pa.array(e.ravel().view(np.int64)), pa.array(np.repeat(ids, e.shape[1]))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["entry", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "entry long, rep long")
+    return classes.select("rep", "signature").repartition(parts).mapInArrow(tidy(run), "entry long, rep long")
 
 
 def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, distance: int) -> DataFrame:
@@ -163,7 +167,7 @@ def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, dista
             keep = pa.array((x != y).sum(1) <= distance)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    near = near.mapInArrow(close, "a long, b long")
+    near = near.mapInArrow(tidy(close), "a long, b long")
     texts = facts.select("rep", "text")
     both = near.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
@@ -192,7 +196,7 @@ def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, dista
                     [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], names=["a", "b"]
                 )
 
-    return both.mapInArrow(alike, "a long, b long")
+    return both.mapInArrow(tidy(alike), "a long, b long")
 
 
 def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -269,7 +273,7 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
                 names = ["a", "b", "element", "reach", "delta", "nb"]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
-    return both.mapInArrow(run, "a long, b long, element long, reach long, delta long, nb long")
+    return both.mapInArrow(tidy(run), "a long, b long, element long, reach long, delta long, nb long")
 
 
 def _apart(
@@ -387,4 +391,4 @@ def _of_class(facts: DataFrame, width: int) -> DataFrame:
 
     plain = facts.withColumn("th", F.xxhash64("text")).dropDuplicates(["rep", "digest", "th"])
     plain = plain.select("rep", "n_shingles", "signature", "digest", "text")
-    return plain.mapInArrow(run, "rep long, n_shingles long, signature binary, text string")
+    return plain.mapInArrow(tidy(run), "rep long, n_shingles long, signature binary, text string")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgrain.llm.bpe import WORD_PATTERN, worker_encoder
+from loomgrain.llm.memory import tidy
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -91,7 +92,7 @@ def pack_documents(docs: DataFrame, path: str, max_length: int = 2048, end_id: i
                 names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), SCHEMA)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -464,5 +465,5 @@ def _told(dealt: DataFrame, shared: DataFrame, length: int, q: int, total: int,
     asked = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_send(length, q), "anchor long, bytes binary, doc long")
     parts = max(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 << 20)))
     met = asked.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    answers = met.mapInArrow(_answer(length), "doc_id long, anchor long, content long, least binary")
+    answers = met.mapInArrow(tidy(_answer(length)), "doc_id long, anchor long, content long, least binary")
     return scratch.save(answers.select(chunk, "anchor", "content", "least"), "told")

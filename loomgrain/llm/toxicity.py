@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgrain.llm.frequent import most_frequent
+from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
 _WORD = regex.compile(r"[^\W\d_]+")
@@ -195,7 +196,7 @@ def _letters(rows: DataFrame) -> list[str]:
                 seen.update(t.lower() if t else "")
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["c", "n"])
 
-    c = rows.select("text").mapInArrow(count, "c string, n long").where(F.col("c").rlike(r"\p{L}"))
+    c = rows.select("text").mapInArrow(tidy(count), "c string, n long").where(F.col("c").rlike(r"\p{L}"))
     top = c.groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(_LETTERS)
     return [r.c for r in top.collect()]
 
@@ -225,7 +226,7 @@ def gram_counts(rows: DataFrame, alphabet: Alphabet, order: int) -> DataFrame:
                 yield flush()
         yield flush()
 
-    parts = rows.select("text", "toxic").mapInArrow(count, "key long, toxic long, ordinary long")
+    parts = rows.select("text", "toxic").mapInArrow(tidy(count), "key long, toxic long, ordinary long")
     return parts.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -308,7 +309,7 @@ def fit(
                 x = shared.value.scorer.features(b.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(3)] + [b.column(1)], names=["a", "b", "c", "toxic"])
 
-    seen = sample.select("text", "toxic").mapInArrow(describe, "a double, b double, c double, toxic int").toPandas()
+    seen = sample.select("text", "toxic").mapInArrow(tidy(describe), "a double, b double, c double, toxic int").toPandas()
     scratch.drop(rows)
     y = seen.toxic.to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
@@ -332,4 +333,4 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
                 yield pa.RecordBatch.from_arrays(arrays, names=[*carried, "score", "predicted"])
 
     schema = base.drop("__text").withColumns({"score": F.lit(None).cast("double"), "predicted": F.lit(None).cast("int")}).schema
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
