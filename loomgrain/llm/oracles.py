@@ -117,10 +117,14 @@ from documents d join m on m.doc_id = d.doc_id left join n on n.doc_id = d.doc_i
 OP7 = """
 with d as (
   select doc_id, hex(encode(coalesce(text, ''))) as x, strlen(coalesce(text, ''))::bigint as n from documents
+), b as (
+  select doc_id, n, k * 128 as base, substr(x, 256 * k + 1, 354) as y from (select *, unnest(range(0, (n - 50) // 128 + 1)) as k from d where n >= 50)
 ), p as (
-  select doc_id, unnest(range(0, n - 49)) as i, x from d where n >= 50
+  select doc_id, base + i as i, substr(y, 2 * i + 1, 100) as w from (select *, unnest(range(0, least(128, n - 49 - base))) as i from b)
+), f as (
+  select w, min(doc_id) as first from p group by w having min(doc_id) < max(doc_id)
 ), g as (
-  select doc_id, i, min(doc_id) over (partition by substr(x, 2 * i + 1, 100)) as first from p
+  select doc_id, i, first from p join f on p.w = f.w
 ), s as (
   select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 50 then 0 else 1 end as new from g where first < doc_id
 ), r as (
