@@ -240,6 +240,11 @@ def model_stub_batch(spark, d):
     return ask(prompts, StubGenerator, key="doc_id").select("doc_id", "reply", "prompt_tokens", "completion_tokens")
 
 
+def classify_batch(spark, d):
+    prompts = _read(spark, d, "benchmark").select("item_id", F.col("text").alias("prompt"))
+    return generation.classify(prompts, StubGenerator, "item_id")
+
+
 def usage_totals(spark, d):
     prompts = _read(spark, d, "benchmark").select("item_id", F.col("text").alias("prompt"))
     return generation.usage_totals(ask(prompts, StubGenerator, key="item_id"))
@@ -398,7 +403,7 @@ _QUERIES = [
     type_selection, resume_antijoin, missing_path_inner, left_default, state_upsert, markup_clean, title_body_extract, section_excerpt,
     context_build, span_grounding, ellipsis_stitch, number_grounding, pair_guard, guard_reasons, drop_reason_topk, kept_by_type,
     status_counts, export_chat, json_extract_tolerant, json_objects_all, generation_parse, judge_verdicts, generation_prompts,
-    model_stub_batch, usage_totals, chat_first_turns, sft_dedup, sft_split, normalize_tokens, token_f1, exact_match, weighted_perplexity,
+    model_stub_batch, classify_batch, usage_totals, chat_first_turns, sft_dedup, sft_split, normalize_tokens, token_f1, exact_match, weighted_perplexity,
     answer_metrics, word_tokenize, pack_blocks, pack_dropped, interleave_schedule, interleave_rows, max_docs_prefix, step_budget,
     cache_fingerprint, next_stage, nfkc_normalize, bpe_tokenize, chat_export_roundtrip,
 ]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.functions.jsonx import is_object, reply_items, verdict_items
+from loomgrain.functions.jsonx import extract_json, is_object, reply_items, verdict_items
 from loomgrain.operators.selection import question_types
+from loomgrain.sources.model import Generator, ask
 
 #: What each question type asks for, in our own words.
 TYPE_BRIEFS = {
@@ -112,6 +115,12 @@ def parse_verdicts(replies: DataFrame, asked: DataFrame, key: str = "pmcid", on_
     return out.select("id", F.when(F.coalesce("supported", F.lit(False)), 1).otherwise(0).alias("judged"))
 
 
+def classify(prompts: DataFrame, make: Callable[[], Generator], key: str, system: str = "", max_tokens: int = 256) -> DataFrame:
+    """(key, label, error): the model's replies as canonical JSON; null where nothing parses."""
+    replies = ask(prompts, make, key=key, system=system, max_tokens=max_tokens)
+    return replies.select(key, extract_json(F.coalesce("reply", F.lit(""))).alias("label"), "error")
+
+
 def usage_totals(replies: DataFrame) -> DataFrame:
     """Requests, retries and tokens over all replies."""
     return replies.agg(

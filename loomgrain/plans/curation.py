@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 import datetime
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,17 @@ class Curation:
     def _limited(self, rows: DataFrame, key: str = "pmcid") -> DataFrame:
         return rows.orderBy(key).limit(self.config.limit) if self.config.limit else rows
 
+    def _chunks(self, rows: DataFrame, size: int, deadline: float | None, key: str = "pmcid") -> Iterator[DataFrame]:
+        """rows in ranges of about size keys, each to be committed before the next; none begins after the deadline."""
+        last = None
+        while deadline is None or time.time() < deadline:
+            rest = rows if last is None else rows.where(F.col(key) > last)
+            upper = (rest.orderBy(key).limit(size) if size else rest).agg(F.max(key).alias("m")).first().m
+            if upper is None:
+                return
+            yield rest.where(F.col(key) <= upper)
+            last = upper
+
     def select(self) -> None:
         topics = self._corpus("paper_topics_bert")
         tie = [c for c in ("row_no",) if c in topics.columns] or ["subtopic"]
@@ -52,17 +64,19 @@ class Curation:
     def contexts(self) -> DataFrame:
         return self.state.read("paper_ctx").where("context is not null")
 
-    def generate(self) -> None:
+    def generate(self, deadline: float | None = None) -> None:
         c = self.config
         done = self.state.read("gen").where("ok = 1")
         left = self._limited(records.pending(self.contexts(), done, "pmcid"))
-        prompts = generation.generation_prompts(left, self.state.read("sft_paper"), c.pairs_per_paper)
-        replies = ask(
-            prompts, self.make, system=generation.SYSTEM_GENERATE, max_tokens=c.generate_max_tokens, temperature=c.generate_temperature, tasks=1
-        )
-        parsed = generation.parse_generation(replies)
-        now = datetime.datetime.now().strftime("%Y-%m-%dT%H:%M:%S")
-        self.state.append("gen", parsed.select("pmcid", "pairs_json", "ok", F.lit(now).alias("ts")))
+        papers = self.state.read("sft_paper")
+        for part in self._chunks(left, c.generate_chunk, deadline):
+            prompts = generation.generation_prompts(part, papers, c.pairs_per_paper)
+            replies = ask(
+                prompts, self.make, system=generation.SYSTEM_GENERATE, max_tokens=c.generate_max_tokens, temperature=c.generate_temperature, tasks=1
+            )
+            parsed = generation.parse_generation(replies)
+            now = datetime.datetime.now().strftime("%Y-%m-%dT%H:%M:%S")
+            self.state.append("gen", parsed.select("pmcid", "pairs_json", "ok", F.lit(now).alias("ts")))
 
     def guard(self) -> None:
         good = self.state.read("gen").where("ok = 1")
@@ -72,18 +86,20 @@ class Curation:
         checked = grounding.check_pairs(pairs, self.contexts())
         self.state.append("pair", checked.select("id", "pmcid", "type", "question", "answer", "span", "kept", "reason"))
 
-    def judge(self) -> None:
+    def judge(self, deadline: float | None = None) -> None:
         c = self.config
         asked = self._limited(generation.unjudged_by_paper(self.state.pairs()))
-        rows = asked.join(self.contexts(), "pmcid", "left")
-        prompt = generation.judge_prompt(F.coalesce("context", F.lit("")), F.col("pairs"))
-        replies = ask(
-            rows.select("pmcid", prompt.alias("prompt")), self.make, system=generation.SYSTEM_JUDGE,
-            max_tokens=c.judge_max_tokens, temperature=c.judge_temperature, tasks=1,
-        )
-        replies = replies.persist()
-        self.state.append("verdict", generation.parse_verdicts(replies, asked, on_error=self.on_error))
-        replies.unpersist()
+        contexts = self.contexts()
+        for part in self._chunks(asked, c.judge_chunk, deadline):
+            rows = part.join(contexts, "pmcid", "left")
+            prompt = generation.judge_prompt(F.coalesce("context", F.lit("")), F.col("pairs"))
+            replies = ask(
+                rows.select("pmcid", prompt.alias("prompt")), self.make, system=generation.SYSTEM_JUDGE,
+                max_tokens=c.judge_max_tokens, temperature=c.judge_temperature, tasks=1,
+            )
+            replies = replies.persist()
+            self.state.append("verdict", generation.parse_verdicts(replies, part, on_error=self.on_error))
+            replies.unpersist()
 
     def export(self) -> None:
         write_chat(self.state.pairs(), self.config.export_file, self.config.require_judge)
@@ -91,6 +107,25 @@ class Curation:
     def stats(self) -> DataFrame:
         return report.pair_status(self.state.pairs())
 
+    def advance(self, marks: set[str], hours: float = 4.0) -> str | None:
+        """Run the stage that the state calls for, model stages until the time is up; returns it, or None when all is done.
+
+        marks has the finished stages and gains those that this call finishes; keeping it between calls is the caller's.
+        """
+        told = self.state.pairs().agg(report.count_where("kept = 1").alias("kept"), report.count_where("judged <> -1").alias("judged")).first()
+        contexts = self.contexts().count()
+
+        def generated() -> int:
+            return self.state.read("gen").where("ok = 1").count()
+
+        stage = report.next_stage(self.state.read("sft_paper").count(), contexts, generated(), told.kept, told.judged, marks)
+        if stage in ("generate", "judge"):
+            getattr(self, stage)(time.time() + 3600 * hours)
+        elif stage:
+            getattr(self, stage)()
+            marks.add(stage)
+        return stage
+
     def run(self, stage: str) -> None:
         if stage not in (*report.STAGES, "all"):
             raise ValueError(f"unknown stage {stage}")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgrain.functions import jsonx
 from loomgrain.operators import generation, metrics, report
-from loomgrain.plans import config, corpus, curation, evaluate
+from loomgrain.plans import config, corpus, curation, evaluate, progress
 from loomgrain.sources import model, readers, state
 from loomgrain.streaming import contexts as streaming
 
@@ -178,7 +178,7 @@ def test_curation_resumes(spark, tmp_path):
     values = dict.fromkeys(config.CurationConfig.__dataclass_fields__, 0) | {
         "store": str(store), "source_db": str(db), "state_db": str(tmp_path / "state"), "export_file": str(tmp_path / "out.jsonl"),
         "select_n": 12, "abstract_chars": 50, "methods_chars": 200, "results_chars": 50, "pairs_per_paper": 6, "require_judge": True,
-        "generate_max_tokens": 10, "judge_max_tokens": 10, "limit": None,
+        "generate_max_tokens": 10, "judge_max_tokens": 10, "limit": None, "generate_chunk": 4,
     }
     c = curation.Curation(spark, config.CurationConfig(**values), Scripted)
     c.run("all")
@@ -190,6 +190,22 @@ def test_curation_resumes(spark, tmp_path):
     assert c.stats().first().pairs == 10
     with pytest.raises(ValueError):
         c.run("nothing")
+    marks = {"sections"}
+    assert [c.advance(marks) for _ in range(3)] == ["guard", "export", None] and marks == {"sections", "guard", "export"}
+
+
+def test_progress(tmp_path):
+    now = [0.0]
+    p = progress.Progress("stage", 10, tmp_path / "p.json", clock=lambda: now[0])
+    now[0] = 5.0
+    p.update(2, "x")
+    now[0] = 6.0
+    p.update(3)
+    said = json.loads((tmp_path / "p.json").read_text())
+    assert (said["done"], said["pct"], said["eta_s"], said["extra"]) == (2, 20.0, 20.0, "x")
+    p.update(10)
+    assert json.loads((tmp_path / "p.json").read_text())["done"] == 10 and p.line(10) == "stage 10/10 in 6s"
+    progress.Progress("s", 1, tmp_path / "no" / "p.json").update(1)
 
 
 def test_state_store(spark, tmp_path):
