@@ -236,7 +236,7 @@ def _relabel(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, element, reach, delta, nb) for pairs (a, b): how b's set differs from that of its reference a.
+    """(a, b, c, element, reach, delta, nb) for pairs (a, b) with b's component c: how b's set differs from that of its reference a.
 
     With s the sum of two set sizes and k = (1 - p) / (1 + p), sets have similarity p or more just if their symmetric
     difference is at most s k. Two members of one reference with differences X and Y to it therefore need
@@ -244,7 +244,7 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
     any common order; ``reach`` is how many that can be at most.
     """
     texts = facts.select("rep", "text")
-    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
+    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "c", "ta", "tb")
     p = percent / 100
     k = (1 - p) / (1 + p)
 
@@ -253,8 +253,8 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
         for batch in batches:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
-                out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(6)]
-                for a, b, ta, tb in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(7)]
+                for a, b, c, ta, tb in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
                     if a not in held:
                         if len(held) > 200:
                             held.clear()
@@ -268,12 +268,12 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
                         t = min(t, delta - most)
                     n = min(delta, max(0, delta - max(1, math.ceil(t - 1e-6)) + 1))
                     e = np.concatenate([added, lost ^ _MIX]).view(np.int64)
-                    for column, value in zip(out, (a, b, e, n, delta, len(y)), strict=True):
+                    for column, value in zip(out, (a, b, c, e, n, delta, len(y)), strict=True):
                         column.append(value if isinstance(value, np.ndarray) else np.full(delta, value, np.int64))
-                names = ["a", "b", "element", "reach", "delta", "nb"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
+                names = ["a", "b", "c", "element", "reach", "delta", "nb"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=names)
 
-    return both.mapInArrow(tidy(run), "a long, b long, element long, reach long, delta long, nb long")
+    return both.mapInArrow(tidy(run), "a long, b long, c long, element long, reach long, delta long, nb long")
 
 
 def _apart(
@@ -300,12 +300,12 @@ def _apart(
     edges = scratch.save(by_ref.unionByName(by_center).where("a <> b").distinct(), "references")
     mixed = edges.groupBy("a").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("a")
     near = edges.join(mixed, "a")
-    d = scratch.save(_differences(near.select("a", "b"), facts, width, percent), "differences")
+    d = scratch.save(_differences(near.select("a", "b", "c"), facts, width, percent), "differences")
     # the rarest elements come first, so that few members meet in one
     often = d.groupBy("a", "element").agg(F.count(F.lit(1)).alias("often"))
     rare = Window.partitionBy("a", "b").orderBy("often", "element")
     d = d.join(often, ["a", "element"]).withColumn("at", F.row_number().over(rare) - 1).where("at < reach and often > 1")
-    d = scratch.save(d.drop("reach", "often").join(near, ["a", "b"]), "prefixes")
+    d = scratch.save(d.drop("reach", "often"), "prefixes")
     x = d.select("a", "element", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("at").alias("ax"), F.col("delta").alias("dx"), F.col("nb").alias("nx"))
     y = d.select("a", "element", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("at").alias("ay"), F.col("delta").alias("dy"), F.col("nb").alias("ny"))
     t = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * k) / 2 - 1e-6))
