@@ -24,6 +24,7 @@ import hashlib
 import heapq
 import json
 import mmap
+import operator
 import os
 import struct
 import tempfile
@@ -217,7 +218,7 @@ class Vocabulary:
         return out
 
     def decode(self, ids) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+        return b"".join(picked(self.bytes, ids)).decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=4)
@@ -364,6 +365,13 @@ def mapped(block: bytes | None) -> Lexicon | None:
     return _LEXICONS[key]
 
 
+def picked(table, keys) -> tuple:
+    """table's values at keys, in one call."""
+    if len(keys) < 2:
+        return tuple(table[k] for k in keys)
+    return operator.itemgetter(*keys)(table)
+
+
 class Memo(dict):
     """A bounded memory in two generations: when the young one is full it becomes the old one, which is then asked first."""
 
@@ -382,7 +390,7 @@ class Memo(dict):
         return out
 
     def lacks(self, keys: set[str]) -> list[str]:
-        return [k for k in keys if k not in self and k not in self.old]
+        return list(keys.difference(self).difference(self.old))
 
     def put(self, keys: list[str], values: list[bytes]) -> None:
         if len(self) + len(keys) > self.half:
@@ -435,7 +443,10 @@ class Encoder:
     def learn(self, batch: list[list[tuple[str, list[str]]]]) -> None:
         """Find what a batch of parts has that is not held yet, its short words all at once."""
         new = self.after_space.lacks({w for parts in batch for _, rest in parts for w in rest})
-        split = [(" " + w,) if w.isalpha() else self._split(" " + w) for w in new]
+        split = [
+            (" " + w,) if w.isalpha() else (" " + w[:-1], w[-1]) if w[-1:] in _CLOSERS and w[:-1].isalpha() else self._split(" " + w)
+            for w in new
+        ]
         words = self.words.lacks({w for ws in split for w in ws if len(w) <= MAX_WORD_BYTES // 4})
         for a in range(0, len(words), 30_000):
             part = words[a : a + 30_000]
@@ -452,7 +463,7 @@ class Encoder:
         out = []
         for first, rest in parts:
             out.append(self.specials[first] if first in self.vocab.special else self.whole[first])
-            out += map(self.after_space.__getitem__, rest)
+            out += picked(self.after_space, rest)
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
@@ -478,16 +489,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
         seen: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
+            words: dict[str, int] = {}
+            get = words.get
             for piece, n in seen.items():
                 if piece.isalpha():
-                    words[piece] += n
-                elif piece[-1:] in _CLOSERS and piece[:-1].isalpha():
-                    words[piece[:-1]] += n
-                    words[piece[-1]] += n
+                    words[piece] = get(piece, 0) + n
                 else:
-                    for w in _WORDS.findall(piece):
-                        words[w] += n
+                    for w in Encoder._split(piece):
+                        words[w] = get(w, 0) + n
             seen.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"]
@@ -537,7 +546,7 @@ def encode_documents(docs: DataFrame, path: str, lexicon: bytes | None, digest:
             for p in packed:
                 ids = memoryview(p).cast("I")
                 n.append(len(ids))
-                shas.append(hashlib.sha256(",".join(map(vocab.decimal.__getitem__, ids)).encode()).hexdigest())
+                shas.append(hashlib.sha256(",".join(picked(vocab.decimal, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
             arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
