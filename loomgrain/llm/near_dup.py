@@ -153,8 +153,11 @@ def _entries(classes: DataFrame, index: ChunkIndex, components: int) -> DataFram
     return classes.select("rep", "signature").repartition(parts).mapInArrow(tidy(run), "entry long, rep long")
 
 
-def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, distance: int) -> DataFrame:
-    """The (a, b) pairs whose signatures are near and whose full sets have the similarity."""
+def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, distance: int, scratch: Scratch) -> DataFrame:
+    """The (a, b) pairs whose signatures are near and whose full sets have the similarity.
+
+    The near pairs are written, so that one task never runs the Python of both steps at once.
+    """
     side = facts.select("rep", "n_shingles", "signature")
     near = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
     near = near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "sa", "sb")
@@ -167,7 +170,7 @@ def _confirm(pairs: DataFrame, facts: DataFrame, width: int, percent: int, dista
             keep = pa.array((x != y).sum(1) <= distance)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    near = near.mapInArrow(tidy(close), "a long, b long")
+    near = scratch.save(near.mapInArrow(tidy(close), "a long, b long"), "near")
     texts = facts.select("rep", "text")
     both = near.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
@@ -351,14 +354,14 @@ def near_duplicates(
     stars = scratch.save(members.where("rep <> center").groupBy("center", "rep").agg(F.count(F.lit(1)).alias("n")), "stars")
     best = stars.groupBy("rep").agg(F.max_by("center", F.struct(F.col("n"), -F.col("center"))).alias("center"))
     tried = scratch.save(best.select(F.col("center").alias("a"), F.col("rep").alias("b")), "tried")
-    links = scratch.save(_confirm(tried, facts, width, percent, distance), "links")
+    links = scratch.save(_confirm(tried, facts, width, percent, distance, scratch), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     rest = stars.select(F.col("center").alias("a"), F.col("rep").alias("b")).join(tried, ["a", "b"], "left_anti")
     # one try for each pair of components that a star edge joins
     open_pairs = _relabel(rest, roots)
     pairs = open_pairs.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.min(F.struct("a", "b")).alias("p"))
     pairs = scratch.save(pairs.select("p.a", "p.b"), "second")
-    new = _confirm(pairs, facts, width, percent, distance)
+    new = _confirm(pairs, facts, width, percent, distance, scratch)
     links = scratch.save(links.unionByName(new), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     # whatever else could join two components
@@ -367,7 +370,7 @@ def near_duplicates(
     refs = stars.join(mates, "center").groupBy("rep").agg(F.max_by("center", likely).alias("ref"))
     refs = scratch.save(refs, "refs")
     pairs = scratch.save(_apart(members, stars, tried.unionByName(pairs), refs, roots, facts, width, percent, scratch), "pairs")
-    links = scratch.save(links.unionByName(_confirm(pairs, facts, width, percent, distance)), "links")
+    links = scratch.save(links.unionByName(_confirm(pairs, facts, width, percent, distance, scratch)), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     placed = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.select("digest", F.coalesce("root", "rep").alias("component_id"))
