@@ -305,9 +305,9 @@ def _apart(
     near = edges.join(mixed, "a")
     d = scratch.save(_differences(near.select("a", "b", "c"), facts, width, percent), "differences")
     # the rarest elements come first, so that few members meet in one
-    often = d.groupBy("a", "element").agg(F.count(F.lit(1)).alias("often"))
+    often = F.count(F.lit(1)).over(Window.partitionBy("a", "element"))
     rare = Window.partitionBy("a", "b").orderBy("often", "element")
-    d = d.join(often, ["a", "element"]).withColumn("at", F.row_number().over(rare) - 1).where("at < reach and often > 1")
+    d = d.withColumn("often", often).withColumn("at", F.row_number().over(rare) - 1).where("at < reach and often > 1")
     d = scratch.save(d.drop("reach", "often"), "prefixes")
     x = d.select("a", "element", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("at").alias("ax"), F.col("delta").alias("dx"), F.col("nb").alias("nx"))
     y = d.select("a", "element", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("at").alias("ay"), F.col("delta").alias("dy"), F.col("nb").alias("ny"))
