@@ -8,9 +8,11 @@ length-normalised scores: the mean per character over the whole text, and the hi
 1 and of ``window`` consecutive words, so that a short insult in a long text is not averaged away. A
 logistic curve over those, fitted on a fold the counts never saw, gives the score from 0 to 1.
 
-Counting is partial in each task (distinct words, then their n-grams), then one sum; the model keeps at most
-``max_grams`` n-grams of the top order (most frequent first), which bounds what is collected and broadcast. About
-``calibration_rows`` rows, drawn by hash, fit the curve; both bounds are parameters.
+Nothing is capped or sampled. The model is a table of n-grams (as text, so every letter is its own) that
+grows with the training rows; only two discounts an order and the curve's four weights reach the driver. Documents become
+numbers of words within chunks of a few MB; the distinct words of all chunks are cut into n-grams, the distinct
+n-grams meet the model's in buckets by the two letters before the last, and each chunk gets its own words' scores back.
+The curve takes Newton steps from sums over all rows of its fold.
 
 Defined results: null and empty texts have no words and get the score of all-zero features (never missing);
 without training rows of both classes every score is 0.5 less a hair, so nothing is predicted toxic; repeated rows
@@ -25,199 +27,56 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from loomgrain.llm.frequent import most_frequent
 from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
 _WORD = regex.compile(r"[^\W\d_]+")
-_LETTERS = 255
 #: Words longer than this are cut into stretches of this length, so that all of a word counts.
 _STRETCH = 40
+_CHUNK = 4 << 20
+#: Log-likelihoods are added as whole numbers of this fraction, so that sums do not depend on their order.
+_UNIT = 1 << 40
 
 
 def words_in(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _stretches(word: str) -> list[str]:
-    return [word] if len(word) <= _STRETCH else [word[i : i + _STRETCH] for i in range(0, len(word), _STRETCH)]
-
-
-class Alphabet:
-    """Letters as numbers: 0 is the space before a word, 1 the end, 2 and on the letters by falling frequency."""
-
-    def __init__(self, letters: list[str]):
-        self.code = {c: i + 3 for i, c in enumerate(letters[: _LETTERS - 4])}
-
-    def grams(self, words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
-        """All n-grams of the order as keys (8 bits a letter), and the word each belongs to."""
-        code = self.code
-        flat, sizes = [], []
-        for w in words:
-            flat += [0] * (order - 1)
-            flat += [code.get(c, 2) for c in w]
-            flat.append(1)
-            sizes.append(len(w) + 1)
-        letters = np.array(flat, np.int64)
-        n = len(letters) - order + 1
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keys = np.zeros(n, np.int64)
-        for k in range(order):
-            keys = keys << 8 | letters[k : k + n]
-        sizes = np.array(sizes)
-        starts = np.concatenate([[0], np.cumsum(sizes + order - 1)[:-1]])
-        at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-        return keys[at], np.repeat(np.arange(len(words)), sizes)
-
-
-class _Level:
-    """Counts of n-grams of one order with what their contexts add up to."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order].astype(np.float64)
-        contexts, at = np.unique(self.keys >> 8, return_inverse=True)
-        self.contexts = contexts
-        self.totals = np.bincount(at, self.counts, len(contexts))
-        self.types = np.bincount(at, minlength=len(contexts)).astype(np.float64)
-        ones, twos = float((self.counts == 1).sum()), float((self.counts == 2).sum())
-        self.discount = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
-
-    @staticmethod
-    def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        i = np.searchsorted(sorted_keys, keys)
-        i[i == len(sorted_keys)] = 0
-        return i, sorted_keys[i] == keys if len(sorted_keys) else np.zeros(len(keys), bool)
-
-    def mix(self, keys: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Chances of keys, given those of their shorter contexts."""
-        if not len(self.keys):
-            return lower
-        i, found = self._find(self.keys, keys)
-        j, known = self._find(self.contexts, keys >> 8)
-        count = np.where(found, np.maximum(self.counts[i] - self.discount, 0.0), 0.0)
-        mixed = (count + self.discount * self.types[j] * lower) / self.totals[j]
-        return np.where(known, mixed, lower)
-
-
-class KneserNey:
-    """Both classes' models: own levels from the top order to 3, shared levels 2 and 1."""
-
-    def __init__(self, alphabet: Alphabet, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int):
-        self.alphabet, self.order = alphabet, order
-        self.own: list[list[_Level]] = []
-        for counts in (ordinary, toxic):
-            levels, k, c = [], keys[counts > 0], counts[counts > 0]
-            for n in range(order, 2, -1):
-                levels.append(_Level(k, c))
-                k, c = np.unique(k & ((1 << 8 * (n - 1)) - 1), return_counts=True)
-            self.own.append(levels)
-        k = np.unique(keys)
-        shared = []
-        for n in range(order - 1, 0, -1):
-            k, c = np.unique(k & ((1 << 8 * n) - 1), return_counts=True)
-            if n <= 2:
-                shared.append(_Level(k, c))
-        self.shared = shared
-
-    def differences(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood of each word in the toxic model less that in the ordinary one, summed over its letters."""
-        if not words:
-            return np.zeros(0)
-        keys, owner = self.alphabet.grams(words, self.order)
-        each, back = np.unique(keys, return_inverse=True)
-        p = np.full(len(each), 1.0 / _LETTERS)
-        for n, level in ((1, self.shared[1]), (2, self.shared[0])):
-            p = level.mix(each & ((1 << 8 * n) - 1), p)
-        logs = []
-        for levels in self.own:
-            q = p
-            for n, level in zip(range(3, self.order + 1), reversed(levels), strict=True):
-                q = level.mix(each & ((1 << 8 * n) - 1), q)
-            logs.append(np.log(q))
-        return np.bincount(owner, (logs[1] - logs[0])[back], len(words))
-
-
-class Scorer(dict):
-    """Word scores, kept for the words seen so far; features of whole texts."""
-
-    def __init__(self, model: KneserNey, window: int, held: int = 150_000):
-        super().__init__()
-        self.model, self.window, self.held = model, window, held
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.held:
-            self.clear()
-            new = list(words)
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            cut = [_stretches(w) for w in part]
-            d = self.model.differences([s for c in cut for s in c])
-            ends = np.cumsum([len(c) for c in cut])
-            sums = np.add.reduceat(d, np.concatenate([[0], ends[:-1]]))
-            self.update(zip(part, sums.tolist(), strict=True))
-
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """(mean per letter, best word, best window of words), each normalised by length, per text."""
-        split = [words_in(t) for t in texts]
-        self.learn({w for ws in split for w in ws})
-        out = np.zeros((len(texts), 3))
-        for i, ws in enumerate(split):
-            if not ws:
-                continue
-            d = np.fromiter(map(self.__getitem__, ws), np.float64, len(ws))
-            size = sum(map(len, ws)) + len(ws)
-            best = d.max()
-            if len(d) > self.window:
-                c = np.concatenate([[0.0], np.cumsum(d)])
-                wide = (c[self.window :] - c[: -self.window]).max() / self.window
-            else:
-                wide = d.mean()
-            out[i] = d.sum() / size, best, wide
-        return out
-
-
 def training_fold(doc_id: Column, folds: int = 5) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
 
 
-def _letters(rows: DataFrame) -> list[str]:
-    """The letters of the training texts, most frequent first; at most as many as the alphabet has places."""
+def word_grams(word: Column, order: int) -> Column:
+    """All n-grams of a word's stretches; spaces stand before a stretch and a line end after it."""
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.floor((F.length(word) - 1) / _STRETCH).cast("int")),
+        lambda i: F.substring(word, i * _STRETCH + 1, F.lit(_STRETCH)),
+    )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(t.lower() if t else "")
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["c", "n"])
+    def cut(stretch: Column) -> Column:
+        padded = F.concat(F.lit(" " * (order - 1)), stretch, F.lit("\n"))
+        return F.transform(F.sequence(F.lit(1), F.length(stretch) + 1), lambda i: F.substring(padded, i, F.lit(order)))
 
-    c = rows.select("text").mapInArrow(tidy(count), "c string, n long").where(F.col("c").rlike(r"\p{L}"))
-    top = c.groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(_LETTERS)
-    return [r.c for r in top.collect()]
+    return F.flatten(F.transform(stretches, cut))
 
 
-def gram_counts(rows: DataFrame, alphabet: Alphabet, order: int) -> DataFrame:
-    """(key, toxic, ordinary) over (text, toxic) rows: words counted per task, their n-grams summed over all."""
+def gram_counts(rows: DataFrame, order: int) -> DataFrame:
+    """(key, toxic, ordinary) over (text, toxic) rows: words counted per task, then summed, then cut into n-grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
             words = list(seen[0].keys() | seen[1].keys())
-            cut = [(s, w) for w in words for s in _stretches(w)]
-            keys, owner = alphabet.grams([s for s, _ in cut], order)
-            each, at = np.unique(keys, return_inverse=True)
-            n = [np.array([c[w] for _, w in cut], np.float64) for c in seen]
+            arrays = [pa.array(words, pa.string()), *[pa.array([c[w] for w in words], pa.int64()) for c in (seen[1], seen[0])]]
             for c in seen:
                 c.clear()
-            sums = [np.bincount(at, x[owner], len(each)) if len(each) else np.zeros(0) for x in n]
-            arrays = [pa.array(each, pa.int64()), *[pa.array(s.astype(np.int64), pa.int64()) for s in (sums[1], sums[0])]]
-            return pa.RecordBatch.from_arrays(arrays, names=["key", "toxic", "ordinary"])
+            return pa.RecordBatch.from_arrays(arrays, names=["word", "toxic", "ordinary"])
 
         for b in batches:
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -226,20 +85,260 @@ def gram_counts(rows: DataFrame, alphabet: Alphabet, order: int) -> DataFrame:
                 yield flush()
         yield flush()
 
-    parts = rows.select("text", "toxic").mapInArrow(tidy(count), "key long, toxic long, ordinary long")
-    return parts.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    def total(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key).agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+    words = total(rows.select("text", "toxic").mapInArrow(tidy(count), "word string, toxic long, ordinary long"), "word")
+    return total(words.select(F.explode(word_grams(F.col("word"), order)).alias("key"), "toxic", "ordinary"), "key")
+
+
+class Level:
+    """The table (key, toxic, ordinary) of one order with both classes' discounts."""
+
+    def __init__(self, n: int, table: DataFrame):
+        self.n, self.table = n, table
+        tests = [F.sum((F.col(c) == k).cast("long")).alias(f"{c}{k}") for c in ("toxic", "ordinary") for k in (1, 2)]
+        seen = table.agg(*tests, F.count(F.lit(1)).alias("keys")).first()
+        self.keys = seen.keys
+        self.discounts = {c: self._discount(seen[f"{c}1"] or 0, seen[f"{c}2"] or 0) for c in ("toxic", "ordinary")}
+
+    @staticmethod
+    def _discount(ones: int, twos: int) -> float:
+        return min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+
+    def chances(self, asked: DataFrame, lower: DataFrame | None, base: float) -> DataFrame:
+        """(key, p_toxic, p_ordinary) of the last n letters of each asked key, given those of one letter less."""
+        n, classes = self.n, ("toxic", "ordinary")
+        contexts = self.table.groupBy(F.expr(f"left(key, {n - 1})").alias("context")).agg(
+            *[F.sum(c).alias(f"total_{c}") for c in classes], *[F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in classes]
+        )
+        keys = asked.select(F.expr(f"right(key, {n})").alias("key")).distinct()
+        keys = keys.withColumns({"context": F.expr(f"left(key, {n - 1})"), "shorter": F.expr(f"right(key, {n - 1})")})
+        found = keys.join(self.table, "key", "left").join(contexts, "context", "left")
+        if lower is None:
+            found = found.withColumns({f"q_{c}": F.lit(base) for c in classes})
+        else:
+            found = found.join(lower.select(F.col("key").alias("shorter"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes]), "shorter")
+        out = []
+        for c in classes:
+            d, q, total = F.lit(self.discounts[c]), F.col(f"q_{c}"), F.col(f"total_{c}")
+            mixed = (F.greatest(F.coalesce(F.col(c), F.lit(0)) - d, F.lit(0.0)) + d * F.col(f"types_{c}") * q) / total
+            out.append(F.when(total > 0, mixed).otherwise(q).alias(f"p_{c}"))
+        return found.select("key", *out)
+
+
+class _Own:
+    """One bucket's own levels, from rows of n-grams of which the first ``trained`` have counts.
+
+    A bucket has all n-grams of its pairs of letters before the last, so that their contexts of two letters on are whole.
+    """
+
+    def __init__(self, grams: list[str], toxic: np.ndarray, ordinary: np.ndarray, order: int):
+        letters = np.array(grams, f"<U{order}").view(np.uint32).reshape(len(grams), order).astype(np.int64)
+
+        def numbers(at: int, shorter: np.ndarray) -> np.ndarray:
+            return np.unique(letters[:, at] * len(grams) + shorter, return_inverse=True)[1]
+
+        self.keys = {1: numbers(order - 1, np.zeros(len(grams), np.int64))}
+        self.contexts = {1: np.zeros(len(grams), np.int64)}
+        for n in range(2, order + 1):
+            self.keys[n] = numbers(order - n, self.keys[n - 1])
+            self.contexts[n] = numbers(order - n, self.contexts[n - 1])
+        self.counts = []
+        for seen in (toxic, ordinary):
+            levels, row = {}, np.nonzero(seen > 0)[0]
+            weight = seen[row].astype(np.float64)
+            for n in range(order, 2, -1):
+                levels[n] = np.bincount(self.keys[n][row], weight, self.keys[n].max() + 1)
+                row = row[np.unique(self.keys[n][row], return_index=True)[1]]
+                weight = np.ones(len(row))
+            self.counts.append(levels)
+
+    def mixed(self, c: int, n: int, discount: float, lower: np.ndarray) -> np.ndarray:
+        key, context, counts = self.keys[n], self.contexts[n], self.counts[c][n]
+        first = np.unique(key, return_index=True)[1]
+        total = np.bincount(context[first], counts)[context]
+        types = np.bincount(context[first], counts > 0)[context]
+        value = np.maximum(counts[key] - discount, 0.0) + discount * types * lower
+        return np.where(total > 0, value / np.maximum(total, 1.0), lower)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights (bias first) of a logistic curve over standardised features, by Newton steps; classes weigh alike."""
-    mean, scale = x.mean(0), x.std(0) + 1e-9
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    w = np.zeros(z.shape[1])
+class KneserNey:
+    """Both classes' models as tables: own levels from the top order to 3, shared levels 2 and 1."""
+
+    def __init__(self, counts: DataFrame, order: int, scratch: Scratch):
+        self.order, self.counts, self.keys = order, counts, counts.count()
+        shorter = [F.expr(f"right(key, {n})").alias("key") for n in (3, 2, 1)]
+        both = [F.count(F.lit(1)).alias(c) for c in ("toxic", "ordinary")]
+        second = scratch.save(counts.select(shorter[0]).distinct().groupBy(shorter[1]).agg(*both), "level2")
+        first = scratch.save(second.groupBy(shorter[2]).agg(*both), "level1")
+        self.shared = [Level(1, first), Level(2, second)]
+        self.base = 1.0 / (self.shared[0].keys + 1)
+
+        def tell(rows: pa.Table) -> pa.Table:
+            own = _Own(rows.column("key").to_pylist(), rows.column("toxic").to_numpy(), rows.column("ordinary").to_numpy(), order)
+            told = [(n, c, int((x == 1).sum()), int((x == 2).sum())) for c in (0, 1) for n, x in own.counts[c].items()]
+            return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in zip(*told, strict=True)], names=["n", "c", "ones", "twos"])
+
+        told = self._dealt(counts, self.keys).groupBy("bucket").applyInArrow(tell, "n long, c long, ones long, twos long")
+        told = told.groupBy("n", "c").agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos")).collect()
+        self.discounts = {(r.n, r.c): Level._discount(r.ones, r.twos) for r in told}
+
+    def _dealt(self, grams: DataFrame, size: int) -> DataFrame:
+        pair = F.substring("key", self.order - 2, 2)
+        return grams.withColumn("bucket", F.pmod(F.xxhash64(pair), F.lit(max(64, size // 50_000))))
+
+    def differences(self, words: DataFrame, scratch: Scratch) -> DataFrame:
+        """(number, difference): log-likelihood in the toxic model less that in the ordinary one, summed over its letters."""
+        order, discounts = self.order, self.discounts
+        grams = words.select("number", F.explode(word_grams(F.col("word"), order)).alias("key"))
+        asked = scratch.save(grams.select("key").distinct(), "asked")
+        p = None
+        for level in self.shared:
+            p = level.chances(asked, p, self.base)
+        p = p.select(F.col("key").alias("shorter"), F.col("p_toxic").alias("p"))
+        asked = asked.withColumn("shorter", F.expr("right(key, 2)")).join(p, "shorter").select("key", "p")
+        trained = self._dealt(self.counts, self.keys).withColumnRenamed("bucket", "of")
+
+        def judge(asked: pa.Table, trained: pa.Table) -> pa.Table:
+            keys, none = asked.column("key").to_pylist(), np.zeros(asked.num_rows, np.int64)
+            if not keys:
+                return pa.table({"key": pa.array([], pa.string()), "difference": pa.array([], pa.int64())})
+            counts = [np.concatenate([trained.column(c).to_numpy(), none]) for c in ("toxic", "ordinary")]
+            own = _Own(trained.column("key").to_pylist() + keys, *counts, order)
+            logs = []
+            for c in (0, 1):
+                q = np.concatenate([np.ones(trained.num_rows), asked.column("p").to_numpy()])
+                for n in range(3, order + 1):
+                    q = own.mixed(c, n, discounts[n, c], q)
+                logs.append(np.log(q[trained.num_rows :]))
+            units = np.round((logs[0] - logs[1]) * _UNIT).astype(np.int64)
+            return pa.table({"key": pa.array(keys, pa.string()), "difference": pa.array(units)})
+
+        found = self._dealt(asked, self.keys).groupBy("bucket").cogroup(trained.groupBy("of")).applyInArrow(judge, "key string, difference long")
+        return grams.join(found, "key").groupBy("number").agg((F.sum("difference") / _UNIT).alias("difference"))
+
+
+class _Numbers(dict):
+    """Words by the number of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def numbered(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """Two kinds of rows by chunk: the carried columns with a text's words as numbers, and the chunk's list of words."""
+    base = docs.select(*carry, F.col("text").alias("__text"))
+    at = len(carry)
+    own = StructType.fromDDL("__chunk long, __n int, __ids binary, __words array<string>")
+    schema = StructType([*base.drop("__text").schema.fields, *own.fields])
+    for f in schema:
+        f.nullable = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size, numbers, kinds = TaskContext.get().partitionId() << 32, 0, _Numbers(), None
+
+        def told() -> pa.RecordBatch:
+            arrays = [*[pa.nulls(1, t) for t in kinds], pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array([list(numbers)], pa.list_(pa.string()))], names=schema.names)
+
+        for whole in batches:
+            kinds = [c.type for c in whole.columns[:at]]
+            for a in range(0, whole.num_rows, 200):
+                b = whole.slice(a, 200)
+                n, ids = [], []
+                for text in b.column(at).to_pylist():
+                    words = words_in(text)
+                    found = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
+                    n.append(len(words))
+                    ids.append(found.astype("<u2" if len(numbers) <= 1 << 16 else "<u4").tobytes())
+                    size += len(text or "")
+                rows = b.num_rows
+                arrays = [*b.columns[:at], pa.array([chunk] * rows, pa.int64()), pa.array(n, pa.int32()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(rows, pa.list_(pa.string()))], names=schema.names)
+                if size > _CHUNK:
+                    yield told()
+                    chunk, size, numbers = chunk + 1, 0, _Numbers()
+        if numbers:
+            yield told()
+
+    return base.mapInArrow(tidy(run), schema)
+
+
+_FEATURES = ["__mean", "__best", "__wide"]
+
+
+def features(docs: DataFrame, model: KneserNey, window: int, carry: list[str]) -> DataFrame:
+    """The carried columns with (mean per letter, best word, best window of words), each normalised by length."""
+    scratch = Scratch(docs.sparkSession, "words")
+    rows = scratch.save(numbered(docs, carry), "numbered")
+    said = rows.where("__words is not null").select(F.col("__chunk").alias("chunk"), F.posexplode("__words").alias("at", "word"))
+    words = scratch.save(said.select("word").distinct().withColumn("number", F.monotonically_increasing_id()), "words")
+    told = scratch.save(words.join(model.differences(words, scratch), "number").drop("number"), "scores")
+    scratch.release()
+    scores = said.join(told, "word").select("chunk", "at", F.length("word").alias("size"), "difference")
+    texts = rows.where("__words is null").drop("__words")
+    schema = StructType([*texts.select(*carry).schema.fields, *StructType.fromDDL(", ".join(f"{c} double" for c in _FEATURES)).fields])
+
+    def describe(texts: pa.Table, scores: pa.Table) -> pa.Table:
+        at = scores.column("at").to_numpy()
+        difference, letters = np.zeros(len(at)), np.zeros(len(at), np.int64)
+        difference[at] = scores.column("difference").to_numpy()
+        letters[at] = scores.column("size").to_numpy()
+        out = np.zeros((texts.num_rows, 3))
+        for i, (n, ids) in enumerate(zip(texts.column("__n").to_pylist(), texts.column("__ids").to_pylist(), strict=True)):
+            if not n:
+                continue
+            ids = np.frombuffer(ids, f"<u{len(ids) // n}")
+            d = difference[ids]
+            if n > window:
+                c = np.concatenate([[0.0], np.cumsum(d)])
+                wide = (c[window:] - c[:-window]).max() / window
+            else:
+                wide = d.mean()
+            out[i] = d.sum() / (letters[ids].sum() + n), d.max(), wide
+        arrays = [texts.column(c) for c in carry] + [pa.chunked_array([pa.array(out[:, k])]) for k in range(3)]
+        return pa.Table.from_arrays(arrays, names=schema.names)
+
+    return texts.groupBy("__chunk").cogroup(scores.groupBy("chunk")).applyInArrow(describe, schema)
+
+
+def fit_logistic(rows: DataFrame, names: list[str], ridge: float = 1e-2) -> np.ndarray | None:
+    """Weights (bias first) of a logistic curve over standardised features, by Newton steps; classes weigh alike.
+
+    Every step sums over all rows in their tasks. None without rows of both classes.
+    """
+    k = len(names)
+    moments = [f(c) for f in (F.avg, F.stddev_pop) for c in names]
+    told = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)), *moments).first()
+    size, positive = told[0], told[1]
+    if positive in (0, size):
+        return None
+    mean, scale = np.array(told[2 : 2 + k]), np.array(told[2 + k :]) + 1e-9
+    half = 0.5 * size / positive, 0.5 * size / (size - positive)
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros((k + 1) * (k + 2))
+            for b in batches:
+                x = np.column_stack([b.column(i).to_numpy() for i in range(k)])
+                y = b.column(k).to_numpy()
+                z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+                weight = np.where(y == 1, *half)
+                p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+                hess = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z
+                out += np.concatenate([z.T @ (weight * (p - y)), hess.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+        parts = rows.select(*names, "toxic").mapInArrow(run, "sums array<double>").collect()
+        return np.sum([r.sums for r in parts], axis=0)
+
+    w = np.zeros(k + 1)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (weight * (p - y)) + ridge * len(y) * np.r_[0, w[1:]]
-        hess = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + ridge * len(y) * np.diag(np.r_[1e-9, np.ones(len(w) - 1)])
+        s = sums(w)
+        grad = s[: k + 1] + ridge * size * np.r_[0, w[1:]]
+        hess = s[k + 1 :].reshape(k + 1, k + 1) + ridge * size * np.diag(np.r_[1e-9, np.ones(k)])
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -248,23 +347,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
 
 
 class ToxicityModel:
-    """A fitted model: word scorer and logistic weights; scores lists of texts."""
+    """A fitted model: tables of n-grams and logistic weights."""
 
-    def __init__(self, model: KneserNey | None, weights: np.ndarray | None, window: int):
-        self.model, self.weights, self.window = model, weights, window
-        self.scorer = Scorer(model, window) if model else None
+    def __init__(self, model: KneserNey | None, weights: np.ndarray | None, window: int, spark):
+        self.model, self.weights, self.window, self.spark = model, weights, window, spark
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if self.scorer is None or self.weights is None:
-            return np.full(len(texts), 0.499)
-        z = self.weights[0] + self.scorer.features(texts) @ self.weights[1:]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-    def __getstate__(self):
-        return self.model, self.weights, self.window
-
-    def __setstate__(self, state):
-        self.__init__(*state)
+        rows = self.spark.createDataFrame(list(enumerate(texts)), "at long, text string")
+        found = score_documents(rows, self, carry=["at"]).select("at", "score").collect()
+        return np.array([r.score for r in sorted(found, key=lambda r: r["at"])])
 
 
 def fit(
@@ -272,65 +363,41 @@ def fit(
     labels: DataFrame,
     order: int = 6,
     window: int = 4,
-    max_grams: int = 400_000,
-    calibration_rows: int = 20_000,
     max_broadcast_labels: int = 4_000_000,
     folds: int = 5,
 ) -> ToxicityModel:
     """Learn from labelled rows whose fold is not 0: counts from folds 1 to folds - 2, the curve from the last."""
+    spark = docs.sparkSession
     told = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (training_fold(F.col("doc_id"), folds) > 0))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    scratch = Scratch(docs.sparkSession, "toxicity")
+    scratch = Scratch(spark, "toxicity")
     told = scratch.save(told, "labels")
     # labels are narrow: up to a checked size they are broadcast, else both sides are shuffled
     near = F.broadcast(told) if told.count() <= max_broadcast_labels else told
     rows = docs.select("doc_id", "text").join(near, "doc_id").withColumn("fold", training_fold(F.col("doc_id"), folds))
-    rows = scratch.save(rows, "training")
-    counted = rows.where(F.col("fold") < folds - 1)
-    alphabet = Alphabet(_letters(counted))
-    counts = scratch.save(gram_counts(counted, alphabet, order), "grams")
-    table = most_frequent(counts, F.col("toxic") + F.col("ordinary"), max_grams).toPandas().sort_values("key")
-    scratch.drop(counts)
-    if not (table.toxic > 0).any() or not (table.ordinary > 0).any():
-        return ToxicityModel(None, None, window)
-    model = KneserNey(alphabet, table.key.to_numpy(np.int64), table.toxic.to_numpy(), table.ordinary.to_numpy(), order)
-    shared = docs.sparkSession.sparkContext.broadcast(ToxicityModel(model, None, window))
-    last = rows.where(F.col("fold") == folds - 1)
-    share = min(1.0, calibration_rows / max(1, last.count()))
-    sample = last.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                b = whole.slice(a, 500)
-                x = shared.value.scorer.features(b.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(x[:, k]) for k in range(3)] + [b.column(1)], names=["a", "b", "c", "toxic"])
-
-    seen = sample.select("text", "toxic").mapInArrow(tidy(describe), "a double, b double, c double, toxic int").toPandas()
-    scratch.drop(rows)
-    y = seen.toxic.to_numpy(np.float64)
-    if not len(y) or y.min() == y.max():
-        return ToxicityModel(model, np.array([-0.5, 0.0, 0.1, 0.1]), window)
-    return ToxicityModel(model, fit_logistic(seen[["a", "b", "c"]].to_numpy(), y), window)
+    counts = scratch.save(gram_counts(rows.where(F.col("fold") < folds - 1), order), "grams")
+    classes = counts.agg(F.max("toxic").alias("toxic"), F.max("ordinary").alias("ordinary")).first()
+    if not classes.toxic or not classes.ordinary:
+        return ToxicityModel(None, None, window, spark)
+    scratch.release()
+    model = KneserNey(counts, order, scratch)
+    seen = scratch.save(features(rows.where(F.col("fold") == folds - 1), model, window, ["toxic"]), "features")
+    scratch.release()
+    weights = fit_logistic(seen, _FEATURES)
+    return ToxicityModel(model, np.array([-0.5, 0.0, 0.1, 0.1]) if weights is None else weights, window, spark)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:
     """The carried columns of docs (all by default) with ``score`` and ``predicted``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     carried = [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
-    base = docs.select(*carried, F.col("text").alias("__text"))
-    at = len(carried)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                b = whole.slice(a, 500)
-                s = shared.value.scores(b.column(at).to_pylist())
-                arrays = [*b.columns[:at], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*carried, "score", "predicted"])
-
-    schema = base.drop("__text").withColumns({"score": F.lit(None).cast("double"), "predicted": F.lit(None).cast("int")}).schema
-    return base.mapInArrow(tidy(run), schema)
+    if model.model is None:
+        return docs.select(*carried, F.lit(0.499).alias("score"), F.lit(int(threshold <= 0.499)).alias("predicted"))
+    z = F.lit(float(model.weights[0]))
+    for c, w in zip(_FEATURES, model.weights[1:], strict=True):
+        z = z + F.col(c) * F.lit(float(w))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+    described = features(docs, model.model, model.window, carried).withColumn("score", score)
+    return described.select(*carried, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomgrain.llm import bpe, line_dedup, near_dup, packing, quality, suffix_dedup, topk, toxicity, url_filter, warc
+from loomgrain.session import Scratch
 from tests.llm.test_queries import remaining
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -269,3 +270,19 @@ def test_warc_links_in_both_directions_and_damage(spark):
     got = {r.capture_id: r for r in warc.assemble(spark.createDataFrame(rows, schema)).collect()}
     assert [x.record_id for x in got["<r>"].requests] == ["<q>"] and [x.record_id for x in got["<r>"].metadata] == ["<m>"]
     assert got["<s>"].requests == [] and got["<gone>"].record_id is None and [x.record_id for x in got["<gone>"].metadata] == ["<o>"]
+
+
+def test_toxicity_keeps_every_gram(spark):
+    """More distinct n-grams than the model once kept (400,000), each with its count."""
+    r = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(r.choice(letters) for _ in range(12)) for _ in range(45_000)]
+    rows = spark.createDataFrame([(" ".join(words[k::50]), k % 2) for k in range(50)], "text string, toxic int")
+    wanted = [set(), set()]
+    for i, w in enumerate(words):
+        padded = " " * 5 + w + "\n"
+        wanted[i % 50 % 2] |= {padded[j : j + 6] for j in range(len(w) + 1)}
+    counts = toxicity.gram_counts(rows, 6).cache()
+    model = toxicity.KneserNey(counts, 6, Scratch(spark, "test"))
+    assert model.keys == len(wanted[0] | wanted[1]) > 400_000
+    assert [counts.where(f"{c} > 0").count() for c in ("ordinary", "toxic")] == [len(x) for x in wanted]
