@@ -7,8 +7,8 @@ variable-order Markov models over the characters of host and path, one of accept
 other URL is its log-likelihood under the rejected model less that under the accepted one, divided by its length;
 it is blocked above a threshold calibrated on a held-out fifth of the decided URLs.
 
-Counting is a partial count per task and one sum; the model keeps at most ``max_grams`` n-grams (the most
-frequent) so that what is broadcast is bounded. At most ``calibration_rows`` held-out URLs fit the threshold.
+Counting is a partial count per task and one sum. All n-grams stay a table; the distinct texts' n-grams get their
+chances by equi-joins with it, from order 0 up. The threshold comes from a histogram of all held-out URLs' scores.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule with a host and scores
 0; with no decided URL of one class every undecided URL is allowed; repeated rows repeat; other columns pass.
@@ -16,7 +16,6 @@ Defined results: a null URL or one without ``://`` has empty host and path, fits
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,7 +24,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgrain.llm.frequent import most_frequent
 from loomgrain.session import Scratch
 
 
@@ -66,54 +64,45 @@ def _grams(text: str, order: int) -> Iterator[str]:
             yield padded[i - n : i + 1]
 
 
-class UrlModel:
-    """Witten-Bell mixtures of contexts up to the order, for two classes; built from (gram, accepted, rejected)."""
-
-    def __init__(self, rows: list[tuple[str, int, int]], order: int):
-        self.order = order
-        self.counts = ({}, {})
-        self.after: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
-        alphabet = set()
-        for gram, *two in rows:
-            alphabet.add(gram[-1])
-            for c, n in enumerate(two):
-                if n:
-                    self.counts[c][gram] = n
-                    at = self.after[c].setdefault(gram[:-1], [0, 0])
-                    at[0] += n
-                    at[1] += 1
-        self.base = 1.0 / (len(alphabet) + 1)
-        self.memo: dict[str, float] = {}
-
-    def trained(self) -> bool:
-        return bool(self.counts[0]) and bool(self.counts[1])
-
-    def chance(self, c: int, context: str, char: str) -> float:
-        p = self.base
-        for n in range(len(context) + 1):
-            ctx = context[len(context) - n :]
-            at = self.after[c].get(ctx)
-            if at is None:
-                break
-            p = (self.counts[c].get(ctx + char, 0) + at[1] * p) / (at[0] + at[1])
-        return p
-
-    def score(self, text: str) -> float:
-        """Length-normalised log-likelihood of rejected less accepted."""
-        if not text:
-            return 0.0
-        padded = "\x02" + text + "\x03"
-        total = 0.0
-        for i in range(1, len(padded)):
-            gram = padded[max(0, i - self.order) : i + 1]
-            s = self.memo.get(gram)
-            if s is None:
-                if len(self.memo) > 500_000:
-                    self.memo.clear()
-                s = math.log(self.chance(1, gram[:-1], gram[-1])) - math.log(self.chance(0, gram[:-1], gram[-1]))
-                self.memo[gram] = s
-            total += s
-        return total / (len(padded) - 1)
+#: Scores are added as whole numbers of this fraction, so that sums do not depend on their order.
+_UNIT = 1 << 40
+_BINS = 4096
+
+
+def score_texts(texts: DataFrame, counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
+    """(text, score) of distinct texts: length-normalised log-likelihood of rejected less accepted.
+
+    Witten-Bell mixtures of contexts up to the order; a context that a class has not seen leaves the shorter one's chance.
+    """
+    classes = ("accepted", "rejected")
+    padded = F.concat(F.lit("\x02"), "text", F.lit("\x03"))
+    places = F.sequence(F.lit(2), F.length("text") + 2)
+    cut = F.transform(places, lambda i: F.substring(padded, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))))
+    grams = texts.where(F.length("text") > 0).select("text", F.explode(cut).alias("gram"))
+    asked = scratch.save(grams.select("gram").distinct(), "asked")
+    letters = counts.where(F.length("gram") == 1).count()
+    lower, known = None, None
+    for n in range(order + 1):
+        level = counts.where(F.length("gram") == n + 1)
+        contexts = level.groupBy(F.expr(f"left(gram, {n})").alias("context")).agg(
+            *[F.sum(c).alias(f"total_{c}") for c in classes], *[F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in classes]
+        )
+        keys = asked.where(F.length("gram") > n).select(F.expr(f"right(gram, {n + 1})").alias("gram")).distinct()
+        keys = keys.withColumns({"context": F.expr(f"left(gram, {n})"), "shorter": F.expr(f"right(gram, {n})")})
+        found = keys.join(level, "gram", "left").join(contexts, "context", "left")
+        if lower is None:
+            found = found.withColumns({f"q_{c}": F.lit(1.0 / (letters + 1)) for c in classes})
+        else:
+            found = found.join(lower.select(F.col("gram").alias("shorter"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes]), "shorter")
+        out = []
+        for c in classes:
+            total, types, q = F.col(f"total_{c}"), F.col(f"types_{c}"), F.col(f"q_{c}")
+            out.append(F.when(total > 0, (F.coalesce(F.col(c), F.lit(0)) + types * q) / (total + types)).otherwise(q).alias(f"p_{c}"))
+        lower = scratch.save(found.select("gram", *out), f"order{n}")
+        known = lower if known is None else known.unionByName(lower)
+    unit = F.round((F.log("p_rejected") - F.log("p_accepted")) * _UNIT).cast("long").alias("part")
+    scored = grams.join(known.select("gram", unit), "gram").groupBy("text").agg(F.sum("part").alias("part"))
+    return scored.select("text", (F.col("part") / _UNIT / (F.length("text") + 1)).alias("score"))
 
 
 def gram_counts(decided: DataFrame, order: int) -> DataFrame:
@@ -142,32 +131,32 @@ def gram_counts(decided: DataFrame, order: int) -> DataFrame:
     return parts.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
 
 
-def _threshold(rows: list[tuple[float, str]]) -> float:
-    """The cut with the best mean of both classes' accuracy; midway between scores, 0 without both classes."""
-    rows = sorted(rows)
-    bad = sum(v == "block" for _, v in rows)
-    good = len(rows) - bad
+def _threshold(held: DataFrame) -> float:
+    """The cut with the best mean of both classes' accuracy over (score, bad) rows; 0 without both classes.
+
+    Scores fall into bins of equal width; the cut lies midway between the scores on its two sides.
+    """
+    ends = held.agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
+    if ends.low is None:
+        return 0.0
+    width = (ends.high - ends.low) / _BINS or 1.0
+    step = F.floor((F.col("score") - ends.low) / width)
+    bins = held.groupBy(step.alias("bin")).agg(
+        F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high")
+    ).orderBy("bin").collect()
+    bad, good = sum(r.bad for r in bins), sum(r.n - r.bad for r in bins)
     if not bad or not good:
         return 0.0
     best, cut, below = -1.0, 0.0, [0, 0]
-    for i, (s, v) in enumerate(rows):
-        below[v == "block"] += 1
-        following = rows[i + 1][0] if i + 1 < len(rows) else s
-        if following == s and i + 1 < len(rows):
-            continue
+    for i, r in enumerate(bins):
+        below = [below[0] + r.n - r.bad, below[1] + r.bad]
         value = below[0] / good + (bad - below[1]) / bad
         if value > best:
-            best, cut = value, (s + following) / 2
+            best, cut = value, (r.high + (bins[i + 1].low if i + 1 < len(bins) else r.high)) / 2
     return cut
 
 
-def filter_urls(
-    pages: DataFrame,
-    rules: list[Rule],
-    order: int = 5,
-    max_grams: int = 300_000,
-    calibration_rows: int = 20_000,
-) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[Rule], order: int = 5) -> DataFrame:
     """pages with host, path, rule, verdict and score (null where a rule decides)."""
     spark = pages.sparkSession
     own = ["host", "path", "rule", "verdict", "score"]
@@ -178,29 +167,16 @@ def filter_urls(
     held = F.pmod(F.crc32("text"), F.lit(5)) == 0
     scratch = Scratch(spark, "urls")
     counts = scratch.save(gram_counts(decided.where(~held), order), "grams")
-    kept = most_frequent(counts, F.col("accepted") + F.col("rejected"), max_grams)
-    model = UrlModel(sorted(tuple(r) for r in kept.collect()), order)
-    scratch.drop(counts)
-    sample = decided.where(held).distinct().orderBy(F.xxhash64("text"), "text").limit(calibration_rows).collect()
-    cut = _threshold([(model.score(r.text), r.verdict) for r in sample]) if model.trained() else math.inf
-    model.memo.clear()
-    shared = spark.sparkContext.broadcast((model, cut))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cut = shared.value
-        for b in batches:
-            named = dict(zip(b.schema.names, b.columns, strict=True))
-            verdicts, scores = named["verdict"].to_pylist(), []
-            for i, (h, p) in enumerate(zip(named["host"].to_pylist(), named["path"].to_pylist(), strict=True)):
-                s = None
-                if verdicts[i] is None:
-                    s = model.score(h + p) if model.trained() else 0.0
-                    verdicts[i] = "block" if s > cut else "allow"
-                scores.append(s)
-            named |= {"verdict": pa.array(verdicts, pa.string()), "score": pa.array(scores, pa.float64())}
-            yield pa.RecordBatch.from_arrays(list(named.values()), names=list(named))
-
-    schema = known.withColumn("score", F.lit(0.0).cast("double")).schema
-    for f in schema:
-        f.nullable = True
-    return known.mapInArrow(judge, schema)
+    classes = counts.agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).first()
+    open_ = F.col("verdict").isNull()
+    if not classes.accepted or not classes.rejected:
+        return known.withColumns({"score": F.when(open_, 0.0), "verdict": F.coalesce("verdict", F.lit("allow"))})
+    texts = known.select(text.alias("text"), "verdict").where(open_ | (held & F.lit(True))).select("text").distinct()
+    scores = scratch.save(score_texts(scratch.save(texts, "texts"), counts, order, scratch), "scores")
+    sample = decided.where(held).distinct().join(scores, "text", "left")
+    cut = _threshold(sample.select(F.coalesce("score", F.lit(0.0)).alias("score"), (F.col("verdict") == "block").cast("int").alias("bad")))
+    told = scores.select(F.col("text").alias("__text"), F.col("score").alias("__score"))
+    asked = F.when(open_, text)
+    out = known.join(told, asked == F.col("__text"), "left").drop("__text")
+    out = out.withColumn("score", F.when(open_, F.coalesce("__score", F.lit(0.0)))).drop("__score")
+    return out.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > cut, "block").otherwise("allow")))

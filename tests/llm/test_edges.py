@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties and repeated rows: each operator's defined results."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -286,3 +287,17 @@ def test_toxicity_keeps_every_gram(spark):
     model = toxicity.KneserNey(counts, 6, Scratch(spark, "test"))
     assert model.keys == len(wanted[0] | wanted[1]) > 400_000
     assert [counts.where(f"{c} > 0").count() for c in ("ordinary", "toxic")] == [len(x) for x in wanted]
+
+
+def test_url_model_keeps_every_gram(spark):
+    """More n-grams than the model once kept (300,000): a text of one seen context still scores by it."""
+    r = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(r.choice(letters) for _ in range(24))
+    rows = [(i, f"http://{word()}.com/en/" if i % 2 else f"http://{word()}.net/de/") for i in range(8000)]
+    seen = next(u for _, u in rows if u.endswith("/de/") and zlib.crc32(u[7:].encode()) % 5)
+    rows.append((9000, f"http://{seen[7:31]}.org/x"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [url_filter.Rule("block", "com", "/en/"), url_filter.Rule("allow", "net", "/de/")]
+    got = url_filter.filter_urls(pages, rules).where("page_id = 9000").first()
+    assert got.verdict == "allow" and got.score < -0.5
