@@ -1,6 +1,6 @@
 """Toxicity by class-conditional Kneser-Ney models over the characters of words.
 
-Two character n-gram models, one of toxic and one of ordinary documents, are counted over all training rows.
+Two character n-gram models, one of toxic and one of ordinary documents, are counted over the labelled rows of all folds but 0 and the last.
 Orders from ``order`` down to 3 are the class's own, with interpolated Kneser-Ney discounts; orders 2 and 1 are
 continuation counts of both classes together, so an expression rare in both backs off to the same numbers and says
 little. A word's score is its log-likelihood in the toxic model less that in the ordinary one. A document is described by
@@ -9,7 +9,7 @@ length-normalised scores: the mean per character over the whole text, and the hi
 logistic curve over those, fitted on a fold the counts never saw, gives the score from 0 to 1.
 
 Nothing is capped or sampled. The model is a table of n-grams (as text, so every letter is its own) that
-grows with the training rows; only two discounts an order and the curve's four weights reach the driver. Documents become
+grows with these rows; only two discounts an order and the curve's four weights reach the driver. Documents become
 numbers of words within chunks of a few MB; the distinct words of all chunks are cut into n-grams, the distinct
 n-grams meet the model's in buckets by the two letters before the last, and each chunk gets its own words' scores back.
 The curve takes Newton steps from sums over all rows of its fold.
