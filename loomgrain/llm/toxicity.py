@@ -1,20 +1,24 @@
 """Toxicity by class-conditional Kneser-Ney models over the characters of words.
 
-Two character n-gram models, one of toxic and one of ordinary documents, are counted over the labelled rows of all folds but 0 and the last.
-Orders from ``order`` down to 3 are the class's own, with interpolated Kneser-Ney discounts; orders 2 and 1 are
-continuation counts of both classes together, so an expression rare in both backs off to the same numbers and says
-little. A word's score is its log-likelihood in the toxic model less that in the ordinary one. A document is described by
-length-normalised scores: the mean per character over the whole text, and the highest mean over windows of
-1 and of ``window`` consecutive words, so that a short insult in a long text is not averaged away. A
-logistic curve over those, fitted on a fold the counts never saw, gives the score from 0 to 1.
-
-Nothing is capped or sampled. The model is a table of n-grams (as text, so every letter is its own) that
-grows with these rows; only two discounts an order and the curve's four weights reach the driver. Documents become
-numbers of words within chunks of a few MB; the distinct words of all chunks are cut into n-grams, the distinct
-n-grams meet the model's in buckets by the two letters before the last, and each chunk gets its own words' scores back.
-The curve takes Newton steps from sums over all rows of its fold.
-
-Defined results: null and empty texts have no words and get the score of all-zero features (never missing);
+A model of toxic and one of ordinary documents are counted over the labelled rows of all folds but 0. Each predicts the next
+character of a word from the ``order - 1`` before it: a count less the discount ``floor``, the rest of the context's mass going to a
+backoff that both classes share, an interpolated Kneser-Ney model of all orders down to 1 over the counts of both classes
+together. So an expression that a class has no more than ``floor`` times is as likely as in the corpus as a whole. A word's
+difference is its log-likelihood in the toxic model less that in the ordinary one. A document's is the sum over its
+words of what exceeds ``noise`` (words within it count as equally likely in both), divided by the number of words. A
+logistic curve over the logarithm of that gives the score from 0 to 1; its weight must be positive. It is fitted on the last fold with
+models that have not counted that fold; the final models count it too.
+
+Nothing is capped or sampled. Where neither class has a context more than ``floor`` times with any one next character, both
+models are the backoff and differ by nothing; all other contexts and n-grams stay, in tables that grow with the
+labelled rows. Documents become numbers of words within chunks of a few MB; the distinct words of all chunks are scored by
+equi-joins with these tables, and each chunk gets its own words' differences back. Only discounts, class totals and the
+curve's two weights reach the driver.
+
+Words are runs without white space, less punctuation at either end, so masked spellings stay whole. Expressions of
+several words are seen only through their words.
+
+Defined results: null and empty texts have no words and get the score of no difference (never missing);
 without training rows of both classes every score is 0.5 less a hair, so nothing is predicted toxic; repeated rows
 repeat; label rows with a null doc_id or label are not used; other columns are not read.
 """
@@ -28,23 +32,28 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomgrain.llm.memory import tidy
 from loomgrain.session import Scratch
 
-_WORD = regex.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"[\w\p{M}](?:\S*[\w\p{M}])?|\S+")
 #: Words longer than this are cut into stretches of this length, so that all of a word counts.
 _STRETCH = 40
 _CHUNK = 4 << 20
 #: Log-likelihoods are added as whole numbers of this fraction, so that sums do not depend on their order.
 _UNIT = 1 << 40
+_CLASSES = ("toxic", "ordinary")
 
 
 def words_in(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The words of a text in order, long ones in stretches."""
+    words = _WORD.findall(text.lower()) if text else []
+    if any(len(w) > _STRETCH for w in words):
+        words = [w[i : i + _STRETCH] for w in words for i in range(0, len(w), _STRETCH)]
+    return words
 
 
 def training_fold(doc_id: Column, folds: int = 5) -> Column:
@@ -52,171 +61,121 @@ def training_fold(doc_id: Column, folds: int = 5) -> Column:
 
 
 def word_grams(word: Column, order: int) -> Column:
-    """All n-grams of a word's stretches; spaces stand before a stretch and a line end after it."""
-    stretches = F.transform(
-        F.sequence(F.lit(0), F.floor((F.length(word) - 1) / _STRETCH).cast("int")),
-        lambda i: F.substring(word, i * _STRETCH + 1, F.lit(_STRETCH)),
-    )
-
-    def cut(stretch: Column) -> Column:
-        padded = F.concat(F.lit(" " * (order - 1)), stretch, F.lit("\n"))
-        return F.transform(F.sequence(F.lit(1), F.length(stretch) + 1), lambda i: F.substring(padded, i, F.lit(order)))
-
-    return F.flatten(F.transform(stretches, cut))
+    """All n-grams of a word; spaces stand before it and a line end after it."""
+    padded = F.concat(F.lit(" " * (order - 1)), word, F.lit("\n"))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(padded, i, F.lit(order)))
 
 
 def gram_counts(rows: DataFrame, order: int) -> DataFrame:
-    """(key, toxic, ordinary) over (text, toxic) rows: words counted per task, then summed, then cut into n-grams."""
+    """(key, toxic, ordinary, held_toxic, held_ordinary) over (text, toxic, held) rows; the last two are of held rows alone.
+
+    Words are counted per task, then summed, then cut into n-grams.
+    """
+    names = ["toxic", "ordinary", "held_toxic", "held_ordinary"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        seen: dict[tuple[int, bool], Counter] = {(t, h): Counter() for t in (0, 1) for h in (False, True)}
 
         def flush() -> pa.RecordBatch:
-            words = list(seen[0].keys() | seen[1].keys())
-            arrays = [pa.array(words, pa.string()), *[pa.array([c[w] for w in words], pa.int64()) for c in (seen[1], seen[0])]]
-            for c in seen:
+            words = list(set().union(*seen.values()))
+            held = {t: np.array([seen[t, True][w] for w in words], np.int64) for t in (0, 1)}
+            every = {t: held[t] + np.array([seen[t, False][w] for w in words], np.int64) for t in (0, 1)}
+            for c in seen.values():
                 c.clear()
-            return pa.RecordBatch.from_arrays(arrays, names=["word", "toxic", "ordinary"])
+            arrays = [pa.array(words, pa.string()), *map(pa.array, (every[1], every[0], held[1], held[0]))]
+            return pa.RecordBatch.from_arrays(arrays, names=["word", *names])
 
         for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen[toxic].update(words_in(text))
-            if len(seen[0]) + len(seen[1]) > 200_000:
+            for text, toxic, held in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                seen[toxic, held].update(words_in(text))
+            if sum(map(len, seen.values())) > 200_000:
                 yield flush()
         yield flush()
 
     def total(df: DataFrame, key: str) -> DataFrame:
-        return df.groupBy(key).agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-
-    words = total(rows.select("text", "toxic").mapInArrow(tidy(count), "word string, toxic long, ordinary long"), "word")
-    return total(words.select(F.explode(word_grams(F.col("word"), order)).alias("key"), "toxic", "ordinary"), "key")
-
-
-class Level:
-    """The table (key, toxic, ordinary) of one order with both classes' discounts."""
-
-    def __init__(self, n: int, table: DataFrame):
-        self.n, self.table = n, table
-        tests = [F.sum((F.col(c) == k).cast("long")).alias(f"{c}{k}") for c in ("toxic", "ordinary") for k in (1, 2)]
-        seen = table.agg(*tests, F.count(F.lit(1)).alias("keys")).first()
-        self.keys = seen.keys
-        self.discounts = {c: self._discount(seen[f"{c}1"] or 0, seen[f"{c}2"] or 0) for c in ("toxic", "ordinary")}
-
-    @staticmethod
-    def _discount(ones: int, twos: int) -> float:
-        return min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
-
-    def chances(self, asked: DataFrame, lower: DataFrame | None, base: float) -> DataFrame:
-        """(key, p_toxic, p_ordinary) of the last n letters of each asked key, given those of one letter less."""
-        n, classes = self.n, ("toxic", "ordinary")
-        contexts = self.table.groupBy(F.expr(f"left(key, {n - 1})").alias("context")).agg(
-            *[F.sum(c).alias(f"total_{c}") for c in classes], *[F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in classes]
-        )
-        keys = asked.select(F.expr(f"right(key, {n})").alias("key")).distinct()
-        keys = keys.withColumns({"context": F.expr(f"left(key, {n - 1})"), "shorter": F.expr(f"right(key, {n - 1})")})
-        found = keys.join(self.table, "key", "left").join(contexts, "context", "left")
-        if lower is None:
-            found = found.withColumns({f"q_{c}": F.lit(base) for c in classes})
-        else:
-            found = found.join(lower.select(F.col("key").alias("shorter"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes]), "shorter")
-        out = []
-        for c in classes:
-            d, q, total = F.lit(self.discounts[c]), F.col(f"q_{c}"), F.col(f"total_{c}")
-            mixed = (F.greatest(F.coalesce(F.col(c), F.lit(0)) - d, F.lit(0.0)) + d * F.col(f"types_{c}") * q) / total
-            out.append(F.when(total > 0, mixed).otherwise(q).alias(f"p_{c}"))
-        return found.select("key", *out)
-
-
-class _Own:
-    """One bucket's own levels, from rows of n-grams of which the first ``trained`` have counts.
-
-    A bucket has all n-grams of its pairs of letters before the last, so that their contexts of two letters on are whole.
-    """
+        return df.groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+
+    schema = "word string, " + ", ".join(f"{n} long" for n in names)
+    words = total(rows.select("text", "toxic", "held").mapInArrow(tidy(count), schema), "word")
+    return total(words.select(F.explode(word_grams(F.col("word"), order)).alias("key"), *names), "key")
+
+
+def _discount(ones: int, twos: int) -> float:
+    return min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
 
-    def __init__(self, grams: list[str], toxic: np.ndarray, ordinary: np.ndarray, order: int):
-        letters = np.array(grams, f"<U{order}").view(np.uint32).reshape(len(grams), order).astype(np.int64)
-
-        def numbers(at: int, shorter: np.ndarray) -> np.ndarray:
-            return np.unique(letters[:, at] * len(grams) + shorter, return_inverse=True)[1]
-
-        self.keys = {1: numbers(order - 1, np.zeros(len(grams), np.int64))}
-        self.contexts = {1: np.zeros(len(grams), np.int64)}
-        for n in range(2, order + 1):
-            self.keys[n] = numbers(order - n, self.keys[n - 1])
-            self.contexts[n] = numbers(order - n, self.contexts[n - 1])
-        self.counts = []
-        for seen in (toxic, ordinary):
-            levels, row = {}, np.nonzero(seen > 0)[0]
-            weight = seen[row].astype(np.float64)
-            for n in range(order, 2, -1):
-                levels[n] = np.bincount(self.keys[n][row], weight, self.keys[n].max() + 1)
-                row = row[np.unique(self.keys[n][row], return_index=True)[1]]
-                weight = np.ones(len(row))
-            self.counts.append(levels)
-
-    def mixed(self, c: int, n: int, discount: float, lower: np.ndarray) -> np.ndarray:
-        key, context, counts = self.keys[n], self.contexts[n], self.counts[c][n]
-        first = np.unique(key, return_index=True)[1]
-        total = np.bincount(context[first], counts)[context]
-        types = np.bincount(context[first], counts > 0)[context]
-        value = np.maximum(counts[key] - discount, 0.0) + discount * types * lower
-        return np.where(total > 0, value / np.maximum(total, 1.0), lower)
+
+def shared_backoff(counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
+    """(key, p): interpolated Kneser-Ney chance of each n-gram's last character over (key, n) counts of both classes.
+
+    Lower orders count in how many contexts of one character more an n-gram occurs.
+    """
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        shorter = levels[n + 1].groupBy(F.expr(f"right(key, {n})").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        levels[n] = scratch.save(shorter, f"order{n}")
+    chances = None
+    for n in range(1, order + 1):
+        told = levels[n].agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2)], F.sum("n"), F.count(F.lit(1))).first()
+        d = F.lit(_discount(told[0], told[1]))
+        if chances is None:
+            kinds = F.lit(float(told[3]))
+            value = (F.col("n") - d + d * kinds / (kinds + 1)) / F.lit(float(told[2] or 1))
+            chances = levels[n].select("key", value.alias("p"))
+            continue
+        rows = levels[n].withColumns({"context": F.expr(f"left(key, {n - 1})"), "shorter": F.expr(f"right(key, {n - 1})")})
+        contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        lower = chances.select(F.col("key").alias("shorter"), F.col("p").alias("q"))
+        value = (F.col("n") - d + d * F.col("kinds") * F.col("q")) / F.col("total")
+        chances = rows.join(contexts, "context").join(lower, "shorter").select("key", value.alias("p"))
+        if 1 < n < order:
+            chances = scratch.save(chances, f"chances{n}")
+    return chances
 
 
 class KneserNey:
-    """Both classes' models as tables: own levels from the top order to 3, shared levels 2 and 1."""
-
-    def __init__(self, counts: DataFrame, order: int, scratch: Scratch):
-        self.order, self.counts, self.keys = order, counts, counts.count()
-        shorter = [F.expr(f"right(key, {n})").alias("key") for n in (3, 2, 1)]
-        both = [F.count(F.lit(1)).alias(c) for c in ("toxic", "ordinary")]
-        second = scratch.save(counts.select(shorter[0]).distinct().groupBy(shorter[1]).agg(*both), "level2")
-        first = scratch.save(second.groupBy(shorter[2]).agg(*both), "level1")
-        self.shared = [Level(1, first), Level(2, second)]
-        self.base = 1.0 / (self.shared[0].keys + 1)
-
-        def tell(rows: pa.Table) -> pa.Table:
-            own = _Own(rows.column("key").to_pylist(), rows.column("toxic").to_numpy(), rows.column("ordinary").to_numpy(), order)
-            told = [(n, c, int((x == 1).sum()), int((x == 2).sum())) for c in (0, 1) for n, x in own.counts[c].items()]
-            return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in zip(*told, strict=True)], names=["n", "c", "ones", "twos"])
-
-        told = self._dealt(counts, self.keys).groupBy("bucket").applyInArrow(tell, "n long, c long, ones long, twos long")
-        told = told.groupBy("n", "c").agg(F.sum("ones").alias("ones"), F.sum("twos").alias("twos")).collect()
-        self.discounts = {(r.n, r.c): Level._discount(r.ones, r.twos) for r in told}
-
-    def _dealt(self, grams: DataFrame, size: int) -> DataFrame:
-        pair = F.substring("key", self.order - 2, 2)
-        return grams.withColumn("bucket", F.pmod(F.xxhash64(pair), F.lit(max(64, size // 50_000))))
-
-    def differences(self, words: DataFrame, scratch: Scratch) -> DataFrame:
-        """(number, difference): log-likelihood in the toxic model less that in the ordinary one, summed over its letters."""
-        order, discounts = self.order, self.discounts
-        grams = words.select("number", F.explode(word_grams(F.col("word"), order)).alias("key"))
-        asked = scratch.save(grams.select("key").distinct(), "asked")
-        p = None
-        for level in self.shared:
-            p = level.chances(asked, p, self.base)
-        p = p.select(F.col("key").alias("shorter"), F.col("p_toxic").alias("p"))
-        asked = asked.withColumn("shorter", F.expr("right(key, 2)")).join(p, "shorter").select("key", "p")
-        trained = self._dealt(self.counts, self.keys).withColumnRenamed("bucket", "of")
-
-        def judge(asked: pa.Table, trained: pa.Table) -> pa.Table:
-            keys, none = asked.column("key").to_pylist(), np.zeros(asked.num_rows, np.int64)
-            if not keys:
-                return pa.table({"key": pa.array([], pa.string()), "difference": pa.array([], pa.int64())})
-            counts = [np.concatenate([trained.column(c).to_numpy(), none]) for c in ("toxic", "ordinary")]
-            own = _Own(trained.column("key").to_pylist() + keys, *counts, order)
-            logs = []
-            for c in (0, 1):
-                q = np.concatenate([np.ones(trained.num_rows), asked.column("p").to_numpy()])
-                for n in range(3, order + 1):
-                    q = own.mixed(c, n, discounts[n, c], q)
-                logs.append(np.log(q[trained.num_rows :]))
-            units = np.round((logs[0] - logs[1]) * _UNIT).astype(np.int64)
-            return pa.table({"key": pa.array(keys, pa.string()), "difference": pa.array(units)})
-
-        found = self._dealt(asked, self.keys).groupBy("bucket").cogroup(trained.groupBy("of")).applyInArrow(judge, "key string, difference long")
-        return grams.join(found, "key").groupBy("number").agg((F.sum("difference") / _UNIT).alias("difference"))
+    """Both classes' models over (key, toxic, ordinary) counts, as the tables by which they differ.
+
+    ``contexts`` (context, base): the log ratio of both classes' backoff mass, for contexts in which a class has
+    an n-gram more than ``floor`` times; ``grams`` (context, letter, more): what such an n-gram's log ratio is beyond that.
+    """
+
+    def __init__(self, counts: DataFrame, order: int, floor: int, scratch: Scratch):
+        self.order = order
+        shared = shared_backoff(counts.select("key", (F.col("toxic") + F.col("ordinary")).alias("n")), order, scratch)
+        counts = counts.withColumn("context", F.expr(f"left(key, {order - 1})"))
+        often = F.greatest(*_CLASSES) > floor
+        sums = [F.sum(c).alias(f"total_{c}") for c in _CLASSES] + [F.sum(F.least(F.col(c), F.lit(floor))).alias(f"left_{c}") for c in _CLASSES]
+        contexts = counts.groupBy("context").agg(*sums, F.max(often).alias("often")).where("often").drop("often")
+
+        def log_ratio(chance) -> Column:
+            return F.log(chance("toxic")) - F.log(chance("ordinary"))
+
+        def whole(x: Column) -> Column:
+            return F.round(x * _UNIT).cast("long")
+
+        def backoff(c: str) -> Column:
+            return F.when(F.col(f"total_{c}") > 0, F.col(f"left_{c}") / F.col(f"total_{c}")).otherwise(1.0)
+
+        def chance(c: str) -> Column:
+            own = F.greatest(F.col(c) - floor, F.lit(0)) + F.col(f"left_{c}") * F.col("p")
+            return F.when(F.col(f"total_{c}") > 0, own / F.col(f"total_{c}")).otherwise(F.col("p"))
+
+        contexts = scratch.save(contexts.withColumn("base", whole(log_ratio(backoff))), "contexts")
+        grams = counts.where(often).join(contexts, "context").join(shared, "key")
+        more = whole(log_ratio(chance)) - F.col("base")
+        self.grams = scratch.save(grams.select("context", F.expr("right(key, 1)").alias("letter"), more.alias("more")), "grams")
+        self.contexts = contexts.select("context", "base")
+
+    def differences(self, words: DataFrame) -> DataFrame:
+        """(word, difference) of distinct words: log-likelihood in the toxic model less that in the ordinary one; none for no difference.
+
+        The models' tables are joined as equi-joins: broadcast while Spark finds them small, by shuffle beyond.
+        """
+        grams = words.select("word", F.explode(word_grams(F.col("word"), self.order)).alias("key"))
+        letters = grams.select("word", F.expr(f"left(key, {self.order - 1})").alias("context"), F.expr("right(key, 1)").alias("letter"))
+        met = letters.join(self.contexts, "context").join(self.grams, ["context", "letter"], "left")
+        part = F.sum(F.col("base") + F.coalesce("more", F.lit(0)))
+        return met.groupBy("word").agg((part / _UNIT).alias("difference"))
 
 
 class _Numbers(dict):
@@ -266,42 +225,38 @@ def numbered(docs: DataFrame, carry: list[str]) -> DataFrame:
     return base.mapInArrow(tidy(run), schema)
 
 
-_FEATURES = ["__mean", "__best", "__wide"]
-
-
-def features(docs: DataFrame, model: KneserNey, window: int, carry: list[str]) -> DataFrame:
-    """The carried columns with (mean per letter, best word, best window of words), each normalised by length."""
+def excesses(docs: DataFrame, model: KneserNey, noise: float, carry: list[str]) -> DataFrame:
+    """The carried columns with ``__excess``: the mean over a text's words of what their difference exceeds the noise by."""
     scratch = Scratch(docs.sparkSession, "words")
     rows = scratch.save(numbered(docs, carry), "numbered")
     said = rows.where("__words is not null").select(F.col("__chunk").alias("chunk"), F.posexplode("__words").alias("at", "word"))
-    words = scratch.save(said.select("word").distinct().withColumn("number", F.monotonically_increasing_id()), "words")
-    told = scratch.save(words.join(model.differences(words, scratch), "number").drop("number"), "scores")
-    scratch.release()
-    scores = said.join(told, "word").select("chunk", "at", F.length("word").alias("size"), "difference")
+    over = F.col("difference") - F.lit(float(noise))
+    told = model.differences(said.select("word").distinct()).where(over > 0).select("word", over.alias("over"))
+    hits = said.join(told, "word").select("chunk", "at", "over")
     texts = rows.where("__words is null").drop("__words")
-    schema = StructType([*texts.select(*carry).schema.fields, *StructType.fromDDL(", ".join(f"{c} double" for c in _FEATURES)).fields])
-
-    def describe(texts: pa.Table, scores: pa.Table) -> pa.Table:
-        at = scores.column("at").to_numpy()
-        difference, letters = np.zeros(len(at)), np.zeros(len(at), np.int64)
-        difference[at] = scores.column("difference").to_numpy()
-        letters[at] = scores.column("size").to_numpy()
-        out = np.zeros((texts.num_rows, 3))
+    schema = StructType([*texts.select(*carry).schema.fields, *StructType.fromDDL("__excess double").fields])
+
+    def describe(texts: pa.Table, hits: pa.Table) -> pa.Table:
+        at = hits.column("at").to_numpy()
+        over = np.zeros(int(at.max(initial=-1)) + 2)
+        over[at] = hits.column("over").to_numpy()
+        out = np.zeros(texts.num_rows)
         for i, (n, ids) in enumerate(zip(texts.column("__n").to_pylist(), texts.column("__ids").to_pylist(), strict=True)):
-            if not n:
-                continue
-            ids = np.frombuffer(ids, f"<u{len(ids) // n}")
-            d = difference[ids]
-            if n > window:
-                c = np.concatenate([[0.0], np.cumsum(d)])
-                wide = (c[window:] - c[:-window]).max() / window
-            else:
-                wide = d.mean()
-            out[i] = d.sum() / (letters[ids].sum() + n), d.max(), wide
-        arrays = [texts.column(c) for c in carry] + [pa.chunked_array([pa.array(out[:, k])]) for k in range(3)]
+            if n:
+                found = np.frombuffer(ids, f"<u{len(ids) // n}").astype(np.int64)
+                out[i] = over[np.minimum(found, len(over) - 1)].sum() / n
+        arrays = [texts.column(c) for c in carry] + [pa.chunked_array([pa.array(out)])]
         return pa.Table.from_arrays(arrays, names=schema.names)
 
-    return texts.groupBy("__chunk").cogroup(scores.groupBy("chunk")).applyInArrow(describe, schema)
+    return texts.groupBy("__chunk").cogroup(hits.groupBy("chunk")).applyInArrow(describe, schema)
+
+
+#: Added to an excess before its logarithm is taken.
+_LEAST = 0.01
+
+
+def _feature() -> Column:
+    return F.log(F.col("__excess") + _LEAST)
 
 
 def fit_logistic(rows: DataFrame, names: list[str], ridge: float = 1e-2) -> np.ndarray | None:
@@ -346,11 +301,15 @@ def fit_logistic(rows: DataFrame, names: list[str], ridge: float = 1e-2) -> np.n
     return np.concatenate([[w[0] - (w[1:] * mean / scale).sum()], w[1:] / scale])
 
 
+#: The curve where there is nothing to fit it on: one half at a mean excess of 0.04.
+_PLAIN = np.array([3.0, 1.0])
+
+
 class ToxicityModel:
-    """A fitted model: tables of n-grams and logistic weights."""
+    """A fitted model: tables of contexts and n-grams, and the curve's weights."""
 
-    def __init__(self, model: KneserNey | None, weights: np.ndarray | None, window: int, spark):
-        self.model, self.weights, self.window, self.spark = model, weights, window, spark
+    def __init__(self, model: KneserNey | None, weights: np.ndarray | None, noise: float, spark: SparkSession):
+        self.model, self.weights, self.noise, self.spark = model, weights, noise, spark
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         rows = self.spark.createDataFrame(list(enumerate(texts)), "at long, text string")
@@ -361,12 +320,13 @@ class ToxicityModel:
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    order: int = 6,
-    window: int = 4,
+    order: int = 5,
+    floor: int = 2,
+    noise: float = 2.0,
     max_broadcast_labels: int = 4_000_000,
     folds: int = 5,
 ) -> ToxicityModel:
-    """Learn from labelled rows whose fold is not 0: counts from folds 1 to folds - 2, the curve from the last."""
+    """Learn from labelled rows whose fold is not 0: the curve from the last fold, the models from all of them."""
     spark = docs.sparkSession
     told = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (training_fold(F.col("doc_id"), folds) > 0))
@@ -377,17 +337,23 @@ def fit(
     told = scratch.save(told, "labels")
     # labels are narrow: up to a checked size they are broadcast, else both sides are shuffled
     near = F.broadcast(told) if told.count() <= max_broadcast_labels else told
-    rows = docs.select("doc_id", "text").join(near, "doc_id").withColumn("fold", training_fold(F.col("doc_id"), folds))
-    counts = scratch.save(gram_counts(rows.where(F.col("fold") < folds - 1), order), "grams")
-    classes = counts.agg(F.max("toxic").alias("toxic"), F.max("ordinary").alias("ordinary")).first()
-    if not classes.toxic or not classes.ordinary:
-        return ToxicityModel(None, None, window, spark)
-    scratch.release()
-    model = KneserNey(counts, order, scratch)
-    seen = scratch.save(features(rows.where(F.col("fold") == folds - 1), model, window, ["toxic"]), "features")
+    held = training_fold(F.col("doc_id"), folds) == folds - 1
+    rows = docs.select("doc_id", "text").join(near, "doc_id").withColumn("held", held)
+    counts = scratch.save(gram_counts(rows, order), "counts")
+    seen = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns[1:]]).first()
+    if not seen.toxic or not seen.ordinary:
+        return ToxicityModel(None, None, noise, spark)
+    weights = None
+    if all((0 < seen[f"held_{c}"] < seen[c]) for c in _CLASSES):
+        part = counts.select("key", *[(F.col(c) - F.col(f"held_{c}")).alias(c) for c in _CLASSES]).where(F.greatest(*_CLASSES) > 0)
+        first = KneserNey(part, order, floor, scratch)
+        found = excesses(rows.where("held"), first, noise, ["toxic"]).select("toxic", _feature().alias("x"))
+        found = scratch.save(found, "found")
+        weights = fit_logistic(found, ["x"])
+    if weights is None or not weights[1] > 0:
+        weights = _PLAIN
     scratch.release()
-    weights = fit_logistic(seen, _FEATURES)
-    return ToxicityModel(model, np.array([-0.5, 0.0, 0.1, 0.1]) if weights is None else weights, window, spark)
+    return ToxicityModel(KneserNey(counts.select("key", *_CLASSES), order, floor, scratch), weights, noise, spark)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:
@@ -395,9 +361,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
     carried = [c for c in (docs.columns if carry is None else carry) if c not in ("score", "predicted")]
     if model.model is None:
         return docs.select(*carried, F.lit(0.499).alias("score"), F.lit(int(threshold <= 0.499)).alias("predicted"))
-    z = F.lit(float(model.weights[0]))
-    for c, w in zip(_FEATURES, model.weights[1:], strict=True):
-        z = z + F.col(c) * F.lit(float(w))
+    z = F.lit(float(model.weights[0])) + F.lit(float(model.weights[1])) * _feature()
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
-    described = features(docs, model.model, model.window, carried).withColumn("score", score)
+    described = excesses(docs, model.model, model.noise, carried).withColumn("score", score)
     return described.select(*carried, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
