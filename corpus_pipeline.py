@@ -19,10 +19,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
+    """Documents that the toxicity model does not reject.
+
+    Only 128-bit hashes of (doc_id, text) go through the scoring; rows with a rejected one's hashes are left out.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_documents(docs, model, carry=COLUMNS)
-    return scored.where("predicted = 0").select(*COLUMNS)
+    seeds = {f"__h{k}": F.xxhash64(F.lit(k), F.col("doc_id"), F.col("text")) for k in (1, 2)}
+    keyed = docs.select(*COLUMNS).withColumns(seeds)
+    scored = toxicity.score_documents(keyed.select(*seeds, "text"), model, carry=list(seeds))
+    gone = scored.where("predicted = 1").select(*seeds).distinct()
+    return keyed.join(gone, list(seeds), "left_anti").select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
