@@ -11,9 +11,10 @@ models that have not counted that fold; the final models count it too.
 
 Nothing is capped or sampled. Where neither class has a context more than ``floor`` times with any one next character, both
 models are the backoff and differ by nothing; all other contexts and n-grams stay, in tables that grow with the
-labelled rows. Documents become numbers of words within chunks of a few MB; the distinct words of all chunks are scored by
-equi-joins with these tables, and each chunk gets its own words' differences back. Only discounts, class totals and the
-curve's two weights reach the driver.
+labelled rows. A table of fixed size, whose buckets hold the highest ratio of any n-gram that falls into them, bounds every
+word's difference from above; so the one pass over the texts writes only the words that may exceed the noise (a larger model fills
+the table and lets more through, but never loses one). Distinct such words get their differences by equi-joins with
+the model's tables, and rows their sums. Discounts, class totals, the curve's two weights and the table reach the driver.
 
 Words are runs without white space, less punctuation at either end, so masked spellings stay whole. Expressions of
 several words are seen only through their words.
@@ -167,60 +168,87 @@ class KneserNey:
         self.contexts = contexts.select("context", "base")
 
     def differences(self, words: DataFrame) -> DataFrame:
-        """(word, difference) of distinct words: log-likelihood in the toxic model less that in the ordinary one; none for no difference.
-
-        The models' tables are joined as equi-joins: broadcast while Spark finds them small, by shuffle beyond.
-        """
+        """(word, units) of distinct words: log-likelihood in the toxic model less that in the ordinary one; no row for no difference."""
         grams = words.select("word", F.explode(word_grams(F.col("word"), self.order)).alias("key"))
         letters = grams.select("word", F.expr(f"left(key, {self.order - 1})").alias("context"), F.expr("right(key, 1)").alias("letter"))
         met = letters.join(self.contexts, "context").join(self.grams, ["context", "letter"], "left")
-        part = F.sum(F.col("base") + F.coalesce("more", F.lit(0)))
-        return met.groupBy("word").agg((part / _UNIT).alias("difference"))
+        return met.groupBy("word").agg(F.sum(F.col("base") + F.coalesce("more", F.lit(0))).alias("units"))
+
+
+_BITS = 22
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _buckets(letters: np.ndarray, n: int) -> np.ndarray:
+    """Buckets of all runs of n characters in an array of code points."""
+    m = max(0, len(letters) - n + 1)
+    h = np.full(m, n, np.uint64)
+    for k in range(n):
+        h = (h ^ letters[k : k + m]) * _MIX
+        h ^= h >> np.uint64(29)
+    return ((h * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
-class _Numbers(dict):
-    """Words by the number of their first use."""
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
 
+def bound_table(model: KneserNey) -> np.ndarray:
+    """For each bucket the highest positive log ratio of the contexts and n-grams in it; of fixed size."""
+    grams = model.grams.join(model.contexts, "context").select(F.concat("context", "letter").alias("key"), (F.col("base") + F.col("more")).alias("units"))
+    every = grams.unionByName(model.contexts.select(F.col("context").alias("key"), F.col("base").alias("units"))).where("units > 0")
 
-def numbered(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Two kinds of rows by chunk: the carried columns with a text's words as numbers, and the chunk's list of words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0).to_pylist()
+            at = [int(_buckets(_letters(k), len(k))[0]) for k in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), b.column(1)], names=["bucket", "units"])
+
+    most = every.mapInArrow(tidy(run), "bucket long, units long").groupBy("bucket").agg(F.max("units").alias("units")).toArrow()
+    out = np.zeros(1 << _BITS, np.float32)
+    out[most.column("bucket").to_numpy()] = np.nextafter((most.column("units").to_numpy() / _UNIT).astype(np.float32), np.float32(np.inf))
+    return out
+
+
+def likely_words(words: list[str], table: np.ndarray, order: int, noise: float) -> np.ndarray:
+    """Whether each word's difference may exceed the noise."""
+    pad = " " * (order - 1)
+    letters = _letters("".join(pad + w + "\n" for w in words))
+    sizes = np.array([len(w) + order for w in words], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    most = np.zeros(len(letters), np.float64)
+    inside = len(letters) - order + 1
+    most[:inside] = np.maximum(table[_buckets(letters, order)], table[_buckets(letters, order - 1)[:inside]])
+    # runs that reach into the next word are none of this word's
+    at = np.arange(len(letters)) - np.repeat(starts, sizes)
+    most[at > np.repeat(sizes, sizes) - order] = 0
+    return np.add.reduceat(most, starts) > noise - 1e-3
+
+
+def screened(docs: DataFrame, model: KneserNey, noise: float, carry: list[str]) -> DataFrame:
+    """The carried columns with a row number, the number of words, and the words (as often as they occur) that may exceed the noise."""
     base = docs.select(*carry, F.col("text").alias("__text"))
-    at = len(carry)
-    own = StructType.fromDDL("__chunk long, __n int, __ids binary, __words array<string>")
-    schema = StructType([*base.drop("__text").schema.fields, *own.fields])
+    at, order, table = len(carry), model.order, docs.sparkSession.sparkContext.broadcast(bound_table(model))
+    schema = StructType([*base.drop("__text").schema.fields, *StructType.fromDDL("__row long, __n long, __words array<string>").fields])
     for f in schema:
         f.nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size, numbers, kinds = TaskContext.get().partitionId() << 32, 0, _Numbers(), None
-
-        def told() -> pa.RecordBatch:
-            arrays = [*[pa.nulls(1, t) for t in kinds], pa.array([chunk], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())]
-            return pa.RecordBatch.from_arrays([*arrays, pa.array([list(numbers)], pa.list_(pa.string()))], names=schema.names)
-
+        row, bounds, likely = TaskContext.get().partitionId() << 40, table.value, {}
         for whole in batches:
-            kinds = [c.type for c in whole.columns[:at]]
             for a in range(0, whole.num_rows, 200):
                 b = whole.slice(a, 200)
-                n, ids = [], []
-                for text in b.column(at).to_pylist():
-                    words = words_in(text)
-                    found = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
-                    n.append(len(words))
-                    ids.append(found.astype("<u2" if len(numbers) <= 1 << 16 else "<u4").tobytes())
-                    size += len(text or "")
-                rows = b.num_rows
-                arrays = [*b.columns[:at], pa.array([chunk] * rows, pa.int64()), pa.array(n, pa.int32()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(rows, pa.list_(pa.string()))], names=schema.names)
-                if size > _CHUNK:
-                    yield told()
-                    chunk, size, numbers = chunk + 1, 0, _Numbers()
-        if numbers:
-            yield told()
+                texts = [words_in(t) for t in b.column(at).to_pylist()]
+                new = list(set().union(*texts).difference(likely))
+                if new:
+                    if len(likely) > 200_000:
+                        likely.clear()
+                        new = list(set().union(*texts))
+                    likely.update(zip(new, likely_words(new, bounds, order, noise).tolist(), strict=True))
+                found = [[w for w in words if likely[w]] for words in texts]
+                arrays = [*b.columns[:at], pa.array(np.arange(row, row + b.num_rows)), pa.array([len(x) for x in texts], pa.int64())]
+                row += b.num_rows
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, pa.list_(pa.string()))], names=schema.names)
 
     return base.mapInArrow(tidy(run), schema)
 
@@ -228,27 +256,13 @@ def numbered(docs: DataFrame, carry: list[str]) -> DataFrame:
 def excesses(docs: DataFrame, model: KneserNey, noise: float, carry: list[str]) -> DataFrame:
     """The carried columns with ``__excess``: the mean over a text's words of what their difference exceeds the noise by."""
     scratch = Scratch(docs.sparkSession, "words")
-    rows = scratch.save(numbered(docs, carry), "numbered")
-    said = rows.where("__words is not null").select(F.col("__chunk").alias("chunk"), F.posexplode("__words").alias("at", "word"))
-    over = F.col("difference") - F.lit(float(noise))
+    rows = scratch.save(screened(docs, model, noise, carry), "screened")
+    said = rows.select("__row", F.explode("__words").alias("word"))
+    over = F.col("units") - F.lit(round(noise * _UNIT))
     told = model.differences(said.select("word").distinct()).where(over > 0).select("word", over.alias("over"))
-    hits = said.join(told, "word").select("chunk", "at", "over")
-    texts = rows.where("__words is null").drop("__words")
-    schema = StructType([*texts.select(*carry).schema.fields, *StructType.fromDDL("__excess double").fields])
-
-    def describe(texts: pa.Table, hits: pa.Table) -> pa.Table:
-        at = hits.column("at").to_numpy()
-        over = np.zeros(int(at.max(initial=-1)) + 2)
-        over[at] = hits.column("over").to_numpy()
-        out = np.zeros(texts.num_rows)
-        for i, (n, ids) in enumerate(zip(texts.column("__n").to_pylist(), texts.column("__ids").to_pylist(), strict=True)):
-            if n:
-                found = np.frombuffer(ids, f"<u{len(ids) // n}").astype(np.int64)
-                out[i] = over[np.minimum(found, len(over) - 1)].sum() / n
-        arrays = [texts.column(c) for c in carry] + [pa.chunked_array([pa.array(out)])]
-        return pa.Table.from_arrays(arrays, names=schema.names)
-
-    return texts.groupBy("__chunk").cogroup(hits.groupBy("chunk")).applyInArrow(describe, schema)
+    sums = said.join(told, "word").groupBy("__row").agg(F.sum("over").alias("__over"))
+    mean = F.coalesce(F.col("__over") / _UNIT / F.col("__n"), F.lit(0.0))
+    return rows.drop("__words").join(sums, "__row", "left").select(*carry, mean.alias("__excess"))
 
 
 #: Added to an excess before its logarithm is taken.

@@ -3,24 +3,26 @@
 A rule names a host and a path; it fits a URL on that host or a subdomain of it whose path starts with the
 rule's, and the longest fitting rule decides. URLs that a rule decides are the training data of two smoothed
 variable-order Markov models over the characters of host and path, one of accepted and one of rejected URLs
-(orders 0 to ``order``, each mixed with the next shorter context by Witten-Bell weights). The score of any
-other URL is its log-likelihood under the rejected model less that under the accepted one, divided by its length;
-it is blocked above a threshold calibrated on a held-out fifth of the decided URLs.
+(orders 0 to ``order``, each mixed with the next shorter context by Witten-Bell weights). The host and path that the rule
+itself names are masked: the models read only what stands before and after them, so they learn the pages, not
+the rules. Host and path are read apart, each from its first character.
 
-Counting is a partial count per task and one sum. All n-grams stay a table; the distinct texts' n-grams get their
-chances by equi-joins with it, from order 0 up. The threshold comes from a histogram of all held-out URLs' scores.
+The score of any other URL is its log-likelihood under the rejected model less that under the accepted one, divided by its
+length; it is blocked above a cut calibrated on a held-out fifth of the decided URLs: the lowest score that at most
+``max_false_block`` of the accepted ones among them exceed. So where masked URLs say nothing about the verdict, few are blocked.
 
-Defined results: a null URL or one without ``://`` has empty host and path, fits no rule with a host and scores
-0; with no decided URL of one class every undecided URL is allowed; repeated rows repeat; other columns pass.
+All n-grams stay a table. Each distinct n-gram that a text asks for meets the table's rows for its own endings and their
+contexts by two equi-joins; only order 0's totals and a histogram of held-out scores reach the driver.
+
+Defined results: a null URL or one without ``://`` has empty host and path, fits no rule with a host, scores
+0 and is allowed; so is any text without characters. With no decided URL of one class every undecided URL is allowed with
+score 0; without a held-out accepted URL the cut is 0; repeated rows repeat; other columns pass.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
 from typing import NamedTuple
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,126 +59,131 @@ def matched_rule(host: Column, path: Column, rules: list[Rule], part: str) -> Co
     return out
 
 
-def _grams(text: str, order: int) -> Iterator[str]:
-    padded = "\x02" + text + "\x03"
-    for i in range(1, len(padded)):
-        for n in range(min(order, i) + 1):
-            yield padded[i - n : i + 1]
-
-
 #: Scores are added as whole numbers of this fraction, so that sums do not depend on their order.
 _UNIT = 1 << 40
 _BINS = 4096
+#: Stands between host and path in a text, which neither can contain; n-grams do not cross it.
+_APART = "\n"
+_CLASSES = ("accepted", "rejected")
 
 
-def score_texts(texts: DataFrame, counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
-    """(text, score) of distinct texts: length-normalised log-likelihood of rejected less accepted.
+def text_of(host: Column, path: Column) -> Column:
+    """One text of host and path; empty if both are."""
+    clean = [F.regexp_replace(x, _APART, " ") for x in (host, path)]
+    return F.when((host == "") & (path == ""), "").otherwise(F.concat(clean[0], F.lit(_APART), clean[1]))
 
-    Witten-Bell mixtures of contexts up to the order; a context that a class has not seen leaves the shorter one's chance.
-    """
-    classes = ("accepted", "rejected")
-    padded = F.concat(F.lit("\x02"), "text", F.lit("\x03"))
-    places = F.sequence(F.lit(2), F.length("text") + 2)
-    cut = F.transform(places, lambda i: F.substring(padded, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))))
-    grams = texts.where(F.length("text") > 0).select("text", F.explode(cut).alias("gram"))
-    asked = scratch.save(grams.select("gram").distinct(), "asked")
-    letters = counts.where(F.length("gram") == 1).count()
-    lower, known = None, None
-    for n in range(order + 1):
-        level = counts.where(F.length("gram") == n + 1)
-        contexts = level.groupBy(F.expr(f"left(gram, {n})").alias("context")).agg(
-            *[F.sum(c).alias(f"total_{c}") for c in classes], *[F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in classes]
-        )
-        keys = asked.where(F.length("gram") > n).select(F.expr(f"right(gram, {n + 1})").alias("gram")).distinct()
-        keys = keys.withColumns({"context": F.expr(f"left(gram, {n})"), "shorter": F.expr(f"right(gram, {n})")})
-        found = keys.join(level, "gram", "left").join(contexts, "context", "left")
-        if lower is None:
-            found = found.withColumns({f"q_{c}": F.lit(1.0 / (letters + 1)) for c in classes})
-        else:
-            found = found.join(lower.select(F.col("gram").alias("shorter"), *[F.col(f"p_{c}").alias(f"q_{c}") for c in classes]), "shorter")
-        out = []
-        for c in classes:
-            total, types, q = F.col(f"total_{c}"), F.col(f"types_{c}"), F.col(f"q_{c}")
-            out.append(F.when(total > 0, (F.coalesce(F.col(c), F.lit(0)) + types * q) / (total + types)).otherwise(q).alias(f"p_{c}"))
-        lower = scratch.save(found.select("gram", *out), f"order{n}")
-        known = lower if known is None else known.unionByName(lower)
-    unit = F.round((F.log("p_rejected") - F.log("p_accepted")) * _UNIT).cast("long").alias("part")
-    scored = grams.join(known.select("gram", unit), "gram").groupBy("text").agg(F.sum("part").alias("part"))
-    return scored.select("text", (F.col("part") / _UNIT / (F.length("text") + 1)).alias("score"))
 
+def masked(host: Column, path: Column, rules: list[Rule]) -> Column:
+    """The text of a decided URL without what its rule names."""
+    out = F.lit("")
+    for r in sorted(rules, key=lambda r: (len(r.host + r.path), r)):
+        fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
+        left = F.substr(host, F.lit(1), F.length(host) - len(r.host))
+        out = F.when(fits, text_of(left, F.substr(path, F.lit(len(r.path) + 1)))).otherwise(out)
+    return out
 
-def gram_counts(decided: DataFrame, order: int) -> DataFrame:
-    """(gram, accepted, rejected) over (text, verdict) rows, counted per task first."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
+def _cut(text: Column, order: int, every: bool) -> Column:
+    """For each character the longest n-gram that ends with it, or all of them; none crosses host and path."""
+
+    def ends(part: Column) -> Column:
+        places = F.when(F.length(part) > 0, F.sequence(F.lit(1), F.length(part))).otherwise(F.array().cast("array<int>"))
+        longest = F.transform(places, lambda i: F.substring(part, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))))
+        return F.flatten(F.transform(longest, _endings)) if every else longest
+
+    return F.flatten(F.transform(F.split(text, _APART), ends))
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), *[pa.array([v[c] for v in seen.values()], pa.int64()) for c in (0, 1)]],
-                names=["gram", "accepted", "rejected"],
-            )
-            seen.clear()
-            return out
 
-        for b in batches:
-            for (text, verdict), n in Counter(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)).items():
-                for g in _grams(text, order):
-                    seen.setdefault(g, [0, 0])[verdict == "block"] += n
-            if len(seen) > 500_000:
-                yield flush()
-        yield flush()
+def _endings(gram: Column) -> Column:
+    """All endings of an n-gram, the shortest first."""
+    n = F.length(gram)
+    return F.transform(F.sequence(F.lit(1), n), lambda k: F.substring(gram, n - k + 1, n))
 
-    parts = decided.mapInArrow(count, "gram string, accepted long, rejected long")
-    return parts.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+def gram_counts(decided: DataFrame, order: int) -> DataFrame:
+    """(gram, accepted, rejected): how often each n-gram up to order + 1 characters is in (text, verdict, n) rows, n times each."""
+    bad = F.col("verdict") == "block"
+    weights = [F.when(t, F.col("n")).otherwise(0).alias(c) for t, c in zip((~bad, bad), _CLASSES, strict=True)]
+    grams = decided.select("text", *weights).select(F.explode(_cut(F.col("text"), order, True)).alias("gram"), *_CLASSES)
+    return grams.groupBy("gram").agg(*[F.sum(c).alias(c) for c in _CLASSES])
 
 
-def _threshold(held: DataFrame) -> float:
-    """The cut with the best mean of both classes' accuracy over (score, bad) rows; 0 without both classes.
+def gram_ratios(asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, part): log chance under the rejected model less that under the accepted one of each asked n-gram's last character.
 
-    Scores fall into bins of equal width; the cut lies midway between the scores on its two sides.
+    A context that a class has not seen leaves the shorter one's chance; below order 0 all known characters and one unknown are alike.
     """
-    ends = held.agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
+    sums = [F.sum(c).alias(f"total_{c}") for c in _CLASSES] + [F.sum((F.col(c) > 0).cast("long")).alias(f"types_{c}") for c in _CLASSES]
+    letters = counts.where(F.length("gram") == 1).agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    longer = counts.where(F.length("gram") > 1)
+    contexts = longer.groupBy(F.expr("left(gram, length(gram) - 1)").alias("context")).agg(*sums)
+    ends = asked.select("gram", F.explode(_endings(F.col("gram"))).alias("end"))
+    ends = ends.withColumn("context", F.expr("left(end, length(end) - 1)"))
+    met = ends.join(counts.withColumnRenamed("gram", "end"), "end", "left")
+    first = met.where("context = ''").withColumns({n: F.lit(letters[n] or 0) for n in contexts.columns[1:]})
+    rest = met.where("context <> ''").join(contexts, "context")
+    facts = [*_CLASSES, *contexts.columns[1:]]
+    every = first.select("gram", "end", *facts).unionByName(rest.select("gram", "end", *facts))
+    levels = every.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct(F.length("end").alias("n"), *facts))).alias("levels"))
+
+    def chance(c: str) -> Column:
+        def step(q: Column, x: Column) -> Column:
+            total, types = x[f"total_{c}"], x[f"types_{c}"]
+            return F.when(total > 0, (F.coalesce(x[c], F.lit(0)) + types * q) / (total + types)).otherwise(q)
+
+        return F.aggregate("levels", F.lit(1.0 / (letters["n"] + 1)), step)
+
+    return levels.select("gram", F.round((F.log(chance("rejected")) - F.log(chance("accepted"))) * _UNIT).cast("long").alias("part"))
+
+
+def score_texts(texts: DataFrame, counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
+    """(text, score) of distinct texts with characters: length-normalised log-likelihood of rejected less accepted."""
+    grams = texts.select("text", F.explode(_cut(F.col("text"), order, False)).alias("gram"))
+    ratios = scratch.save(gram_ratios(grams.select("gram").distinct(), counts), "ratios")
+    scored = grams.join(ratios, "gram").groupBy("text").agg(F.sum("part").alias("part"), F.count(F.lit(1)).alias("n"))
+    return scored.select("text", (F.col("part") / _UNIT / F.col("n")).alias("score"))
+
+
+def calibrated_cut(good: DataFrame, most: float) -> float:
+    """The lowest edge, by bins of equal width, that at most a share ``most`` of (score, n) rows lies above; 0 without rows."""
+    ends = good.agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
     if ends.low is None:
         return 0.0
     width = (ends.high - ends.low) / _BINS or 1.0
-    step = F.floor((F.col("score") - ends.low) / width)
-    bins = held.groupBy(step.alias("bin")).agg(
-        F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high")
-    ).orderBy("bin").collect()
-    bad, good = sum(r.bad for r in bins), sum(r.n - r.bad for r in bins)
-    if not bad or not good:
-        return 0.0
-    best, cut, below = -1.0, 0.0, [0, 0]
-    for i, r in enumerate(bins):
-        below = [below[0] + r.n - r.bad, below[1] + r.bad]
-        value = below[0] / good + (bad - below[1]) / bad
-        if value > best:
-            best, cut = value, (r.high + (bins[i + 1].low if i + 1 < len(bins) else r.high)) / 2
+    step = F.least(F.floor((F.col("score") - ends.low) / width), F.lit(_BINS - 1))
+    bins = good.groupBy(step.alias("bin")).agg(F.sum("n").alias("n"), F.max("score").alias("high")).orderBy("bin").collect()
+    total, above, cut = sum(r.n for r in bins), 0, bins[-1].high
+    for low, high in zip(reversed(bins[:-1]), reversed(bins[1:]), strict=True):
+        above += high.n
+        if above > most * total:
+            break
+        cut = low.high
     return cut
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], order: int = 5) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[Rule], order: int = 5, max_false_block: float = 0.05) -> DataFrame:
     """pages with host, path, rule, verdict and score (null where a rule decides)."""
     spark = pages.sparkSession
     own = ["host", "path", "rule", "verdict", "score"]
     known = pages.drop(*own).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     known = known.withColumns({p: matched_rule(F.col("host"), F.col("path"), rules, p) for p in ("rule", "verdict")})
-    text = F.concat("host", "path")
-    decided = known.where("verdict is not null").select(text.alias("text"), "verdict")
-    held = F.pmod(F.crc32("text"), F.lit(5)) == 0
+    host, path, open_ = F.col("host"), F.col("path"), F.col("verdict").isNull()
+    text = F.when(open_, text_of(host, path)).otherwise(masked(host, path, rules))
     scratch = Scratch(spark, "urls")
-    counts = scratch.save(gram_counts(decided.where(~held), order), "grams")
-    classes = counts.agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).first()
-    open_ = F.col("verdict").isNull()
+    texts = known.groupBy(text.alias("text"), "verdict").agg(F.count(F.lit(1)).alias("n"))
+    texts = scratch.save(texts.withColumn("held", F.pmod(F.crc32("text"), F.lit(5)) == 0), "texts")
+    counts = scratch.save(gram_counts(texts.where("verdict is not null and not held"), order), "grams")
+    classes = counts.agg(*[F.sum(c).alias(c) for c in _CLASSES]).first()
     if not classes.accepted or not classes.rejected:
         return known.withColumns({"score": F.when(open_, 0.0), "verdict": F.coalesce("verdict", F.lit("allow"))})
-    texts = known.select(text.alias("text"), "verdict").where(open_ | (held & F.lit(True))).select("text").distinct()
-    scores = scratch.save(score_texts(scratch.save(texts, "texts"), counts, order, scratch), "scores")
-    sample = decided.where(held).distinct().join(scores, "text", "left")
-    cut = _threshold(sample.select(F.coalesce("score", F.lit(0.0)).alias("score"), (F.col("verdict") == "block").cast("int").alias("bad")))
+    asked = texts.where("verdict is null or (held and verdict = 'allow')").select("text").distinct()
+    scores = scratch.save(score_texts(asked, counts, order, scratch), "scores")
+    good = texts.where("held and verdict = 'allow'").join(scores, "text")
+    cut = calibrated_cut(good, max_false_block)
     told = scores.select(F.col("text").alias("__text"), F.col("score").alias("__score"))
-    asked = F.when(open_, text)
-    out = known.join(told, asked == F.col("__text"), "left").drop("__text")
-    out = out.withColumn("score", F.when(open_, F.coalesce("__score", F.lit(0.0)))).drop("__score")
-    return out.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > cut, "block").otherwise("allow")))
+    out = known.join(told, F.when(open_, text) == F.col("__text"), "left").drop("__text")
+    blocked = F.coalesce(F.col("__score") > cut, F.lit(False))
+    out = out.withColumns(
+        {"score": F.when(open_, F.coalesce("__score", F.lit(0.0))), "verdict": F.coalesce("verdict", F.when(blocked, "block").otherwise("allow"))}
+    )
+    return out.drop("__score")

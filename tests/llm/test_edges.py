@@ -231,11 +231,73 @@ def test_url_edges(spark):
 def test_url_model_on_held_out(spark):
     r = random.Random(2)
     rows = [(i, f"http://{r.choice(['pills', 'casino', 'win'])}{r.randrange(99)}.bad.com/en/{r.randrange(999)}" if i % 2 else f"http://{r.choice(['school', 'museum', 'library'])}{r.randrange(99)}.net/de/{r.randrange(999)}") for i in range(600)]
-    rows += [(1000 + i, u) for i, u in enumerate(["http://casino7.info/x/1", "http://museum3.info/x/1", "http://pills1.info/x/9", "http://library5.info/x/2"])]
+    rows += [(1000 + i, u) for i, u in enumerate(["http://casino7.info/x/1", "http://museum3.org/9", "http://pills1.info/x/9", "http://library5.org/2"])]
+    rows += [(2000, None), (2001, "nothing"), (2002, "http://")]
     pages = spark.createDataFrame(rows, "page_id long, url string")
     rules = [url_filter.Rule("block", "com", "/en/"), url_filter.Rule("allow", "net", "/de/")]
-    got = {x.page_id: x.score for x in url_filter.filter_urls(pages, rules).where("rule is null").collect()}
-    assert min(got[1000], got[1002]) > max(got[1001], got[1003])
+    got = {x.page_id: x for x in url_filter.filter_urls(pages, rules).where("rule is null").collect()}
+    assert min(got[1000].score, got[1002].score) > max(got[1001].score, got[1003].score)
+    assert [got[1000 + i].verdict for i in range(4)] == ["block", "allow", "block", "allow"]
+    assert all((got[i].verdict, got[i].score) == ("allow", 0.0) for i in (2000, 2001, 2002))
+
+
+def witten_bell(texts, order):
+    """Chance of a letter after a context by brute force over (text, n) of one class; alphabet is the size over all classes."""
+    seen = {}
+    for text, n in texts:
+        for part in text.split("\n"):
+            for i in range(len(part)):
+                for k in range(min(order, i) + 1):
+                    after = seen.setdefault(part[i - k : i], {})
+                    after[part[i]] = after.get(part[i], 0) + n
+
+    def chance(letter, context, alphabet):
+        p = 1 / (alphabet + 1)
+        for k in range(len(context) + 1):
+            after = seen.get(context[len(context) - k :])
+            if after:
+                p = (after.get(letter, 0) + len(after) * p) / (sum(after.values()) + len(after))
+        return p
+
+    return chance
+
+
+def test_url_model_brute_force(spark):
+    """Masked texts, counts, Witten-Bell chances that add up to 1, scores, cut and verdicts."""
+    r = random.Random(11)
+    hosts, parts = ["aba", "bab", "abc", "cab"], ["x1", "y2", "xy", "zz"]
+    urls = [f"http://{r.choice(hosts)}.{r.choice(['s.com', 't.net', 'u.org'])}/{r.choice(['en', 'de'])}/{r.choice(parts)}{r.randrange(30)}" for _ in range(500)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [url_filter.Rule("block", "com", "/en/"), url_filter.Rule("allow", "net", "/de/")]
+    order, got = 3, url_filter.filter_urls(pages, rules, order=3, max_false_block=0.1).collect()
+    train, held, alphabet = {"allow": [], "block": []}, [], set()
+    for u in urls:
+        host, path = u[7:].split("/", 1)
+        for rule in rules:
+            if host.endswith("." + rule.host) and ("/" + path).startswith(rule.path):
+                text = host[: -len(rule.host)] + "\n" + path[3:]
+                if zlib.crc32(text.encode()) % 5:
+                    train[rule.verdict].append((text, 1))
+                    alphabet |= set(text) - {"\n"}
+                elif rule.verdict == "allow":
+                    held.append(text)
+    good, bad = (witten_bell(train[v], order) for v in ("allow", "block"))
+    for model in (good, bad):
+        assert abs(sum(model(x, "ab", len(alphabet)) for x in [*alphabet, "?"]) - 1) < 1e-12
+
+    def score(text):
+        logs = [np.log(bad(p[i], p[max(0, i - order) : i], len(alphabet)) / good(p[i], p[max(0, i - order) : i], len(alphabet))) for p in text.split("\n") for i in range(len(p))]
+        return sum(logs) / len(logs)
+
+    scores = sorted(score(t) for t in held)
+    for x in got:
+        if x.rule is None:
+            assert abs(x.score - score(x.host + "\n" + x.path)) < 1e-9
+            above = sum(s > x.score for s in scores)
+            if x.verdict == "block":
+                assert above <= 0.1 * len(scores)
+            else:
+                assert sum(s >= x.score - (scores[-1] - scores[0]) / 4096 for s in scores) > 0.1 * len(scores)
 
 
 def test_warc_roundtrip(spark, tmp_path):
