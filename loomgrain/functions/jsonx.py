@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,55 +12,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-FENCE = "```"
+#: Where a reply may have its JSON, most trusted first: all of it, a fenced part, between the outermost brackets.
+_PLACES = [
+    re.compile(p, re.DOTALL)
+    for p in (r"\A(.+)", r"(?:\A(?=.*```)|```)\s*(?:json)?\s*([\[{].*?)(?=```|\Z)", r"(\{.*\})", r"(\[.*\])")
+]
+_MARK = re.compile(r'"(?:[^"\\]|\\.|\\\Z)*(?:"|\Z)|[{}]', re.DOTALL)
+_STEP = {"{": 1, "}": -1}
 
 
 def parse_tolerant(text: str | None) -> object:
-    """The first candidate that parses: the whole text, each fenced part, the widest {...}, the widest [...]; else None."""
-    whole = (text or "").strip()
-    if not whole:
-        return None
-    candidates = [whole]
-    if FENCE in whole:
-        fenced = (part.strip() for part in whole.split(FENCE))
-        unlabelled = (p.removeprefix("json").strip() for p in fenced)
-        candidates += [p for p in unlabelled if p.startswith(("{", "["))]
-    for opening, closing in ("{}", "[]"):
-        a, b = whole.find(opening), whole.rfind(closing)
-        if 0 <= a < b:
-            candidates.append(whole[a : b + 1])
-    for c in candidates:
-        try:
-            return json.loads(c)
-        except (ValueError, RecursionError):
-            continue
+    """The value of the first place that parses; None if none does."""
+    for place in _PLACES:
+        for found in place.finditer(text or ""):
+            with contextlib.suppress(ValueError, RecursionError):
+                return json.loads(found[1].strip())
+    return None
+
+
+def _group_end(text: str, start: int) -> int | None:
+    """Where the braces that open at start are closed again, quoted text not counting; None if they are not."""
+    depth = 0
+    for m in _MARK.finditer(text, start):
+        depth += _STEP.get(m[0], 0)
+        if depth == 0:
+            return m.end()
     return None
 
 
 def balanced_objects(text: str | None) -> list[str]:
     """Every outermost {...} of a text that parses, in order; braces inside strings do not count."""
-    out, depth, start, quoted, escaped = [], 0, 0, False, False
-    for i, ch in enumerate(text or ""):
-        if quoted:
-            if escaped:
-                escaped = False
-            elif ch == "\\":
-                escaped = True
-            elif ch == '"':
-                quoted = False
-        elif ch == '"':
-            quoted = depth > 0
-        elif ch == "{":
-            if depth == 0:
-                start = i
-            depth += 1
-        elif ch == "}" and depth:
-            depth -= 1
-            if depth == 0:
-                try:
-                    out.append(json.dumps(json.loads(text[start : i + 1]), ensure_ascii=False))
-                except ValueError:
-                    continue
+    out, text, end = [], text or "", 0
+    while end is not None and (start := text.find("{", end)) >= 0:
+        end = _group_end(text, start)
+        with contextlib.suppress(ValueError, RecursionError):
+            out.append(json.dumps(json.loads(text[start:end]), ensure_ascii=False))
     return out
 
 
