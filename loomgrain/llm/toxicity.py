@@ -11,10 +11,10 @@ models that have not counted that fold; the final models count it too.
 
 Nothing is capped or sampled. Where neither class has a context more than ``floor`` times with any one next character, both
 models are the backoff and differ by nothing; all other contexts and n-grams stay, in tables that grow with the
-labelled rows. A table of fixed size, whose buckets hold the highest ratio of any n-gram that falls into them, bounds every
-word's difference from above; so the one pass over the texts writes only the words that may exceed the noise (a larger model fills
-the table and lets more through, but never loses one). Distinct such words get their differences by equi-joins with
-the model's tables, and rows their sums. Discounts, class totals, the curve's two weights and the table reach the driver.
+labelled rows. Tables of fixed size, whose buckets hold the highest ratio of any n-gram or context that falls into them, bound every
+word's difference from above; so the one pass over the texts writes only the words that may exceed the noise (a larger model shares
+buckets and lets more through, but loses none: n-grams are told apart by 64-bit hash). Distinct such words get their differences by equi-joins with
+the model's tables, and rows their sums. Discounts, class totals, the curve's two weights and those tables reach the driver.
 
 Words are runs without white space, less punctuation at either end, so masked spellings stay whole. Expressions of
 several words are seen only through their words.
@@ -176,49 +176,78 @@ class KneserNey:
 
 
 _BITS = 22
+_CONTEXT_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _buckets(letters: np.ndarray, n: int) -> np.ndarray:
-    """Buckets of all runs of n characters in an array of code points."""
+def _hashes(letters: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes, never 0, of all runs of n characters in an array of code points."""
     m = max(0, len(letters) - n + 1)
     h = np.full(m, n, np.uint64)
     for k in range(n):
         h = (h ^ letters[k : k + m]) * _MIX
         h ^= h >> np.uint64(29)
-    return ((h * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
+    return np.maximum(h * _MIX, np.uint64(1))
 
 
 def _letters(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
 
-def bound_table(model: KneserNey) -> np.ndarray:
-    """For each bucket the highest positive log ratio of the contexts and n-grams in it; of fixed size."""
-    grams = model.grams.join(model.contexts, "context").select(F.concat("context", "letter").alias("key"), (F.col("base") + F.col("more")).alias("units"))
-    every = grams.unionByName(model.contexts.select(F.col("context").alias("key"), F.col("base").alias("units"))).where("units > 0")
+class Bounds:
+    """Upper bounds of all log ratios, in tables of fixed size.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = b.column(0).to_pylist()
-            at = [int(_buckets(_letters(k), len(k))[0]) for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), b.column(1)], names=["bucket", "units"])
+    A bucket of n-grams holds their highest ratio and, if it has but one, that one's hash; a bucket of contexts holds their
+    highest base, 0 at least. An n-gram that is alone in its bucket has its own ratio; one that shares it has the
+    highest of bucket and context; any other is unseen and has its context's.
+    """
+
+    def __init__(self, model: KneserNey):
+        self.order = model.order
+        grams = model.grams.join(model.contexts, "context")
+        grams = self._summed(grams.select(F.concat("context", "letter").alias("key"), (F.col("base") + F.col("more")).alias("units")), _BITS)
+        self.alone, self.most = np.zeros(1 << _BITS, np.uint64), np.full(1 << _BITS, -np.inf, np.float32)
+        self._fill(self.most, grams)
+        lo, hi = (grams.column(c).to_numpy().view(np.uint64) for c in ("lo", "hi"))
+        self.alone[grams.column("bucket").to_numpy()] = np.where(lo == hi, lo, np.uint64(0))
+        contexts = self._summed(model.contexts.select(F.col("context").alias("key"), F.col("base").alias("units")).where("units > 0"), _CONTEXT_BITS)
+        self.base = np.zeros(1 << _CONTEXT_BITS, np.float32)
+        self._fill(self.base, contexts)
+
+    @staticmethod
+    def _summed(rows: DataFrame, bits: int) -> pa.Table:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                h = np.array([_hashes(_letters(k), len(k))[0] for k in b.column(0).to_pylist()], np.uint64)
+                at = (h >> np.uint64(64 - bits)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(h.view(np.int64)), b.column(1)], names=["bucket", "h", "units"])
+
+        found = rows.mapInArrow(tidy(run), "bucket long, h long, units long").groupBy("bucket")
+        return found.agg(F.max("units").alias("units"), F.min("h").alias("lo"), F.max("h").alias("hi")).toArrow()
+
+    @staticmethod
+    def _fill(table: np.ndarray, rows: pa.Table) -> None:
+        ratios = (rows.column("units").to_numpy() / _UNIT).astype(np.float32)
+        table[rows.column("bucket").to_numpy()] = np.nextafter(ratios, np.float32(np.inf))
 
-    most = every.mapInArrow(tidy(run), "bucket long, units long").groupBy("bucket").agg(F.max("units").alias("units")).toArrow()
-    out = np.zeros(1 << _BITS, np.float32)
-    out[most.column("bucket").to_numpy()] = np.nextafter((most.column("units").to_numpy() / _UNIT).astype(np.float32), np.float32(np.inf))
-    return out
+    def of(self, letters: np.ndarray) -> np.ndarray:
+        """A bound for each run of ``order`` characters."""
+        grams = _hashes(letters, self.order)
+        base = self.base[(_hashes(letters, self.order - 1)[: len(grams)] >> np.uint64(64 - _CONTEXT_BITS)).astype(np.int64)]
+        at = (grams >> np.uint64(64 - _BITS)).astype(np.int64)
+        alone, most = self.alone[at], self.most[at]
+        return np.where(alone == grams, most, np.where(alone == 0, np.maximum(most, base), base))
 
 
-def likely_words(words: list[str], table: np.ndarray, order: int, noise: float) -> np.ndarray:
+def likely_words(words: list[str], bounds: Bounds, noise: float) -> np.ndarray:
     """Whether each word's difference may exceed the noise."""
+    order = bounds.order
     pad = " " * (order - 1)
     letters = _letters("".join(pad + w + "\n" for w in words))
     sizes = np.array([len(w) + order for w in words], np.int64)
     starts = np.cumsum(sizes) - sizes
     most = np.zeros(len(letters), np.float64)
-    inside = len(letters) - order + 1
-    most[:inside] = np.maximum(table[_buckets(letters, order)], table[_buckets(letters, order - 1)[:inside]])
+    most[: len(letters) - order + 1] = bounds.of(letters)
     # runs that reach into the next word are none of this word's
     at = np.arange(len(letters)) - np.repeat(starts, sizes)
     most[at > np.repeat(sizes, sizes) - order] = 0
@@ -228,13 +257,13 @@ def likely_words(words: list[str], table: np.ndarray, order: int, noise: float)
 def screened(docs: DataFrame, model: KneserNey, noise: float, carry: list[str]) -> DataFrame:
     """The carried columns with a row number, the number of words, and the words (as often as they occur) that may exceed the noise."""
     base = docs.select(*carry, F.col("text").alias("__text"))
-    at, order, table = len(carry), model.order, docs.sparkSession.sparkContext.broadcast(bound_table(model))
+    at, shared = len(carry), docs.sparkSession.sparkContext.broadcast(Bounds(model))
     schema = StructType([*base.drop("__text").schema.fields, *StructType.fromDDL("__row long, __n long, __words array<string>").fields])
     for f in schema:
         f.nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, bounds, likely = TaskContext.get().partitionId() << 40, table.value, {}
+        row, bounds, likely = TaskContext.get().partitionId() << 40, shared.value, {}
         for whole in batches:
             for a in range(0, whole.num_rows, 200):
                 b = whole.slice(a, 200)
@@ -244,7 +273,7 @@ def screened(docs: DataFrame, model: KneserNey, noise: float, carry: list[str])
                     if len(likely) > 200_000:
                         likely.clear()
                         new = list(set().union(*texts))
-                    likely.update(zip(new, likely_words(new, bounds, order, noise).tolist(), strict=True))
+                    likely.update(zip(new, likely_words(new, bounds, noise).tolist(), strict=True))
                 found = [[w for w in words if likely[w]] for words in texts]
                 arrays = [*b.columns[:at], pa.array(np.arange(row, row + b.num_rows)), pa.array([len(x) for x in texts], pa.int64())]
                 row += b.num_rows
