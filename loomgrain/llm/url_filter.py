@@ -108,7 +108,7 @@ def gram_counts(decided: DataFrame, order: int) -> DataFrame:
     return grams.groupBy("gram").agg(*[F.sum(c).alias(c) for c in _CLASSES])
 
 
-def gram_ratios(asked: DataFrame, counts: DataFrame) -> DataFrame:
+def gram_ratios(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFrame:
     """(gram, part): log chance under the rejected model less that under the accepted one of each asked n-gram's last character.
 
     A context that a class has not seen leaves the shorter one's chance; below order 0 all known characters and one unknown are alike.
@@ -118,13 +118,14 @@ def gram_ratios(asked: DataFrame, counts: DataFrame) -> DataFrame:
     longer = counts.where(F.length("gram") > 1)
     contexts = longer.groupBy(F.expr("left(gram, length(gram) - 1)").alias("context")).agg(*sums)
     ends = asked.select("gram", F.explode(_endings(F.col("gram"))).alias("end"))
-    ends = ends.withColumn("context", F.expr("left(end, length(end) - 1)"))
-    met = ends.join(counts.withColumnRenamed("gram", "end"), "end", "left")
-    first = met.where("context = ''").withColumns({n: F.lit(letters[n] or 0) for n in contexts.columns[1:]})
-    rest = met.where("context <> ''").join(contexts, "context")
+    # each ending meets its context once, so that a context is asked for no more often than it has next characters
+    known = ends.select("end").distinct().withColumn("context", F.expr("left(end, length(end) - 1)"))
     facts = [*_CLASSES, *contexts.columns[1:]]
-    every = first.select("gram", "end", *facts).unionByName(rest.select("gram", "end", *facts))
-    levels = every.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct(F.length("end").alias("n"), *facts))).alias("levels"))
+    known = known.join(counts.withColumnRenamed("gram", "end"), "end", "left")
+    first = known.where("context = ''").withColumns({n: F.lit(letters[n] or 0) for n in contexts.columns[1:]})
+    rest = known.where("context <> ''").join(contexts, "context", "left")
+    told = scratch.save(first.select("end", *facts).unionByName(rest.select("end", *facts)), "facts")
+    levels = ends.join(told, "end").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct(F.length("end").alias("n"), *facts))).alias("levels"))
 
     def chance(c: str) -> Column:
         def step(q: Column, x: Column) -> Column:
@@ -139,7 +140,7 @@ def gram_ratios(asked: DataFrame, counts: DataFrame) -> DataFrame:
 def score_texts(texts: DataFrame, counts: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     """(text, score) of distinct texts with characters: length-normalised log-likelihood of rejected less accepted."""
     grams = texts.select("text", F.explode(_cut(F.col("text"), order, False)).alias("gram"))
-    ratios = scratch.save(gram_ratios(grams.select("gram").distinct(), counts), "ratios")
+    ratios = scratch.save(gram_ratios(grams.select("gram").distinct(), counts, scratch), "ratios")
     scored = grams.join(ratios, "gram").groupBy("text").agg(F.sum("part").alias("part"), F.count(F.lit(1)).alias("n"))
     return scored.select("text", (F.col("part") / _UNIT / F.col("n")).alias("score"))
 
