@@ -117,13 +117,19 @@ def title_body_extract(spark, d):
     )
 
 
+def _articles(spark, d):
+    """Pages whose headings have an article's section marks before them."""
+    html = F.regexp_replace("html", "<h1", '<sec sec-type="materials|methods"><h1')
+    return _read(spark, d, "pages").select("page_id", F.regexp_replace(html, "<h2", "<title>Results </title><h2").alias("html"))
+
+
 def section_excerpt(spark, d):
-    return _read(spark, d, "pages").select("page_id", text.section_excerpt(F.col("html"), "<h1", 200).alias("excerpt"))
+    return _articles(spark, d).select("page_id", text.section_excerpt(F.col("html"), text.METHODS_ANCHOR, 200).alias("excerpt"))
 
 
 def context_build(spark, d):
-    c = text.build_context(F.col("html"), 300, 400, 400, title_tag="title", abstract_tag="p", methods="<h1", results="<h2")
-    rows = _read(spark, d, "pages").select("page_id", c.alias("context"))
+    c = text.build_context(F.col("html"), 300, 400, 400, title_tag="title", abstract_tag="p")
+    rows = _articles(spark, d).select("page_id", c.alias("context"))
     return rows.select(
         "page_id", F.length("context").cast("long").alias("n_chars"), F.md5("context").alias("digest"), text.usable_context(F.col("context")).alias("usable")
     )
@@ -375,8 +381,13 @@ def next_stage(spark, d):
     return spark.createDataFrame([(s.papers, s.kept, s.judged, stage)], "papers long, kept long, judged long, stage string")
 
 
+#: Text with characters that NFKC changes, by doc_id modulo 3.
+COMPOSED = [" ﬁne ①② Ａｂ", " x² ½ ㎏", " a\u2009b Å"]
+
+
 def nfkc_normalize(spark, d):
-    n = text.normalise(F.col("text"))
+    tail = F.element_at(F.array(*[F.lit(x) for x in COMPOSED]), (F.col("doc_id") % 3 + 1).cast("int"))
+    n = text.normalise(F.concat("text", tail))
     return _read(spark, d, "documents").select("doc_id", F.length(n).cast("long").alias("n_chars"), F.md5(n).alias("digest"))
 
 
@@ -384,8 +395,8 @@ def bpe_tokenize(spark, d):
     import public_tokenizers
 
     ids = library_ids(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
-    rows = _read(spark, d, "benchmark").select("item_id", ids.alias("ids"))
-    return rows.select("item_id", F.size("ids").cast("long").alias("n_ids"))
+    rows = _read(spark, d, "documents").select("doc_id", ids.alias("ids"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"))
 
 
 def chat_export_roundtrip(spark, d):
@@ -398,6 +409,19 @@ def chat_export_roundtrip(spark, d):
     return rows.where(~F.col("malformed")).groupBy("user", "assistant").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_counts(spark, d):
+    """The event table as a stream of files, counted by hour and kind; every micro-batch replaces the table of counts."""
+    from loomgrain.streaming import contexts as streams
+
+    schema = _read(spark, d, "events").schema
+    scratch = Scratch(spark, "stream")
+    events = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = streams.windowed_counts(events, "ts", "event_type", "1 hour", "1 day")
+    path = scratch.path("counts")
+    streams.replace_table(counts, path, scratch.path("offsets")).awaitTermination()
+    return spark.read.parquet(path).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
 _QUERIES = [
     select_semi_join, facet_sets, facet_argmax, strata_counts, allocate_floor, allocate_overshoot, stratified_sample, select_papers,
     type_selection, resume_antijoin, missing_path_inner, left_default, state_upsert, markup_clean, title_body_extract, section_excerpt,
@@ -405,7 +429,7 @@ _QUERIES = [
     status_counts, export_chat, json_extract_tolerant, json_objects_all, generation_parse, judge_verdicts, generation_prompts,
     model_stub_batch, classify_batch, usage_totals, chat_first_turns, sft_dedup, sft_split, normalize_tokens, token_f1, exact_match, weighted_perplexity,
     answer_metrics, word_tokenize, pack_blocks, pack_dropped, interleave_schedule, interleave_rows, max_docs_prefix, step_budget,
-    cache_fingerprint, next_stage, nfkc_normalize, bpe_tokenize, chat_export_roundtrip,
+    cache_fingerprint, next_stage, nfkc_normalize, bpe_tokenize, chat_export_roundtrip, stream_counts,
 ]
 
 

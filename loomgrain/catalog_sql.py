@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from loomgrain.functions.text import METHODS_ANCHOR, RESULTS_ANCHOR
+from loomgrain.operators.generation import TYPE_BRIEFS
+from loomgrain.operators.selection import TYPE_FACETS
+
 TOPICS = """t as (
   select l_orderkey as pmcid, substr('ABCDEFJ', l_linenumber, 1) as facet, l_returnflag || l_linestatus as subtopic, l_discount as prob, l_partkey, l_suppkey
   from lineitem where l_orderkey in (select o_orderkey from orders where o_orderstatus = 'F')
@@ -55,12 +59,15 @@ def _excerpt(x: str, anchor: str, n: int) -> str:
     return f"coalesce(substring({_clean(f"substring(regexp_extract({x}, '(?is)({anchor}.*)', 1), 1, {3 * n})")}, 1, {n}), '')"
 
 
+#: Pages whose headings have an article's section marks before them.
+ARTICLES = """(select page_id, replace(replace(html, '<h1', '<sec sec-type="materials|methods"><h1'), '<h2', '<title>Results </title><h2') as html from pages)"""
+
 CONTEXT = f"""c as (
   select page_id, coalesce({_clean(_first("html", "title"))}, '') as title,
          substring({_clean(r"array_to_string(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1), ' ')")}, 1, 300) as abstract,
-         coalesce({_first("html", "body", chr(92) + "b")}, html) as body from pages
+         coalesce({_first("html", "body", chr(92) + "b")}, html) as body from {ARTICLES}
 ), m as (
-  select *, {_excerpt("body", "<h1", 400)} as mm, {_excerpt("body", "<h2", 400)} as rr from c
+  select *, {_excerpt("body", METHODS_ANCHOR, 400)} as mm, {_excerpt("body", RESULTS_ANCHOR, 400)} as rr from c
 ), x as (
   select page_id, 'TITLE: ' || title || chr(10) || chr(10) || 'ABSTRACT: ' || abstract
     || case when mm <> '' then chr(10) || chr(10) || 'METHODS: ' || mm else '' end
@@ -136,6 +143,20 @@ SCHEDULE = """n as (
   select step, source, (case when source = 1 then ones else zeros end - 1)::bigint as idx from c, e where step <= last
 )"""
 
+#: What the replies of the catalogue hold, as canonical JSON, by doc_id modulo 5.
+ITEM = """'{"type": "t", "question": "q' || doc_id || '", "answer": "a", "supporting_span": "s", "n": 1, "supported": true}'"""
+PARSED = f"""case doc_id % 5 when 0 then '{{"pairs": [' || {ITEM} || ']}}' when 1 then '[' || {ITEM} || ']'
+  when 4 then '{{"verdicts": [' || {ITEM} || ', {{"n": "2", "supported": "false"}}, {{"n": 1.7, "supported": false}}]}}' end"""
+
+STUB = """'{"pairs": [{"type": "stub", "question": "' || md5(text) || '", "answer": "' || md5(text) || '"}]}'"""
+SPLIT = r"len(list_filter(string_split_regex(text, '[\s\x1c-\x1f\x85\xA0]+'), lambda x: x <> ''))"
+
+#: Each question type's facets, and the length of its line in a prompt.
+TYPES = ", ".join(
+    f"case when regexp_matches(facets, '[{letters}]') then {len(f'1. {name}: {TYPE_BRIEFS[name]}')} end" for name, letters in TYPE_FACETS.items()
+)
+FRAME = len("Types, in order:\n") + len("\n\n--- text ---\n") + len("\n--- end ---")
+
 SQL = {
     "select_semi_join": f"with {TOPICS} select pmcid, facet, subtopic, prob from t",
     "facet_sets": f"with {PROFILE} select pmcid, facets from p",
@@ -163,7 +184,7 @@ qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1"
     "markup_clean": f"select page_id, length(c)::bigint as n_chars, md5(c) as digest from (select page_id, {_clean('html')} as c from pages)",
     "title_body_extract": f"""select page_id, {_clean(_first("html", "title"))} as title, body is not null as has_body, length(coalesce(body, html))::bigint as body_chars
 from (select page_id, html, {_first("html", "body", chr(92) + "b")} as body from pages)""",
-    "section_excerpt": f"select page_id, {_excerpt('html', '<h1', 200)} as excerpt from pages",
+    "section_excerpt": f"select page_id, {_excerpt('html', METHODS_ANCHOR, 200)} as excerpt from {ARTICLES}",
     "context_build": f"""with {CONTEXT} select page_id, length(context)::bigint as n_chars, md5(context) as digest,
   contains(context, 'METHODS:') or contains(context, 'RESULTS:') as usable from x""",
     "span_grounding": f"with {GUARD} select doc_id, type, reason <> 'span' as grounded from k where type in ('verbatim', 'foreign', 'short')",
@@ -215,5 +236,17 @@ select b::bigint as blocks, ceil(ceil(b / 32) * 2 / 0.85)::bigint as steps from
     "next_stage": f"""with {GUARD}, z as (
   select count(distinct doc_id)::bigint as papers, count(*) filter (where kept = 1)::bigint as kept, count(*) filter (where judged <> -1)::bigint as judged from j
 ) select *, case when kept - judged > greatest(200, kept // 200) then 'judge' else 'export' end as stage from z""",
-    "nfkc_normalize": f"select doc_id, length(n)::bigint as n_chars, md5(n) as digest from (select doc_id, {_norm('text')} as n from documents)",
+    "nfkc_normalize": f"""select doc_id, length(n)::bigint as n_chars, md5(n) as digest from (select doc_id, {_norm("text || ['  fine 12 Ab', ' x2 1⁄2 kg', ' a b Å'][doc_id % 3 + 1]")} as n from documents)""",
+    "json_extract_tolerant": f"select doc_id, {PARSED} as parsed from documents",
+    "json_objects_all": "select doc_id, case when doc_id % 5 = 3 then 0 else 1 end::bigint as n_objects from documents",
+    "generation_parse": f"""select doc_id, case when doc_id % 5 < 2 then 1 else 0 end::int as ok, case when doc_id % 5 < 2 then '[' || {ITEM} || ']' end as pairs_json
+from documents""",
+    "generation_prompts": f"""with {PROFILE}, y as (
+  select pmcid, list_filter([{TYPES}], lambda x: x is not null)[1:6] as y from p
+) select pmcid, len(y)::bigint as n_types, ({FRAME} + list_sum(y) + len(y) - 1 + length(text))::bigint as n_chars from y join documents on doc_id = pmcid where len(y) > 0""",
+    "model_stub_batch": f"select doc_id, {STUB} as reply, {SPLIT}::bigint as prompt_tokens, 8::bigint as completion_tokens from documents",
+    "classify_batch": f"select item_id, {STUB} as label, null::varchar as error from benchmark",
+    "usage_totals": f"""select count(*)::bigint as requests, sum({SPLIT})::bigint as prompt_tokens, 8 * count(*)::bigint as completion_tokens, 0::bigint as retries
+from benchmark""",
+    "stream_counts": """select date_trunc('hour', ts) as start, event_type, count(*)::bigint as n from events group by all""",
 }

@@ -9,12 +9,25 @@ from loomgrain.functions.text import answer_tokens
 
 
 def token_overlap(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection of two token arrays."""
+    """Size of the multiset intersection of two token arrays: one walk over both in order.
 
-    def shared(acc: Column, t: Column) -> Column:
-        return acc + F.least(F.size(F.filter(a, lambda x: x == t)), F.size(F.filter(b, lambda x: x == t)))
+    A token's places in the first array come before those in the second, each of which uses up one of the former.
+    """
 
-    return F.aggregate(F.array_intersect(a, b), F.lit(0), shared)
+    def marked(tokens: Column, k: int) -> Column:
+        return F.transform(tokens, lambda t: F.struct(t.alias("t"), F.lit(k).alias("k")))
+
+    def state(token: Column, unused: Column, shared: Column) -> Column:
+        return F.struct(token.alias("t"), unused.alias("unused"), shared.alias("shared"))
+
+    def step(acc: Column, x: Column) -> Column:
+        unused = F.when(acc["t"].eqNullSafe(x["t"]), acc["unused"]).otherwise(0)
+        hit = (x["k"] == 1) & (unused > 0)
+        change = F.when(x["k"] == 0, 1).when(hit, -1).otherwise(0)
+        return state(x["t"], unused + change, acc["shared"] + F.when(hit, 1).otherwise(0))
+
+    start = state(F.lit(None).cast("string"), F.lit(0), F.lit(0))
+    return F.aggregate(F.sort_array(F.concat(marked(a, 0), marked(b, 1))), start, step, lambda acc: acc["shared"])
 
 
 def token_f1(a: Column, b: Column) -> Column:

@@ -20,6 +20,8 @@ TYPE_FACETS = {
 }
 MAX_TYPES = 6
 FLOOR = 10
+#: Leading hex digits of the keyed order by which a stratum is counted before any of it is ranked.
+_DIGITS = 4
 
 
 def relevant_topics(topics: DataFrame, relevance: DataFrame, key: str = "pmcid") -> DataFrame:
@@ -74,10 +76,24 @@ def allocate(strata: DataFrame, n: int, by: list[str], floor: int = FLOOR) -> Da
 
 
 def stratified_sample(rows: DataFrame, allocation: DataFrame, by: list[str], key: str, seed: int) -> DataFrame:
-    """Exactly ``alloc`` rows of each stratum, the same for a seed whatever the partitioning."""
-    w = Window.partitionBy(*by).orderBy(keyed_order(seed, F.col(key)), key)
-    ranked = rows.join(allocation.select(*by, "alloc"), by).withColumn("__k", F.row_number().over(w))
-    return ranked.where(F.col("__k") <= F.col("alloc")).drop("__k", "alloc")
+    """Exactly ``alloc`` rows of each stratum (all, if it has fewer), the same for a seed whatever the partitioning.
+
+    A stratum's cut is found from the counts of the keyed order's leading hex digits, so that only rows with the digits
+    of the cut are ranked, however large the stratum is.
+    """
+    mark = rows.join(allocation.where("alloc > 0").select(*by, "alloc"), by).withColumn("__o", keyed_order(seed, F.col(key)))
+    mark = mark.withColumn("__p", F.substring("__o", 1, _DIGITS))
+    before = Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = mark.groupBy(*by, "__p", "alloc").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    cut = sizes.where((F.col("__before") < F.col("alloc")) & (F.col("alloc") <= F.col("__before") + F.col("__n")))
+    cut = cut.select(*by, F.col("__p").alias("__cut"), (F.col("alloc") - F.col("__before")).alias("__take"))
+    known = mark.join(cut, by, "left")
+    sure = known.where(F.col("__cut").isNull() | (F.col("__p") < F.col("__cut")))
+    w = Window.partitionBy(*by, "__p").orderBy("__o", key)
+    ranked = known.where(F.col("__p") == F.col("__cut")).withColumn("__k", F.row_number().over(w))
+    edge = ranked.where(F.col("__k") <= F.col("__take")).drop("__k")
+    return sure.unionByName(edge).drop("alloc", "__o", "__p", "__cut", "__take")
 
 
 def question_types(facets: Column, cap: int = MAX_TYPES) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Callable
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgrain.functions.text import fingerprint, word_ids
@@ -16,42 +16,26 @@ from loomgrain.sources import readers, sinks
 SCHEMA_VERSION = 1
 
 
-def cache_key(config: dict, files: list[str]) -> str:
-    """What the packed blocks depend on: settings and each file's name, size and time."""
+def cache_key(spark: SparkSession, config: dict, files: list[tuple[str, int, int]]) -> str:
+    """What the packed blocks depend on: settings and each file's name, size and time of change, as its store gives them."""
     data = config["data"]
     parts = [SCHEMA_VERSION, config["model"]["name"], data.get("text_field", "text"), data["sequence_length"]]
     parts += [data.get("heldout_fraction", 0.0), config["train"].get("seed", 0), data.get("max_docs")]
-    for f in files:
-        p = Path(f.removeprefix("file:"))
-        stat = p.stat() if p.exists() else None
-        parts.append(f"{p.name}:{stat.st_size if stat else 0}:{int(stat.st_mtime) if stat else 0}")
-    spark = SparkSession.getActiveSession()
+    parts += [f"{path.rsplit('/', 1)[-1]}:{size}:{changed}" for path, size, changed in files]
     return spark.range(1).select(fingerprint(*[F.lit(str(x)) for x in parts]).alias("k")).first().k
 
 
-def dense_positions(rows: DataFrame, order: list[str], name: str = "doc_pos") -> DataFrame:
-    """rows with a dense position from 0 in the given order: ranges are sorted apart and shifted by what precedes them."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    ranged = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1)
-    before = Window.partitionBy().orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    shift = sizes.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    return ranged.join(F.broadcast(shift), "__p").withColumn(name, F.col("__i") + F.col("__s")).drop("__p", "__i", "__s")
-
-
 def prepare_blocks(
     spark: SparkSession, config: dict, tokenise: Callable[[Column], Column] = word_ids, end_id: int = 0, batch: int = 1000
 ) -> tuple[DataFrame, DataFrame]:
     """Packed train and held-out blocks of a shard folder, from the cache if its key still fits."""
     data = config["data"]
-    files = readers.list_shards(spark, data["corpus_dir"])
-    key = cache_key(config, files)
+    key = cache_key(spark, config, readers.shard_states(spark, data["corpus_dir"]))
     cached = sinks.cached_blocks(spark, data["processed_dir"], key)
     if cached:
         return cached
     docs = readers.read_shards(spark, data["corpus_dir"], data.get("text_field", "text"), data.get("max_docs"))
-    docs = dense_positions(docs, ["file_rank", "line_id"])
+    docs = records.dense_positions(docs, ["file_rank", "line_id"])
     tokens = docs.select("doc_pos", tokenise(F.col("text")).alias("input_ids"))
     packed = blocks.pack_blocks(tokens, data["sequence_length"], batch, end_id)
     packed = packed.withColumn("key", F.concat_ws(":", "batch", "block"))
@@ -89,3 +73,23 @@ def prepare(spark: SparkSession, config: dict, stage: str | None = None):
     if stage == "sft":
         return prepare_chat(spark, config)
     raise ValueError(f"unknown stage {stage}")
+
+
+def main(argv: list[str] | None = None) -> None:
+    from loomgrain.plans.config import load_stage_config
+    from loomgrain.session import build_session
+
+    p = argparse.ArgumentParser(description="Prepare the data of a training stage.")
+    p.add_argument("--config", required=True)
+    p.add_argument("--stage", choices=["dapt", "sft"])
+    a = p.parse_args(argv)
+    config = load_stage_config(a.config)
+    first, second = prepare(build_session("prepare"), config, a.stage)
+    if isinstance(second, dict):
+        print(" ".join(f"{k}={v}" for k, v in second.items()))
+    else:
+        print(f"train={first.count()} heldout={second.count()}")
+
+
+if __name__ == "__main__":
+    main()

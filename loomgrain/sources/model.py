@@ -16,6 +16,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 
+# The most requests in flight, and the statuses after which a request is sent again.
 MAX_IN_FLIGHT = 32
 RETRY_STATUS = frozenset({408, 409, 429, 500, 502, 503, 504})
 
@@ -105,9 +106,19 @@ class HttpGenerator:
                 self.sleep(backoff(attempt))
         return Reply(error=said, retries=self.retries)
 
-    def generate(self, prompts: list[str], system: str, max_tokens: int, temperature: float) -> list[Reply]:
+    def generate(
+        self, prompts: list[str], system: str, max_tokens: int, temperature: float, done: Callable[[int, Reply], None] | None = None
+    ) -> list[Reply]:
+        """Replies in order of prompts; ``done`` hears of each, with its prompt's place, as it comes in."""
+
+        def ask_one(i: int, prompt: str) -> Reply:
+            reply = self.one(prompt, system, max_tokens, temperature)
+            if done:
+                done(i, reply)
+            return reply
+
         with ThreadPoolExecutor(self.concurrency) as pool:
-            return list(pool.map(lambda p: self.one(p, system, max_tokens, temperature), prompts))
+            return list(pool.map(ask_one, range(len(prompts)), prompts))
 
     def healthy(self) -> bool:
         """Whether the endpoint lists this very model."""
@@ -147,4 +158,4 @@ def ask(
             )
 
     rows = prompts.select(key, "prompt")
-    return (rows.coalesce(tasks) if tasks else rows).mapInPandas(run, f"{key} {kind}, {REPLY}")
+    return (rows.repartition(tasks) if tasks else rows).mapInPandas(run, f"{key} {kind}, {REPLY}")

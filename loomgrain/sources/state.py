@@ -18,10 +18,13 @@ KEYS = {"sft_paper": ["pmcid"], "paper_ctx": ["pmcid"], "gen": ["pmcid"], "pair"
 
 
 class StateStore:
-    """State tables under one folder. A commit is a new part that counts once its _SUCCESS mark is there."""
+    """State tables under one folder. A commit is a new part that counts once its _SUCCESS mark is there.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    Beyond ``most_versions`` parts a table is written anew as one.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, most_versions: int = 64):
+        self.spark, self.root, self.most_versions = spark, root.rstrip("/"), most_versions
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -37,13 +40,15 @@ class StateStore:
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Commit rows as the next version; their keys take the place of earlier ones in ``read``."""
-        n = max(self.versions(table), default=-1) + 1
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/v={n}")
+        known = self.versions(table)
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/v={max(known, default=-1) + 1}")
+        if len(known) >= self.most_versions:
+            self.replace(table, self.read(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Truncate and reload: the new version is committed before earlier ones go."""
         old = self.versions(table)
-        self.append(table, rows)
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/v={max(old, default=-1) + 1}")
         for v in old:
             p, fs = self._fs(f"{self.root}/{table}/v={v}")
             fs.delete(p, True)

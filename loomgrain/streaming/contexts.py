@@ -28,8 +28,21 @@ def windowed_counts(events: DataFrame, time: str, kind: str, window: str, delay:
     return counts.select(F.col("window.start").alias("start"), kind, "n")
 
 
+def replace_table(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the whole result anew with every micro-batch; a batch that is run again writes the same."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    out = rows.writeStream.outputMode("complete").foreachBatch(write)
+    return out.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def guard_stream(spark: SparkSession, pairs: DataFrame, contexts: DataFrame, state: StateStore, checkpoint: str) -> StreamingQuery:
-    """Guard every micro-batch of pairs against the contexts and commit it to the state table of pairs."""
+    """Guard every micro-batch of pairs against the contexts and commit it to the state table of pairs.
+
+    A batch that is run again after a failure commits the same ids once more, of which the latest count.
+    """
 
     def commit(batch: DataFrame, _: int) -> None:
         checked = check_pairs(batch, contexts)

@@ -268,3 +268,69 @@ def test_streaming(spark, tmp_path):
     stream = spark.readStream.schema(pairs.schema).parquet(str(tmp_path / "pairs"))
     streaming.guard_stream(spark, stream, contexts, s, str(tmp_path / "check")).awaitTermination()
     assert s.pairs().first().kept == 1
+
+
+def test_cache_key_follows_the_store(spark, tmp_path):
+    """A shard that changes makes a new key, under a path that only Spark's file systems understand."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.shards.link./data", f"file://{tmp_path}")
+    folder = "viewfs://shards/data/in"
+    (tmp_path / "in").mkdir()
+    shard = tmp_path / "in" / "a.jsonl"
+    shard.write_text('{"text": "one"}\n')
+    c = GOOD | {"data": {"corpus_dir": folder, "processed_dir": "p", "sequence_length": 8}}
+    first = corpus.cache_key(spark, c, readers.shard_states(spark, folder))
+    assert corpus.cache_key(spark, c, readers.shard_states(spark, folder)) == first
+    shard.write_text('{"text": "one and more"}\n')
+    assert corpus.cache_key(spark, c, readers.shard_states(spark, folder)) != first
+    assert [r.text for r in readers.resolve_replay(spark, folder).collect()] == ["one and more"]
+
+
+def test_whole_files(spark, tmp_path):
+    for name, data in (("a b.xml", b"x\xffy"), ("[1]+%20.xml", b"brackets"), ("not wanted.xml", b"z")):
+        (tmp_path / name).write_bytes(data)
+    wanted = [("1", "a b.xml"), ("2", "[1]+%20.xml"), ("3", "missing.xml"), ("4", None), ("5", "a b.xml")]
+    got = {r.pmcid: r.text for r in readers.read_whole_files(spark, str(tmp_path), wanted).collect()}
+    assert got == {"1": "xy", "2": "brackets", "3": None, "4": None, "5": "xy"}
+    assert readers.read_whole_files(spark, str(tmp_path), [("9", "no")]).collect()[0].text is None
+
+
+def test_chat_replay(spark, tmp_path):
+    (tmp_path / "chat.jsonl").write_text("\n".join([chat("a", "b"), "junk", chat("c", "d")]))
+    got = sorted((r.pos, json.loads(r.payload)[0]["content"]) for r in readers.read_chat_replay(spark, str(tmp_path / "chat.jsonl")).collect())
+    assert got == [(0, "a"), (1, "c")]
+
+
+def test_state_is_compacted(spark, tmp_path):
+    s = state.StateStore(spark, str(tmp_path), most_versions=3)
+    for i in range(9):
+        s.append("gen", spark.createDataFrame([(f"p{i % 4}", None, i, "t")], state.SCHEMAS["gen"]))
+    assert len(s.versions("gen")) <= 4
+    assert {(r.pmcid, r.ok) for r in s.read("gen").collect()} == {("p0", 8), ("p1", 5), ("p2", 6), ("p3", 7)}
+
+
+def test_replies_are_told_as_they_come(monkeypatch):
+    g = model.HttpGenerator("http://h", "m", concurrency=4)
+    monkeypatch.setattr(g, "one", lambda p, *a: model.Reply(p.upper()))
+    told = {}
+    out = g.generate(["a", "b", "c"], "", 1, 0.0, done=lambda i, r: told.update({i: r.text}))
+    assert [r.text for r in out] == ["A", "B", "C"] and told == {0: "A", 1: "B", 2: "C"}
+
+
+def test_command_lines(spark, tmp_path, capsys):
+    import yaml
+
+    (tmp_path / "chat.jsonl").write_text("\n".join([chat("a", "b"), chat("c", "d")]))
+    c = GOOD | {"data": {"train_file": str(tmp_path / "chat.jsonl")}}
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(c))
+    corpus.main(["--config", str(tmp_path / "c.yaml")])
+    assert "kept=2 malformed=0 duplicate=0" in capsys.readouterr().out
+    spark.createDataFrame([("a", "a", 1.0, 2, 0)], "prediction string, reference string, loss double, n_tokens long, pos long").write.parquet(str(tmp_path / "rows"))
+    evaluate.main(["--config", str(tmp_path / "c.yaml"), "--rows", str(tmp_path / "rows")])
+    assert json.loads(capsys.readouterr().out)["exact_match"] == 1.0
+
+
+def test_public_names():
+    import loomgrain
+
+    assert all(getattr(loomgrain, n) is not None for n in loomgrain.__all__)
