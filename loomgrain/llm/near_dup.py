@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgrain.llm.memory import tidy
@@ -239,7 +239,7 @@ def _relabel(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b, c, element, reach, delta, nb) for pairs (a, b) with b's component c: how b's set differs from that of its reference a.
+    """(a, b, c, elements, reach, nb) for pairs (a, b) with b's component c: how b's set differs from that of its reference a.
 
     With s the sum of two set sizes and k = (1 - p) / (1 + p), sets have similarity p or more just if their symmetric
     difference is at most s k. Two members of one reference with differences X and Y to it therefore need
@@ -256,7 +256,7 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
         for batch in batches:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)
-                out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(7)]
+                reach, sizes, elements = [], [], []
                 for a, b, c, ta, tb in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
                     if a not in held:
                         if len(held) > 200:
@@ -270,13 +270,66 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
                     if delta > (len(x) + len(y)) * k:
                         t = min(t, delta - most)
                     n = min(delta, max(0, delta - max(1, math.ceil(t - 1e-6)) + 1))
-                    e = np.concatenate([added, lost ^ _MIX]).view(np.int64)
-                    for column, value in zip(out, (a, b, c, e, n, delta, len(y)), strict=True):
-                        column.append(value if isinstance(value, np.ndarray) else np.full(delta, value, np.int64))
-                names = ["a", "b", "c", "element", "reach", "delta", "nb"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=names)
+                    elements.append(np.concatenate([added, lost ^ _MIX]).view(np.int64))
+                    reach.append(n)
+                    sizes.append(len(y))
+                told = [pa.array(elements, pa.list_(pa.int64())), pa.array(reach, pa.int64()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *told], names=["a", "b", "c", "elements", "reach", "nb"])
 
-    return both.mapInArrow(tidy(run), "a long, b long, c long, element long, reach long, delta long, nb long")
+    return both.mapInArrow(tidy(run), "a long, b long, c long, elements array<long>, reach long, nb long")
+
+
+#: Counters for how often a reference's differences have an element.
+_COUNTERS = 1 << 20
+
+
+def _counters(a: np.ndarray, elements: np.ndarray) -> np.ndarray:
+    h = (elements.view(np.uint64) ^ (a.view(np.uint64) * _MIX)) * _MIX
+    return ((h ^ (h >> np.uint64(32))) * _MIX >> np.uint64(44)).astype(np.int64)
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, reference, element) of every element of a batch of differences."""
+    lists = batch.column(3)
+    row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    return row, batch.column(0).to_numpy()[row], lists.flatten().to_numpy()
+
+
+def _prefixes(d: DataFrame) -> DataFrame:
+    """(a, element, b, c, at, delta, nb): the first ``reach`` elements of each difference, rare ones first.
+
+    Any common order will do. Rarity is read from a fixed number of counters that elements share by hash, so it takes no
+    window or join by element, of which a reference's differences may have one in all of them. An element alone in its
+    counter has no partner and is left out.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(_COUNTERS, np.int64)
+        for b in batches:
+            _, a, e = _flat(b)
+            held += np.bincount(_counters(a, e), minlength=_COUNTERS)
+        at = np.nonzero(held)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["counter", "n"])
+
+    told = d.mapInArrow(tidy(count), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(_COUNTERS, np.int64)
+    often[told.column("counter").to_numpy()] = told.column("n").to_numpy()
+    shared = d.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, a, e = _flat(b)
+            n = shared.value[_counters(a, e)]
+            o = np.lexsort((e, n, row))
+            row, a, e, n = row[o], a[o], e[o], n[o]
+            at = np.arange(len(row)) - np.searchsorted(row, row)
+            delta = np.bincount(row, minlength=b.num_rows)
+            keep = (at < b.column(4).to_numpy()[row]) & (n > 1)
+            row = row[keep]
+            columns = [a[keep], e[keep], *(b.column(i).to_numpy()[row] for i in (1, 2)), at[keep], delta[row], b.column(5).to_numpy()[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "element", "b", "c", "at", "delta", "nb"])
+
+    return d.mapInArrow(tidy(run), "a long, element long, b long, c long, at long, delta long, nb long")
 
 
 def _apart(
@@ -305,10 +358,7 @@ def _apart(
     near = edges.join(mixed, "a")
     d = scratch.save(_differences(near.select("a", "b", "c"), facts, width, percent), "differences")
     # the rarest elements come first, so that few members meet in one
-    often = F.count(F.lit(1)).over(Window.partitionBy("a", "element"))
-    rare = Window.partitionBy("a", "b").orderBy("often", "element")
-    d = d.withColumn("often", often).withColumn("at", F.row_number().over(rare) - 1).where("at < reach and often > 1")
-    d = scratch.save(d.drop("reach", "often"), "prefixes")
+    d = scratch.save(_prefixes(d), "prefixes")
     x = d.select("a", "element", F.col("b").alias("x"), F.col("c").alias("cx"), F.col("at").alias("ax"), F.col("delta").alias("dx"), F.col("nb").alias("nx"))
     y = d.select("a", "element", F.col("b").alias("y"), F.col("c").alias("cy"), F.col("at").alias("ay"), F.col("delta").alias("dy"), F.col("nb").alias("ny"))
     t = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * k) / 2 - 1e-6))
@@ -343,7 +393,10 @@ def near_duplicates(
     classes = scratch.save(classes, "classes")
     entries = _entries(classes, index, components)
     shared = entries.groupBy("entry").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last")
-    members = scratch.save(entries.join(shared.drop("last"), "entry"), "members")
+    # written, so that the join deals both sides out and adaptive execution can split an entry that many classes have
+    shared = scratch.save(shared.drop("last"), "shared")
+    scratch.release()
+    members = scratch.save(entries.join(shared, "entry"), "members")
     scratch.release()
     involved = members.select("rep").distinct()
     owned = classes.join(involved, "rep", "left_semi")
@@ -365,7 +418,7 @@ def near_duplicates(
     links = scratch.save(links.unionByName(new), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
     # whatever else could join two components
-    mates = stars.groupBy("center").agg(F.count(F.lit(1)).alias("mates"))
+    mates = scratch.save(stars.groupBy("center").agg(F.count(F.lit(1)).alias("mates")), "mates")
     likely = F.struct(F.col("mates"), -F.col("center"))
     refs = stars.join(mates, "center").groupBy("rep").agg(F.max_by("center", likely).alias("ref"))
     refs = scratch.save(refs, "refs")

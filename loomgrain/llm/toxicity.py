@@ -288,7 +288,7 @@ def excesses(docs: DataFrame, model: KneserNey, noise: float, carry: list[str])
     rows = scratch.save(screened(docs, model, noise, carry), "screened")
     said = rows.select("__row", F.explode("__words").alias("word"))
     over = F.col("units") - F.lit(round(noise * _UNIT))
-    told = model.differences(said.select("word").distinct()).where(over > 0).select("word", over.alias("over"))
+    told = scratch.save(model.differences(said.select("word").distinct()).where(over > 0).select("word", over.alias("over")), "over")
     sums = said.join(told, "word").groupBy("__row").agg(F.sum("over").alias("__over"))
     mean = F.coalesce(F.col("__over") / _UNIT / F.col("__n"), F.lit(0.0))
     return rows.drop("__words").join(sums, "__row", "left").select(*carry, mean.alias("__excess"))
