@@ -1,14 +1,17 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Vectors become integers (floor of scale times each component), are ranged by id into blocks and each block
-is stored as one row: its ids, its forward index (the row-major matrix) and, per component ("term"), the
-largest and smallest value. For a query the sum over terms of the best those extremes allow bounds every score
-of a block; blocks are visited by falling bound and each is scored through its forward index until the
-bound is below the k-th score so far. A bound equal to it is still scored, for ties go to the smaller id.
+Vectors become integers (floor of scale times each component). They are put in an order in which neighbours are alike: a tree
+of cuts along principal axes, fitted on a bounded sample (``sample_rows`` rows; it decides the order only, never the
+result), gives each vector a leaf, and ranges of (leaf, id) become blocks. A block is stored as one row: its ids, its
+forward index (the row-major matrix) and, per component ("term"), the largest and smallest value. For a query the sum over
+terms of the best those extremes allow bounds every score of a block; blocks are visited by falling bound and each is
+scored through its forward index until the bound is below the k-th score so far. A bound equal to it is still scored, for
+ties go to the smaller id. Every query starts from the k-th score that it has in the sample, which no shard's own can be
+below. Vectors without any structure give loose bounds, and then nearly all blocks are scored.
 
-Queries and candidates meet in blocks: candidate shards of at most ``shard_rows`` and query groups of at most
-``group_rows``, each pair of them one task of bounded memory that returns k rows a query; a window over
-those picks the final k. Nothing is broadcast or collected.
+Queries and candidates meet in blocks: candidate shards and query groups of bounded bytes, each pair of them one task that
+returns k rows a query; a window over those picks the final k. Equal rows are counted before they are dealt out, and at most
+k of them are kept, as many as a result can show. Only the sample is broadcast and collected.
 
 Defined results: a null id, a null vector, or one holding null, NaN or an infinity takes no part; vectors of
 other lengths are padded with zeros; a query's own id is never its candidate; repeated candidate rows each
@@ -71,9 +74,69 @@ def _packer(rows: int):
     return pack
 
 
-def _blocks(ints: DataFrame, shards: int, rows: int) -> DataFrame:
-    ranged = ints.repartitionByRange(shards, "id").sortWithinPartitions("id")
-    return ranged.mapInArrow(_packer(rows), _BLOCK)
+def _blocks(ints: DataFrame, tree: AxisTree, shards: int, rows: int) -> DataFrame:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            leaves = tree.leaves(_matrix(b.column(1).to_pylist(), tree.width))
+            yield pa.RecordBatch.from_arrays([pa.array(leaves), *b.columns], names=["leaf", "id", "v"])
+
+    placed = ints.mapInArrow(place, "leaf long, id long, v array<long>")
+    ranged = placed.repartitionByRange(shards, "leaf", "id").sortWithinPartitions("leaf", "id")
+    return ranged.select("id", "v").mapInArrow(_packer(rows), _BLOCK)
+
+
+def _matrix(vs: list[list[int]], width: int, kind: type = np.float64) -> np.ndarray:
+    m = np.zeros((len(vs), width), kind)
+    for k, v in enumerate(vs):
+        m[k, : len(v)] = v[:width]
+    return m
+
+
+class AxisTree:
+    """Cuts along principal axes: each node halves its sample at the median of the longest axis."""
+
+    def __init__(self, sample: np.ndarray, least: int = 8):
+        self.width = sample.shape[1]
+        self.axes: list[np.ndarray] = []
+        self.cuts: list[float] = []
+        self.next: list[list[int]] = []
+        self.size = 0
+        self.root = self._grow(sample.astype(np.float64), least)
+
+    def _grow(self, x: np.ndarray, least: int) -> int:
+        """The number of a node, or less than 0 for a leaf."""
+        centred = x - x.mean(0) if len(x) else x
+        if len(x) < 2 * least or not centred.any():
+            self.size += 1
+            return -self.size
+        axis = np.ones(self.width)
+        for _ in range(12):  # power steps; the axis need not be exact
+            axis = centred.T @ (centred @ axis)
+            axis /= np.linalg.norm(axis) or 1.0
+        at = x @ axis
+        cut = float(np.median(at))
+        low = at < cut
+        if not low.any() or low.all():
+            self.size += 1
+            return -self.size
+        node = len(self.axes)
+        self.axes.append(axis)
+        self.cuts.append(cut)
+        self.next.append([0, 0])
+        self.next[node] = [self._grow(x[low], least), self._grow(x[~low], least)]
+        return node
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        open_ = [(self.root, np.arange(len(x)))]
+        while open_:
+            node, rows = open_.pop()
+            if node < 0 or not len(rows):
+                out[rows] = -node
+                continue
+            low = x[rows] @ self.axes[node] < self.cuts[node]
+            open_ += [(self.next[node][0], rows[low]), (self.next[node][1], rows[~low])]
+        return out
 
 
 def _padded(rows: pd.DataFrame, name: str, width: int) -> np.ndarray:
@@ -93,11 +156,17 @@ def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(full, -(2**63), 2**63 - 1)
 
 
-def block_topk(qids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], tops: np.ndarray, lows: np.ndarray, k: int):
-    """(row of q, id, score) of each query's k best over the blocks; blocks hold (ids ascending, matrix)."""
+def block_topk(
+    qids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], tops: np.ndarray, lows: np.ndarray, k: int,
+    floor: np.ndarray | None = None, scored: list[int] | None = None,
+):
+    """(row of q, id, score) of each query's k best over the blocks; blocks hold (ids, matrix).
+
+    floor: for each query a score that k candidates reach anywhere; lower ones are left out. scored gains the pairs scored.
+    """
     bound = _dot(np.maximum(q, 0), tops) + _dot(np.minimum(q, 0), lows)
     order = np.argsort(-bound, axis=1, kind="stable")
-    kth = np.full(len(q), -np.inf, bound.dtype)
+    kth = np.full(len(q), -np.inf, bound.dtype) if floor is None else floor.astype(bound.dtype)
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bound.dtype))
     active = np.arange(len(q))
     for r in range(len(blocks)):
@@ -111,6 +180,8 @@ def block_topk(qids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, n
             rows = active[which == b]
             ids, matrix = blocks[b]
             s = _dot(q[rows], matrix)
+            if scored is not None:
+                scored.append(s.size)
             own = ids[None, :] == qids[rows][:, None]
             if own.any():
                 s = np.where(own, -np.inf, s)
@@ -126,10 +197,28 @@ def block_topk(qids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarray, n
         keep = np.arange(len(at)) - first < k
         held = at, ids, scores = at[keep], ids[keep], scores[keep]
         full = (np.arange(len(at)) - np.searchsorted(at, at, "left")) == k - 1
-        kth[at[full]] = scores[full]
+        kth[at[full]] = np.maximum(kth[at[full]], scores[full])
     return held
 
 
+def _sampled(ints: DataFrame, rows: int, most_bytes: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and matrix of a sample of bounded size, the same whatever the partitioning."""
+    most = max(1, min(rows, most_bytes // (8 * max(1, width))))
+    told = ints.orderBy(F.xxhash64("id", "v"), "id").limit(most).collect()
+    return np.array([r.id for r in told], np.int64), _matrix([r.v for r in told], width, np.int64)
+
+
+def _floors(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th score among the sample's rows other than its own."""
+    if len(ids) < k:
+        return np.full(len(q), -np.inf)
+    s = _dot(q, matrix).astype(np.float64)
+    s[ids[None, :] == qids[:, None]] = -np.inf
+    kth = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+    # beyond 2**53 a float may have been rounded up
+    return np.where(np.abs(kth) < _EXACT, kth, np.nextafter(kth, -np.inf))
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -137,31 +226,43 @@ def top_k(
     scale: int = 1024,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    block_rows: int = 1024,
-    shard_rows: int = 262_144,
-    group_rows: int = 65_536,
+    block_bytes: int = 64 << 10,
+    shard_bytes: int = 64 << 20,
+    group_bytes: int = 16 << 20,
+    sample_rows: int = 4096,
 ) -> DataFrame:
     """query_id, rank (from 1), the candidate's id as ``vec_id`` and score: the k best candidates of every query."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
-    every = integer_vectors(vectors, id_col, vec_col, scale)
+    every = integer_vectors(vectors, id_col, vec_col, scale).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    every = every.select("id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k).cast("long"))))).select("id", "v")
+    every = scratch.save(every, "vectors")
     asked = integer_vectors(queries, id_col, vec_col, scale).groupBy("id").agg(F.min("v").alias("v"))
-    n = every.count()
-    cores = spark.sparkContext.defaultParallelism
-    shards = max(1, -(-n // shard_rows), min(cores, -(-n // (4 * block_rows))))
-    stored = scratch.save(_blocks(every, shards, block_rows), "candidates")
-    groups = max(1, -(-asked.count() // group_rows))
-    grouped = scratch.save(_blocks(asked, groups, block_rows), "queries")
+    asked = scratch.save(asked, "asked")
+    size = every.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width")).first()
+    wide = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("width")).first()
+    width = max(1, size.width, wide.width)
+    # a query's bounds and the scores of one block take room too
+    block_rows = max(8, block_bytes // (8 * width))
+    shards = max(1, -(-size.n * 8 * width // shard_bytes), min(spark.sparkContext.defaultParallelism, -(-size.n // (4 * block_rows))))
+    groups = max(1, -(-wide.n * 8 * max(width, -(-size.n // (shards * block_rows))) // group_bytes))
+    sample = _sampled(every, sample_rows, 16 << 20, width)
+    tree = AxisTree(sample[1])
+    stored = scratch.save(_blocks(every, tree, shards, block_rows), "candidates")
+    grouped = scratch.save(_blocks(asked, tree, groups, max(8, group_bytes // (64 * width))), "queries")
+    shared = spark.sparkContext.broadcast(sample)
 
     def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(q):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        width = int(max(c["width"].max(), q["width"].max()))
-        qids = np.concatenate([np.frombuffer(x, np.int64) for x in q["ids"]])
         blocks = [(np.frombuffer(i, np.int64), _padded(c.iloc[[b]], "matrix", width)) for b, i in enumerate(c["ids"])]
         tops, lows = _padded(c, "tops", width), _padded(c, "lows", width)
-        at, ids, scores = block_topk(qids, _padded(q, "matrix", width), blocks, tops, lows, k)
-        return pd.DataFrame({"query_id": qids[at], "vec_id": ids, "score": scores.astype(np.int64)})
+        parts = []
+        for row in range(len(q)):  # stored query rows are small enough for their scores against the sample
+            qids, m = np.frombuffer(q["ids"].iloc[row], np.int64), _padded(q.iloc[[row]], "matrix", width)
+            at, ids, scores = block_topk(qids, m, blocks, tops, lows, k, _floors(qids, m, *shared.value, k))
+            parts.append((qids[at], ids, scores.astype(np.int64)))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
     left = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     right = grouped.withColumnRenamed("shard", "part").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

@@ -66,7 +66,7 @@ def test_topk_brute_force(spark):
     data = r.normal(size=(3000, 6)).astype(np.float32)
     data[::50] = data[0]
     v = vectors(spark, [(int(i), [float(x) for x in row], 0) for i, row in enumerate(data)])
-    got = topk.top_k(v, v.where("vec_id % 100 = 0"), k=10, block_rows=64, shard_rows=512, group_rows=8).collect()
+    got = topk.top_k(v, v.where("vec_id % 100 = 0"), k=10, block_bytes=64 * 48, shard_bytes=512 * 48, group_bytes=1 << 9).collect()
     whole = np.floor(1024 * data.astype(np.float64)).astype(np.int64)
     for q in range(0, 3000, 100):
         s = whole @ whole[q]
@@ -74,6 +74,41 @@ def test_topk_brute_force(spark):
         assert [(x.rank, x.vec_id, x.score) for x in sorted(got, key=lambda x: x.rank) if x.query_id == q] == [(k + 1, i, s[i]) for k, i in enumerate(order)]
 
 
+def scored_share(data, queries, k=10, block_rows=64):
+    """Share of (query, candidate) pairs that block-at-a-time search scores, and whether the result is right."""
+    order = np.argsort(topk.AxisTree(data[:4096]).leaves(data.astype(float)), kind="stable")
+    cuts = [order[i : i + block_rows] for i in range(0, len(data), block_rows)]
+    blocks, scored = [(c, data[c]) for c in cuts], []
+    tops, lows = np.array([data[c].max(0) for c in cuts]), np.array([data[c].min(0) for c in cuts])
+    floor = topk._floors(queries, data[queries], np.arange(min(4096, len(data))), data[:4096], k)
+    at, ids, scores = topk.block_topk(queries, data[queries], blocks, tops, lows, k, floor, scored)
+    for i, q in enumerate(queries):
+        s = (data @ data[q]).astype(float)
+        s[q] = -np.inf
+        assert ids[at == i].tolist() == np.lexsort((np.arange(len(data)), -s))[:k].tolist()
+    return sum(scored) / (len(queries) * len(data))
+
+
+def test_topk_bounds_prune():
+    """Vectors around centres: most blocks are never scored. Without structure next to all are."""
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(60, 32)) * 800
+    data = np.floor(centres[r.integers(0, 60, 12_000)] + r.normal(size=(12_000, 32)) * 40).astype(np.int64)
+    assert scored_share(data, np.arange(0, 12_000, 400)) < 0.1
+
+
+def test_topk_wide_and_repeated(spark):
+    r = np.random.default_rng(5)
+    data = r.normal(size=(400, 1024)).astype(np.float32)
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(data)] + [(7, data[7].tolist(), 0)] * 500
+    v = vectors(spark, rows)
+    got = topk.top_k(v, v.where("vec_id % 100 = 0"), k=3, shard_bytes=1 << 20, group_bytes=1 << 14).collect()
+    whole = np.floor(1024 * data.astype(np.float64)).astype(np.int64)
+    for q in range(0, 400, 100):
+        best = sorted(((-int(whole[q] @ whole[i]), i) for i in [*range(400), *[7] * 500] if i != q))[:3]
+        assert [(-x.score, x.vec_id) for x in sorted(got, key=lambda x: x.rank) if x.query_id == q] == best
+
+
 def test_toxicity_edges(spark):
     bad, good = "you are a worthless fool and a scoundrel", "the river runs along the quiet green valley"
     texts = {i: (bad if i % 2 else good) + f" in part {i}" for i in range(300)}
