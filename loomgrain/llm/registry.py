@@ -100,9 +100,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = rows.where("record_type = 'response'").select(
         F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target_page")
     )
-    return rows.join(target, "refers_to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("target_page").alias("refers_to")
-    )
+    told = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    # responses refer to nothing: only revisits take part in the join
+    again = rows.where("record_type = 'revisit'").join(target, "refers_to", "left").select(*told, F.col("target_page").alias("refers_to"))
+    return rows.where("record_type = 'response'").select(*told, F.lit(None).cast("long").alias("refers_to")).unionByName(again)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,18 +2,22 @@
 
 ``write_archive`` writes three records for each page, a request, a response or revisit, and a metadata record, as
 WARC/1.1 files through Spark's own text writer (a record ends with two line ends, which is the writer's row
-separator), so any store that Spark writes to will do. Records equal in payload, if it is long enough, keep one
-response; the others are revisits that refer to it. ``read_archive`` parses archives (plain or gzip, one or many
-members) by their content lengths. ``assemble`` joins request, response and metadata records through their
-concurrent-to identifiers, in either direction and over one intermediate record, into one nested row per capture.
-
-A file is read whole by one task, so archives should stay well under 1 GB; the writer closes files at about
-``file_bytes``. Digests are summed up by a partial aggregate and met again by an equi-join of narrow rows.
-
-Defined results: null payloads count as empty; a null URL gives no target URI; blanks and control characters in URLs
-are written as %20 in headers; rows with the same key and payload are all responses if theirs is the largest key;
-side records without a capture give a capture row with null record fields; bytes that are no record are skipped,
-and a record cut off by the end of its file is left out; an empty table gives an empty archive and no rows.
+separator), so any store that Spark writes to will do; that writer makes one gzip member a file. Records equal in payload, if it
+is long enough, keep one response; the others are revisits that refer to it. ``read_archive`` parses archives (plain or gzip, one
+or many members) by their content lengths, inflating a piece at a time. ``assemble`` joins request, response and metadata
+records through their concurrent-to identifiers, of which a record may have several, in either direction and over any
+number of intermediate records, into one nested row per capture.
+
+A file's bytes are read by one task, so archives should stay well under 1 GB; the writer closes files at about
+``file_bytes``. Digests are summed up by a partial aggregate and met again by an equi-join. Record identifiers number
+the rows of ``pages``, which should therefore be a stored table and not a plan that may number its rows anew.
+
+Defined results: null payloads count as empty; a null key gives a null page; a null URL gives no target URI; blanks and control
+characters in URLs are written as %20 in headers; rows with the same key and payload are all responses if theirs is the
+largest key; a side record that reaches several captures goes to the one of smallest identifier; side records without a
+capture give a capture row with null record fields, under the smallest identifier that they name; bytes that are no record
+are skipped, a record cut off by the end of its file is left out, and where gzip data is damaged reading goes on at
+the next member; an empty table gives an empty archive and no rows.
 """
 
 from __future__ import annotations
@@ -21,17 +25,19 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgrain.session import Scratch
+
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PRIMARY = ("response", "revisit", "resource", "conversion")
 _RECORD = (
-    "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, date string, "
+    "record_id string, record_type string, concurrent_to array<string>, refers_to string, target_uri string, date string, "
     "digest string, headers map<string,string>, http_head string, payload_length long, payload_sha1 string, payload binary"
 )
 
@@ -111,72 +117,106 @@ def write_archive(
     out.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", each).option("compression", compression).text(path)
 
 
-def _members(data: bytes) -> bytes:
-    """Plain bytes of a file that may be gzip with any number of members."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out)
+_GZIP = b"\x1f\x8b"
+_MEMBER = b"\x1f\x8b\x08"
+_PIECE = 1 << 14
+
+
+def _pieces(data: bytes) -> Iterator[bytes | None]:
+    """Plain bytes of a file, which may be gzip with any number of members, in pieces; None where some are lost."""
+    if data[:2] != _GZIP:
+        yield data
+        return
+    view, at = memoryview(data), 0
+    while 0 <= at < len(data):
+        if data[at : at + 2] != _GZIP:
+            at = data.find(_MEMBER, at)
+            continue
+        member, begin = zlib.decompressobj(31), at
+        try:
+            while at < len(data) and not member.eof:
+                part = view[at : at + _PIECE]
+                yield member.decompress(part)
+                at += len(part)
+            at -= len(member.unused_data)
+        except zlib.error:
+            yield None
+            at = data.find(_MEMBER, begin + 1)
 
 
 _START = re.compile(rb"WARC/1\.[01]\r\n")
 _END = b"\r\n\r\n"
 
 
-def _fields(head: bytes) -> dict[str, str]:
-    """Header fields by lower-case name; folded lines are joined, the first of a repeated name stays."""
+def _fields(head: bytes) -> list[tuple[str, str]]:
+    """Header fields with lower-case names in order; folded lines are joined."""
     text = re.sub(r"\r\n[ \t]+", " ", head.decode("utf-8", "replace"))
-    out: dict[str, str] = {}
-    for line in text.split(CRLF):
-        name, colon, value = line.partition(":")
-        if colon:
-            out.setdefault(name.strip().lower(), value.strip())
-    return out
-
-
-def parse_records(data: bytes) -> Iterator[tuple]:
-    """Tuples in the order of the record schema."""
-    at, view = 0, data
-    while m := _START.search(view, at):
-        stop = view.find(_END, m.end() - 2)
-        if stop < 0:
-            return
-        headers = _fields(view[m.end() : stop])
-        begin = stop + 4
-        size = headers.get("content-length", "")
-        if not size.isdigit():
-            at = m.end()
+    lines = (line.partition(":") for line in text.split(CRLF))
+    return [(name.strip().lower(), value.strip()) for name, colon, value in lines if colon]
+
+
+def _told(fields: list[tuple[str, str]], headers: dict[str, str], block: bytes) -> tuple:
+    http, payload = None, block
+    if headers.get("content-type", "").startswith("application/http"):
+        cut = block.find(_END)
+        http, payload = (block, b"") if cut < 0 else (block[:cut], block[cut + 4 :])
+    named = ("warc-refers-to", "warc-target-uri", "warc-date", "warc-payload-digest")
+    return (
+        headers.get("warc-record-id"),
+        headers.get("warc-type"),
+        [v for k, v in fields if k == "warc-concurrent-to"] or None,
+        *map(headers.get, named),
+        headers,
+        None if http is None else http.decode("utf-8", "replace"),
+        len(payload),
+        hashlib.sha1(payload).hexdigest(),
+        payload,
+    )
+
+
+def parse_records(pieces: Iterable[bytes | None]) -> Iterator[tuple]:
+    """Tuples in the order of the record schema from consecutive pieces of a file; of a repeated header the map has the first.
+
+    What is held is the record at hand and one piece. None drops what is held, for its end is lost.
+    """
+    held, need = bytearray(), 1
+    for piece in pieces:
+        if piece is None:
+            held, need = bytearray(), 1
+            continue
+        held += piece
+        if len(held) < need:
             continue
-        if begin + int(size) > len(view):
-            return
-        block = view[begin : begin + int(size)]
-        at = begin + int(size)
-        http, payload = None, block
-        if headers.get("content-type", "").startswith("application/http"):
-            cut = block.find(_END)
-            http, payload = (block, b"") if cut < 0 else (block[:cut], block[cut + 4 :])
-        yield (
-            headers.get("warc-record-id"),
-            headers.get("warc-type"),
-            headers.get("warc-concurrent-to"),
-            headers.get("warc-refers-to"),
-            headers.get("warc-target-uri"),
-            headers.get("warc-date"),
-            headers.get("warc-payload-digest"),
-            headers,
-            None if http is None else http.decode("utf-8", "replace"),
-            len(payload),
-            hashlib.sha1(payload).hexdigest(),
-            payload,
-        )
+        at = 0
+        while True:
+            m = _START.search(held, at)
+            if not m:
+                # a start may be cut in two
+                at, need = max(at, len(held) - 10), 1
+                break
+            stop = held.find(_END, m.end() - 2)
+            if stop < 0:
+                at, need = m.start(), 1
+                break
+            fields = _fields(bytes(held[m.end() : stop]))
+            headers = dict(reversed(fields))
+            size = headers.get("content-length", "")
+            if not size.isdigit():
+                at = m.end()
+                continue
+            end = stop + 4 + int(size)
+            if end > len(held):
+                at, need = m.start(), end - m.start()
+                break
+            yield _told(fields, headers, bytes(held[stop + 4 : end]))
+            at = end
+        del held[:at]
 
 
 _ARROW = [
-    *[pa.string()] * 7,
+    *[pa.string()] * 2,
+    pa.list_(pa.string()),
+    *[pa.string()] * 4,
     pa.map_(pa.string(), pa.string()),
     pa.string(),
     pa.int64(),
@@ -200,7 +240,7 @@ def read_archive(
         for b in batches:
             for raw in b.column(0):
                 rows, held = [], 0
-                for r in parse_records(_members(raw.as_py())):
+                for r in parse_records(_pieces(raw.as_py())):
                     if payload_of is not None and r[1] not in payload_of:
                         r = (*r[:-1], None)
                     rows.append(r)
@@ -215,6 +255,30 @@ def read_archive(
     return files.mapInArrow(parse, _RECORD)
 
 
+def _anchors(primary: DataFrame, side: DataFrame) -> DataFrame:
+    """(__sid, __anchor): the capture that each side record with links reaches, else the smallest identifier it names.
+
+    Links hold in both directions. Each round settles the records one link further from a capture; most archives need one.
+    """
+    scratch = Scratch(side.sparkSession, "links")
+    captures = primary.select(F.col("record_id").alias("__to")).where("__to is not null").distinct()
+    told = side.select(F.col("record_id").alias("__sid"), F.explode("concurrent_to").alias("__to"))
+    back = primary.select(F.explode("concurrent_to").alias("__sid"), F.col("record_id").alias("__to"))
+    own = side.select(F.col("record_id").alias("__sid")).where("__sid is not null").distinct()
+    links = scratch.save(told.unionByName(back.join(own, "__sid", "left_semi")).distinct(), "links")
+    least = F.min("__to").alias("__anchor")
+    settled = scratch.save(links.join(captures, "__to", "left_semi").groupBy("__sid").agg(least), "settled")
+    between = links.join(own.withColumnRenamed("__sid", "__to"), "__to", "left_semi").select("__sid", "__to")
+    between = scratch.save(between.unionByName(between.select(F.col("__to").alias("__sid"), F.col("__sid").alias("__to"))), "between")
+    new = settled
+    while between.limit(1).count() and new.limit(1).count():
+        reached = between.join(new.select(F.col("__sid").alias("__to"), "__anchor"), "__to").join(settled, "__sid", "left_anti")
+        new = scratch.save(reached.groupBy("__sid").agg(F.min("__anchor").alias("__anchor")), "settled")
+        settled = settled.unionByName(new)
+    rest = links.join(settled, "__sid", "left_anti")
+    return settled.unionByName(rest.groupBy("__sid").agg(least))
+
+
 def assemble(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per capture: the primary record's columns with arrays ``requests`` and ``metadata`` of its side records.
 
@@ -225,11 +289,7 @@ def assemble(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
     records = records.select(*always, *wanted)
     primary = records.where(F.col("record_type").isin(*PRIMARY))
     side = records.where(F.col("record_type").isin("request", "metadata"))
-    direct = side.where("concurrent_to is not null").select(F.col("record_id").alias("__sid"), F.col("concurrent_to").alias("__to"))
-    back = primary.where("concurrent_to is not null").select(F.col("concurrent_to").alias("__sid"), F.col("record_id").alias("__to"))
-    known = direct.unionByName(back).distinct()
-    step = known.select(F.col("__sid").alias("__to"), F.col("__to").alias("__next"))
-    resolved = known.join(step, "__to", "left").groupBy("__sid").agg(F.min(F.coalesce("__next", "__to")).alias("__anchor"))
+    resolved = _anchors(primary, side)
     placed = side.join(resolved, side["record_id"] == resolved["__sid"], "left").withColumn(
         "__anchor", F.coalesce("__anchor", "record_id")
     )

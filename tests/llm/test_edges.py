@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties and repeated rows: each operator's defined results."""
 
+import gzip
 import random
+import time
 import zlib
 
 import numpy as np
@@ -362,7 +364,9 @@ def test_warc_links_in_both_directions_and_damage(spark):
         + record("metadata", "<o>", "orphan", to="<gone>") + b"WARC/1.0\r\nContent-Length: x\r\n\r\n" + record("response", "<s>", "b2", extra="X: a\r\n b\r\n")
         + b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\ncut"
     )
-    rows = list(warc.parse_records(data))
+    rows = list(warc.parse_records([data]))
+    for step in (1, 7, 50):
+        assert list(warc.parse_records(data[i : i + step] for i in range(0, len(data), step))) == rows
     assert [r[0] for r in rows] == ["<r>", "<q>", "<m>", "<o>", "<s>"] and rows[4][7]["x"] == "a b"
     schema = warc._RECORD
     got = {r.capture_id: r for r in warc.assemble(spark.createDataFrame(rows, schema)).collect()}
@@ -370,6 +374,37 @@ def test_warc_links_in_both_directions_and_damage(spark):
     assert got["<s>"].requests == [] and got["<gone>"].record_id is None and [x.record_id for x in got["<gone>"].metadata] == ["<o>"]
 
 
+def warc_record(kind, rid, block=b"x", to=()):
+    links = "".join(f"WARC-Concurrent-To: {t}\r\n" for t in to)
+    return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {rid}\r\n{links}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_warc_chains_and_repeated_links(spark):
+    data = (
+        warc_record("response", "<a>") + warc_record("response", "<b>") + warc_record("request", "<1>", to=["<a>"]) + warc_record("metadata", "<2>", to=["<1>"])
+        + warc_record("metadata", "<3>", to=["<2>"]) + warc_record("metadata", "<4>", to=["<3>", "<none>"]) + warc_record("metadata", "<5>", to=["<b>", "<a>"])
+        + warc_record("request", "<6>", to=["<5>", "<7>"]) + warc_record("metadata", "<7>") + warc_record("metadata", "<8>", to=["<9>"]) + warc_record("metadata", "<9>", to=["<8>"])
+    )
+    rows = list(warc.parse_records([data]))
+    assert rows[6][2] == ["<b>", "<a>"] and rows[0][2] is None
+    got = {r.capture_id: (sorted(x.record_id for x in r.requests), sorted(x.record_id for x in r.metadata)) for r in warc.assemble(spark.createDataFrame(rows, warc._RECORD)).collect()}
+    assert got["<a>"] == (["<1>", "<6>"], ["<2>", "<3>", "<4>", "<5>", "<7>"]) and got["<b>"] == ([], [])
+    assert sorted(x for c, v in got.items() if c not in ("<a>", "<b>") for x in v[1]) == ["<8>", "<9>"]
+
+
+def test_warc_members_and_damage():
+    """Many gzip members in linear time; a damaged member loses its own records only."""
+    parts = [gzip.compress(warc_record("response", f"<{i}>", b"payload %d" % i)) for i in range(20_000)]
+    began = time.time()
+    assert [r[0] for r in warc.parse_records(warc._pieces(b"".join(parts)))] == [f"<{i}>" for i in range(20_000)]
+    assert time.time() - began < 20
+    bad = bytearray(parts[1])
+    bad[20] ^= 0xFF
+    bad[25] ^= 0xFF
+    found = [r[0] for r in warc.parse_records(warc._pieces(parts[0] + bytes(bad) + parts[2] + b"junk" + parts[3] + parts[4][:-9]))]
+    assert found[0] == "<0>" and {"<2>", "<3>"} <= set(found)
+
+
 def test_toxicity_keeps_every_gram(spark):
     """More distinct n-grams than the model once kept (400,000), each with its count."""
     r = random.Random(3)
