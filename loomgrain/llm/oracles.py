@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from loomgrain.llm.quality import COMMON_WORDS
-
 OP1 = """
 with l as (
   select doc_id, text, string_split(text, chr(10)) as l from documents
@@ -26,21 +24,22 @@ from l left join kept k on l.doc_id = k.doc_id
 """
 
 
-def _list(words: list[str]) -> str:
-    return "[" + ", ".join("'" + w + "'" for w in words) + "]"
-
-
-_LISTS = " ".join(f"when '{k}' then {_list(v)}" for k, v in COMMON_WORDS.items())
-_POOLED = _list(sorted({w for v in COMMON_WORDS.values() for w in v}))
-
 OP2 = f"""
-with b as (
-  select doc_id, coalesce(text, '') as text, case when lang in ({", ".join(f"'{k}'" for k in COMMON_WORDS)}) then lang else 'und' end as lang,
+with own as (
+  select lang from documents where lang is not null group by lang order by count(*) desc, lang limit 200
+), b as (
+  select doc_id, coalesce(text, '') as text, case when lang in (select lang from own) then lang else 'und' end as lang,
          list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\x0C\\r]+'), lambda x: x <> '') as w
   from documents
+), wn as (
+  select lang, w, count(*) as n from (select lang, unnest(list_distinct(w)) as w from b) group by lang, w
+), wk as (
+  select lang, w, row_number() over (partition by lang order by n desc, w) as k from wn
+), wl as (
+  select lang, list(w order by k) as listed from wk where k <= 16 group by lang
 ), lists as (
-  select *, case lang {_LISTS} else {_POOLED} end as listed, length(array_to_string(w, '')) as word_chars,
-         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\x0C\\r]')) as lines from b
+  select b.*, coalesce(listed, []) as listed, length(array_to_string(w, '')) as word_chars,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\x0C\\r]')) as lines from b left join wl on b.lang = wl.lang
 ), c as (
   select *, len(w)::bigint as n_words, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          length(regexp_replace(text, '[^a-z]', '', 'g')) as k1, length(regexp_replace(text, '[\\x00-\\x7F]', '', 'g')) as k2,
@@ -74,7 +73,7 @@ with b as (
 ), v as (
   select doc_id, n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
          n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-         (word_chars >= 200 and dc > 0.24) or (n_words >= 100 and dw > 0.295) as odd from d
+         (word_chars >= 200 and dc > 0.235) or (n_words >= 100 and dw > 0.24) as odd from d
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not coalesce(odd, false) as kept from v
 """

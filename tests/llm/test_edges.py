@@ -49,6 +49,16 @@ def test_quality(spark):
     assert quality.judge_quality(docs(spark, [ODD[5]] * 3).withColumn("doc_id", F.lit(1).cast("long"))).count() == 3
 
 
+def test_quality_unknown_languages(spark):
+    text = "some words of a text that is long enough to count for something " * 20
+    rows = [(i, text, lang, None, None) for i, lang in enumerate(["en", None, "", "xx", "und", "en"])] + [(9, None, None, None, None)]
+    got = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(rows, DOC), most_languages=2).collect()}
+    assert len(got) == 7 and not got[9].kept and all(got[i].word_distance is not None and got[i].word_distance < 1e-6 for i in range(6))
+    # the words that most documents have, ties by word
+    few = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(["b a a a", "b c", "c d d"])], DOC)
+    assert quality.common_words(few, ["en"], 3) == {"en": ["b", "c", "a"]}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 

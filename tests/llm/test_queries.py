@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomgrain.llm import oracles, registry
+from loomgrain.llm import oracles, registry, toxicity
 from tests.compare import connect, oracle_rows, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -93,10 +93,20 @@ def test_toxicity_held_out(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
     rows = scored.where("held_out").join(labels, "doc_id").join(docs, "doc_id").collect()
     assert scored.count() == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
-    english = [r for r in rows if r.lang == "en"]
-    caught = sum(r.predicted for r in english if r.toxic) / sum(r.toxic for r in english)
+    caught = {lang: [r.predicted for r in rows if r.toxic and r.lang == lang] for lang in ("de", "en", "es", "fr")}
+    recall = {lang: sum(x) / len(x) for lang, x in caught.items()}
+    assert recall["en"] > 0.9 and min(recall.values()) > 0.8 and sum(map(sum, caught.values())) / sum(map(len, caught.values())) > 0.9
     wrong = sum(r.predicted for r in rows if not r.toxic) / sum(1 - r.toxic for r in rows)
-    assert caught > 0.9 and wrong < 0.05
+    assert wrong < 0.02
+
+
+def test_quality_held_out(spark):
+    """Of labelled documents that the thresholds were not read off and that pass the base rules: poor ones go, good ones stay."""
+    folder = "/root/testdata/sf0.1"
+    held = spark.read.parquet(f"{folder}/labels.parquet").where(toxicity.training_fold(F.col("doc_id")) == 0)
+    rows = QUERIES["op2_quality"](spark, folder).where("not base_failed").join(held, "doc_id")
+    told = {r.quality: (r.n, r.kept) for r in rows.groupBy("quality").agg(F.count("*").alias("n"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert told[1][0] > 500 and told[1][1] > 0.99 and told[0][1] < 0.2
 
 
 def test_url_filter(spark):
