@@ -280,12 +280,12 @@ def _differences(pairs: DataFrame, facts: DataFrame, width: int, percent: int) -
 
 
 #: Counters for how often a reference's differences have an element.
-_COUNTERS = 1 << 20
+_COUNTERS = 1 << 21
 
 
 def _counters(a: np.ndarray, elements: np.ndarray) -> np.ndarray:
     h = (elements.view(np.uint64) ^ (a.view(np.uint64) * _MIX)) * _MIX
-    return ((h ^ (h >> np.uint64(32))) * _MIX >> np.uint64(44)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(32))) * _MIX >> np.uint64(43)).astype(np.int64)
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,8 +299,7 @@ def _prefixes(d: DataFrame) -> DataFrame:
     """(a, element, b, c, at, delta, nb): the first ``reach`` elements of each difference, rare ones first.
 
     Any common order will do. Rarity is read from a fixed number of counters that elements share by hash, so it takes no
-    window or join by element, of which a reference's differences may have one in all of them. An element alone in its
-    counter has no partner and is left out.
+    window or join by element, of which a reference's differences may have one in all of them.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,10 +320,10 @@ def _prefixes(d: DataFrame) -> DataFrame:
             row, a, e = _flat(b)
             n = shared.value[_counters(a, e)]
             o = np.lexsort((e, n, row))
-            row, a, e, n = row[o], a[o], e[o], n[o]
+            row, a, e = row[o], a[o], e[o]
             at = np.arange(len(row)) - np.searchsorted(row, row)
             delta = np.bincount(row, minlength=b.num_rows)
-            keep = (at < b.column(4).to_numpy()[row]) & (n > 1)
+            keep = at < b.column(4).to_numpy()[row]
             row = row[keep]
             columns = [a[keep], e[keep], *(b.column(i).to_numpy()[row] for i in (1, 2)), at[keep], delta[row], b.column(5).to_numpy()[row]]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "element", "b", "c", "at", "delta", "nb"])

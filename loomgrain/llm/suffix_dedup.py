@@ -7,20 +7,21 @@ doc_id goes; matches stay inside documents and are judged on the input.
    q is half the length). Equal strings have equal anchors, so strings are only compared with those of one anchor.
    Documents are dealt into chunks of a few MB; a chunk reports each of its distinct anchors once, however often it
    has it, and learns which of them occur in two documents.
-   Documents that are exact copies of one with a smaller doc_id go whole and take no further part.
+   Documents that are exact copies (by 128-bit hash and length) of one with a smaller doc_id go whole and take no further part.
 2. Buckets. For shared anchors a chunk sends its distinct stretches, a stretch being the bytes of consecutive strings with
-   the same anchor, each with the smallest doc_id that has it. Stretches of one anchor meet in one task. There the
+   the same anchor, each with the smallest doc_id that has it and its number in the chunk. Stretches of one anchor meet in one
+   task, in order of their bytes, so that equal ones become one. Where several are left, their
    strings' positions are put into buckets of equal q0-grams; a bucket is refined by sorting its positions on the bucket
    numbers at later offsets, which the last refinement made, so the compared length doubles each time; positions
    alone in their bucket are done. The smallest doc_id of each final bucket is the answer for its strings.
-3. Answers go back to the chunk that asked; it marks the covered bytes of its documents.
+3. Answers go back to the chunk that asked, by the stretch's number; it marks the covered bytes of its documents.
 
-Chunks bound what any task holds, and a string that a third of all documents share is one row a chunk. All
-exchange is by chunk or anchor; nothing is collected or broadcast.
+Chunks bound what most tasks hold, and a string that a third of all documents share is one row a chunk and stretch. The
+stretches of one anchor are held together, each distinct one once. All exchange is by chunk or anchor; nothing is collected or broadcast.
 
 Defined results: null text counts as empty; texts shorter than a string stay; rows with a null doc_id stay and remove
 nothing; rows that share a doc_id are one document (they do not remove each other's bytes); an empty table gives an empty
-result. Anchors are compared by 64-bit hash (which only decides who meets), strings byte by byte.
+result. Anchors are compared by 64-bit hash, which only decides who meets; stretches and strings byte by byte.
 """
 
 from __future__ import annotations
@@ -182,13 +183,42 @@ def _texts(pdf: pd.DataFrame) -> list[bytes]:
 
 
 def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A chunk's documents, with the rows that mark copies taken into ``copy``."""
-    marks = pdf["copy"].to_numpy(bool)
-    docs = pdf[~marks].copy()
-    docs["copy"] = docs["doc_id"].isin(pdf.loc[marks, "doc_id"]).to_numpy()
+    """A chunk's documents in a fixed order, with the rows that mark copies (by doc_id and text) taken into ``copy``."""
+    keys, marks = ["doc_id", "h1", "h2"], pdf["copy"].to_numpy(bool)
+    docs = pdf[~marks].sort_values(keys, kind="stable").reset_index(drop=True)
+    copies = set(pdf.loc[marks, keys].itertuples(index=False, name=None))
+    docs["copy"] = [k in copies for k in docs[keys].itertuples(index=False, name=None)]
     return docs
 
 
+class Chunk:
+    """All stretches of a chunk's documents, and which are the same bytes; the same whenever it is made again."""
+
+    def __init__(self, docs: pd.DataFrame, length: int, q: int):
+        self.ids, self.texts = docs["doc_id"].to_numpy(np.int64), _texts(docs)
+        self.sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.raw = b"".join(self.texts)
+        anchor, content, lo, hi, row = ([np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        for a, s in _slices(self.texts, length, q):
+            anchor.append(s.anchor)
+            content.append(s.content)
+            lo.append(s.lo + s.shift + self.starts[a])
+            hi.append(s.hi + s.shift + self.starts[a])
+            row.append(a + s.row)
+        self.anchor, content, self.lo, self.hi, self.row = (np.concatenate(x) for x in (anchor, content, lo, hi, row))
+        o = np.lexsort((content, self.anchor))
+        new = np.ones(len(o), bool)
+        new[1:] = (self.anchor[o[1:]] != self.anchor[o[:-1]]) | (content[o[1:]] != content[o[:-1]])
+        lows, highs, raw = self.lo[o].tolist(), self.hi[o].tolist(), self.raw
+        for i in np.nonzero(~new)[0].tolist():
+            new[i] = raw[lows[i] : highs[i]] != raw[lows[i - 1] : highs[i - 1]]
+        #: The number of each stretch's bytes, and for each number its first stretch, which is that of the smallest doc_id.
+        self.number = np.empty(len(o), np.int64)
+        self.number[o] = np.cumsum(new) - 1
+        self.first = o[new]
+
+
 def _report(length: int, q: int) -> Callable:
     """Chunk to (anchor, many): its distinct anchors, and whether two of its documents have it."""
 
@@ -219,91 +249,86 @@ def _is_in(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _send(length: int, q: int) -> Callable:
-    """Chunk and its shared anchors to (anchor, bytes, doc): its distinct stretches of shared anchors."""
+    """Chunk and its shared anchors to (anchor, bytes, doc, chunk, number): its distinct stretches of shared anchors."""
 
     def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        docs = _gathered(pdf)
-        ids, shared = docs["doc_id"].to_numpy(np.int64), np.sort(known["anchor"].to_numpy(np.int64).view(np.uint64))
-        h, c, d = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        parts: list[bytes] = []
-        for a, s in _slices(_texts(docs), length, q):
-            hit = np.nonzero(_is_in(s.anchor, shared))[0]
-            h.append(s.anchor[hit])
-            c.append(s.content[hit])
-            d.append(ids[a + s.row[hit]])
-            raw = s.data.tobytes()
-            parts += [raw[x:y] for x, y in zip(s.lo[hit].tolist(), s.hi[hit].tolist(), strict=True)]
-        h, c, d = np.concatenate(h), np.concatenate(c), np.concatenate(d)
-        o = np.lexsort((d, c, h))
-        new = np.ones(len(o), bool)
-        new[1:] = (h[o[1:]] != h[o[:-1]]) | (c[o[1:]] != c[o[:-1]])
-        o = o[new]
-        return pd.DataFrame({"anchor": h[o].view(np.int64), "bytes": [parts[i] for i in o.tolist()], "doc": d[o]})
+        c = Chunk(_gathered(pdf), length, q)
+        shared = np.sort(known["anchor"].to_numpy(np.int64).view(np.uint64))
+        number = np.nonzero(_is_in(c.anchor[c.first], shared))[0]
+        at = c.first[number]
+        parts = [c.raw[x:y] for x, y in zip(c.lo[at].tolist(), c.hi[at].tolist(), strict=True)]
+        chunk = pdf["chunk"].iloc[0] if len(pdf) else 0
+        return pd.DataFrame({"anchor": c.anchor[at].view(np.int64), "bytes": parts, "doc": c.ids[c.row[at]], "chunk": chunk, "number": number})
 
     return run
 
 
-def _contents(stretches: list[bytes]) -> np.ndarray:
-    """The content hash of each stretch, as Stretches has it."""
-    sizes = np.array([len(x) for x in stretches], np.int64)
-    ends = np.cumsum(sizes)
-    sums = _HASHER.sums(np.frombuffer(b"".join(stretches), np.uint8))
-    return _HASHER.ranges(sums, ends - sizes, ends) ^ sizes.astype(np.uint64)
-
-
 def _answer(length: int, most: int = 2 << 20) -> Callable:
-    """Rows of stretches, those of one anchor together, to answers (doc, anchor, content, least).
+    """Rows of stretches in order of anchor and bytes to answers (chunk, number, least).
 
     ``least`` has the smallest doc_id for each string of the stretch, or one value if it is the same for all; stretches
-    whose own doc_id is the smallest for all of their strings get no answer. Where all stretches of an anchor are the same
-    there is nothing to refine.
+    whose own doc_id is the smallest for all of their strings get no answer.
     """
 
-    def answers(anchors: np.ndarray, parts: list[bytes], docs: np.ndarray) -> Iterator[pa.RecordBatch]:
-        contents = _contents(parts)
-        group = np.cumsum(np.append(True, anchors[1:] != anchors[:-1])) - 1
-        starts = np.nonzero(np.append(True, anchors[1:] != anchors[:-1]))[0]
-        uniform = np.minimum.reduceat(contents, starts) == np.maximum.reduceat(contents, starts)
-        least = np.minimum.reduceat(docs, starts)[group]
-        plain = np.nonzero(uniform[group] & (least < docs))[0]
-        out = [(plain, [x.tobytes() for x in least[plain]])]
-        mixed = np.nonzero(~uniform[group])[0]
-        a = 0
+    def answers(anchors: np.ndarray, parts: list[bytes], docs: np.ndarray, chunks: np.ndarray, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+        opens = np.append(True, anchors[1:] != anchors[:-1])
+        new = opens.copy()
+        for i in np.nonzero(~opens)[0].tolist():
+            new[i] = parts[i] != parts[i - 1]
+        # distinct stretches, the smallest doc_id of each, and how many its anchor has
+        kind, at = np.cumsum(new) - 1, np.nonzero(new)[0]
+        least = np.minimum.reduceat(docs, at)
+        group = (np.cumsum(opens) - 1)[at]
+        several = np.bincount(group)[group] > 1
+        values: list[bytes | None] = [x.tobytes() for x in least]
+        low = least.copy()
+        mixed, a = np.nonzero(several)[0], 0
         while a < len(mixed):
             # whole groups, a bounded number of bytes at a time
             b, held = a, 0
             while b < len(mixed) and (held <= most or group[mixed[b]] == group[mixed[b - 1]]):
-                held += len(parts[mixed[b]])
+                held += len(parts[at[mixed[b]]])
                 b += 1
-            rows = mixed[a:b]
-            owner, found = least_documents([parts[i] for i in rows.tolist()], docs[rows], length)
-            bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
-            low, high = np.minimum.reduceat(found, bounds[:-1]), np.maximum.reduceat(found, bounds[:-1])
-            told = np.nonzero(low < docs[rows])[0]
-            values = [
-                (found[bounds[i] : bounds[i] + 1] if low[i] == high[i] else found[bounds[i] : bounds[i + 1]]).tobytes()
-                for i in told.tolist()
-            ]
-            out.append((rows[told], values))
+            kinds = mixed[a:b]
+            owner, found = least_documents([parts[i] for i in at[kinds].tolist()], least[kinds], length)
+            bounds = np.searchsorted(owner, np.arange(len(kinds) + 1))
+            low[kinds], high = np.minimum.reduceat(found, bounds[:-1]), np.maximum.reduceat(found, bounds[:-1])
+            for i, k in enumerate(kinds.tolist()):
+                values[k] = found[bounds[i] : bounds[i] + 1 if low[k] == high[i] else bounds[i + 1]].tobytes()
             a = b
-        for rows, values in out:
-            arrays = [pa.array(docs[rows]), pa.array(anchors[rows]), pa.array(contents[rows].view(np.int64)), pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "anchor", "content", "least"])
+        told = np.nonzero(low[kind] < docs)[0]
+        for i in range(0, len(told), 20_000):
+            rows = told[i : i + 20_000]
+            least_of = pa.array([values[k] for k in kind[rows].tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(chunks[rows]), pa.array(numbers[rows]), least_of], names=["chunk", "number", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, parts, docs = np.zeros(0, np.int64), [], np.zeros(0, np.int64)
+        held: list[pa.RecordBatch] = []
+        rows = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held)
+            yield from answers(t.column(0).to_numpy(), t.column(1).to_pylist(), *(t.column(i).to_numpy() for i in (2, 3, 4)))
+
         for b in batches:
             if not b.num_rows:
                 continue
-            anchors = np.concatenate([anchors, b.column(0).to_numpy()])
-            parts += b.column(1).to_pylist()
-            docs = np.concatenate([docs, b.column(2).to_numpy()])
-            cut = int(np.searchsorted(anchors, anchors[-1]))
-            if cut > 30_000:
-                yield from answers(anchors[:cut], parts[:cut], docs[:cut])
-                anchors, parts, docs = anchors[cut:], parts[cut:], docs[cut:]
-        if len(anchors):
-            yield from answers(anchors, parts, docs)
+            anchors = b.column(0).to_numpy()
+            begin = 0
+            # what is held ends where the first anchor that is not held's last begins
+            if held and rows > 30_000:
+                last = held[-1].column(0)[-1].as_py()
+                begin = int(np.searchsorted(anchors, last, "right"))
+                if begin < b.num_rows:
+                    held.append(b.slice(0, begin))
+                    yield from flush()
+                    held, rows = [], 0
+                else:
+                    begin = 0
+            held.append(b.slice(begin))
+            rows += b.num_rows - begin
+        if held:
+            yield from flush()
 
     return run
 
@@ -322,38 +347,22 @@ def _mark(length: int, q: int, carry: list[str], whole: bool) -> Callable:
         docs = _gathered(pdf)
         if not len(docs):
             return pd.DataFrame({c: [] for c in ["doc_id", *carry, "n_bytes", "spans", "kept"]})
-        ids, texts = docs["doc_id"].to_numpy(np.int64), _texts(docs)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
+        c = Chunk(docs, length, q)
+        ids, texts, sizes, starts, lo, hi = c.ids, c.texts, c.sizes, c.starts, c.lo, c.hi
+        own = ids[c.row]
         edges = np.zeros(int(starts[-1]) + 1, np.int32)
-        h, c, lo, hi, doc = ([np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-        for a, s in _slices(texts, length, q):
-            h.append(s.anchor)
-            c.append(s.content)
-            lo.append(s.lo + s.shift + starts[a])
-            hi.append(s.hi + s.shift + starts[a])
-            doc.append(a + s.row)
-        h, c, lo, hi, doc = (np.concatenate(x) for x in (h, c, lo, hi, doc))
         # what the chunk itself knows: the smallest of its documents that has the same stretch
-        key = h * np.uint64(0xD6E8FEB86659FD93) + c
-        o = np.lexsort((ids[doc], key))
-        new = np.append(True, key[o[1:]] != key[o[:-1]]) if len(o) else np.zeros(0, bool)
-        least = np.empty(len(o), np.int64)
-        least[o] = ids[doc[o]][np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))] if len(o) else 0
-        ta, tc = (told[n].to_numpy(np.int64).view(np.uint64) for n in ("anchor", "content"))
-        tk = ta * np.uint64(0xD6E8FEB86659FD93) + tc
-        to = np.argsort(tk)
-        tk, tv = tk[to], told["least"].to_numpy()[to]
-        single = np.array([len(x) == 8 for x in tv], bool)
-        value = np.frombuffer(b"".join(x[:8] for x in tv), np.int64) if len(tv) else np.zeros(0, np.int64)
-        at = np.searchsorted(tk, key)
-        at[at == len(tk)] = 0
-        answered = tk[at] == key if len(tk) else np.zeros(len(key), bool)
-        one = answered & single[at] if len(tk) else answered
-        least[one] = np.minimum(least[one], value[at[one]])
-        gone = least < ids[doc]
-        for k in np.nonzero(answered & ~one & ~gone)[0].tolist():
-            less = np.nonzero(np.frombuffer(tv[at[k]], np.int64) < ids[doc[k]])[0]
+        least = own[c.first]
+        answer: list[bytes | None] = [None] * len(least)
+        for number, x in zip(told["number"].tolist(), told["least"].tolist(), strict=True):
+            if len(x) == 8:
+                least[number] = min(least[number], int.from_bytes(x, "little", signed=True))
+            else:
+                answer[number] = x
+        gone = least[c.number] < own
+        several = np.array([x is not None for x in answer], bool)[c.number] if len(answer) else gone
+        for k in np.nonzero(several & ~gone)[0].tolist():
+            less = np.nonzero(np.frombuffer(answer[c.number[k]], np.int64) < own[k])[0]
             if len(less):
                 cut = np.nonzero(np.diff(less) > 1)[0]
                 edges[lo[k] + less[np.append(0, cut + 1)]] += 1
@@ -361,7 +370,7 @@ def _mark(length: int, q: int, carry: list[str], whole: bool) -> Callable:
         np.add.at(edges, lo[gone], 1)
         np.add.at(edges, hi[gone], -1)
         gone = np.cumsum(edges[:-1]) > 0
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        data = np.frombuffer(c.raw, np.uint8)
         if whole and len(data):
             gone = _whole_characters(data, gone)
         # a run ends with its document
@@ -391,13 +400,13 @@ def _mark(length: int, q: int, carry: list[str], whole: bool) -> Callable:
     return run
 
 
-def exact_copies(known: DataFrame, length: int) -> DataFrame:
-    """doc_id of the documents whose whole text, at least ``length`` bytes, is also that of a smaller doc_id."""
-    narrow = known.where(F.octet_length("text") >= length).select(
-        "doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2"), F.octet_length("text").alias("n")
-    )
+def exact_copies(known: DataFrame, length: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, h1, h2) of the documents whose whole text, at least ``length`` bytes, is also that of a smaller doc_id."""
+    narrow = known.where(F.octet_length("text") >= length).select("doc_id", "h1", "h2", F.octet_length("text").alias("n"))
     first = narrow.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return narrow.join(first, ["h1", "h2", "n"]).where("doc_id > first").select("doc_id").distinct()
+    # written, so that the join deals both sides out and adaptive execution can split a text that many documents have
+    first = scratch.save(first.drop("last"), "first")
+    return narrow.join(first, ["h1", "h2", "n"]).where("doc_id > first").select("doc_id", "h1", "h2").distinct()
 
 
 def remove_repeats(
@@ -418,19 +427,20 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     chunks = max(1, -(-int(total) // chunk_bytes))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("string").alias(c) for c in carry])
-    known = base.where("doc_id is not null")
+    hashes = {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), F.col("text"))}
+    known = base.where("doc_id is not null").withColumns(hashes)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
-    copies = scratch.save(exact_copies(known, length), "copies")
+    copies = scratch.save(exact_copies(known, length, scratch), "copies")
     nothing = F.lit(None).cast("string")
 
     def dealt(names: list[str]) -> DataFrame:
-        docs = known.select(chunk, "doc_id", "text", *names, F.lit(False).alias("copy"))
-        marks = copies.select(chunk, "doc_id", nothing.alias("text"), *[nothing.alias(c) for c in names], F.lit(True).alias("copy"))
+        docs = known.select(chunk, "doc_id", "h1", "h2", "text", *names, F.lit(False).alias("copy"))
+        marks = copies.select(chunk, "doc_id", "h1", "h2", nothing.alias("text"), *[nothing.alias(c) for c in names], F.lit(True).alias("copy"))
         return docs.unionByName(marks)
 
     shared = _shared_anchors(dealt([]), length, q, scratch)
     scratch.release()
-    told = _told(dealt([]), shared, length, q, int(total), chunk, scratch)
+    told = _told(dealt([]), shared, length, q, int(total), scratch)
     scratch.drop(shared)
     scratch.release()
     kept = "".join(f"{c} string, " for c in carry)
@@ -460,10 +470,10 @@ def _shared_anchors(dealt: DataFrame, length: int, q: int, scratch: Scratch) ->
     return scratch.save(seen.where((F.col("n") > 1) | F.col("any")).select("chunk", "anchor"), "shared")
 
 
-def _told(dealt: DataFrame, shared: DataFrame, length: int, q: int, total: int, chunk: Column, scratch: Scratch) -> DataFrame:
-    """(chunk, anchor, content, least): the answers for every chunk."""
-    asked = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_send(length, q), "anchor long, bytes binary, doc long")
+def _told(dealt: DataFrame, shared: DataFrame, length: int, q: int, total: int, scratch: Scratch) -> DataFrame:
+    """(chunk, number, least): the answers for every chunk."""
+    schema = "anchor long, bytes binary, doc long, chunk long, number long"
+    asked = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_send(length, q), schema)
     parts = max(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (16 << 20)))
-    met = asked.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    answers = met.mapInArrow(tidy(_answer(length)), "doc_id long, anchor long, content long, least binary")
-    return scratch.save(answers.select(chunk, "anchor", "content", "least"), "told")
+    met = asked.repartition(parts, "anchor").sortWithinPartitions("anchor", "bytes")
+    return scratch.save(met.mapInArrow(tidy(_answer(length)), "chunk long, number long, least binary"), "told")

@@ -6,7 +6,9 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +41,9 @@ def test_line_dedup(spark):
     assert got[8].text == "a" and got[9].text == "x\ny" and got[9].lines == 7
     twice = d.unionByName(d.where("doc_id = 5"))
     assert {r.text for r in line_dedup.dedup_lines(twice).where("doc_id = 5").collect()} == {ODD[5]}
+    # rows of one id, or of none, with texts of their own: only what repeats goes
+    mixed = docs(spark, {1: "a\nb\nc\nown", -1: "a\nb\nc\nno id"}).unionByName(docs(spark, {1: "other\nlines\nhere\na\nb\nc"}))
+    assert {r.text for r in line_dedup.dedup_lines(mixed).collect()} == {"a\nb\nc\nno id", "own", "other\nlines\nhere"}
 
 
 def test_quality(spark):
@@ -253,6 +258,48 @@ def test_suffix_dedup_brute_force(spark):
             assert left + raw[at:] == bytes(x.kept or b"")
 
 
+def test_suffix_dedup_does_not_trust_hashes(monkeypatch):
+    """Stretches whose hashes all collide are still told apart by their bytes; so are strings of one anchor."""
+    made = suffix_dedup.Stretches.__init__
+
+    def collide(self, *args):
+        made(self, *args)
+        self.content = np.zeros_like(self.content)
+        self.anchor = np.zeros_like(self.anchor)
+
+    monkeypatch.setattr(suffix_dedup.Stretches, "__init__", collide)
+    r = random.Random(4)
+    pool = ["".join(r.choice("ab ") for _ in range(60)) for _ in range(5)]
+    texts = ["".join(r.choice(pool) for _ in range(4)) for _ in range(20)]
+    rows = pd.DataFrame({"doc_id": range(20), "h1": 0, "h2": 0, "text": texts, "copy": False})
+    c = suffix_dedup.Chunk(suffix_dedup._gathered(rows), 50, 25)
+    raw = [c.raw[a:b] for a, b in zip(c.lo, c.hi, strict=True)]
+    assert all(raw[i] == raw[c.first[n]] for i, n in enumerate(c.number))
+    at = sorted(range(len(c.first)), key=lambda n: raw[c.first[n]])
+    columns = [[0] * len(at), [raw[c.first[n]] for n in at], [int(c.ids[c.row[c.first[n]]]) for n in at], [7] * len(at), at]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["anchor", "bytes", "doc", "chunk", "number"])
+    told = {n: v for b in suffix_dedup._answer(50)(iter([batch])) for n, v in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)}
+    first = {}
+    for i in range(20):
+        for k in range(len(texts[i]) - 49):
+            first.setdefault(texts[i][k : k + 50].encode(), i)
+    for n, f in enumerate(c.first):
+        wanted = [first[raw[f][k : k + 50]] for k in range(len(raw[f]) - 49)]
+        own = int(c.ids[c.row[f]])
+        assert (n in told) == (min(wanted) < own)
+        if n in told:
+            found = np.frombuffer(told[n], np.int64).tolist()
+            assert (found * len(wanted) if len(found) == 1 else found) == wanted
+
+
+def test_suffix_dedup_repeated_ids_and_copies(spark):
+    """A row that shares its doc_id with a copy, but not its text, keeps what is its own."""
+    a, b = "first text " * 9, "another text altogether " * 5
+    d = docs(spark, {1: a, 2: a}).unionByName(docs(spark, {2: b}))
+    got = sorted((x.doc_id, bytes(x.kept).decode()) for x in suffix_dedup.remove_repeats(d).collect())
+    assert got == [(1, a), (2, ""), (2, b)]
+
+
 def test_suffix_dedup_long_null_and_whole_characters(spark):
     passage = "é" * 40
     d = docs(spark, {1: "A" + passage, 2: passage + "B", -1: passage}).unionByName(docs(spark, {2: passage + "B"}))
