@@ -48,14 +48,18 @@ def ship_package(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, else one of our own.
 
-    Without the setting, a local master uses /tmp/checkpoints (one machine) and a cluster the warehouse folder.
+    Without the setting, a local master uses /tmp/checkpoints (one machine); a cluster uses the warehouse folder if its path
+    names a store, and is asked for the setting if that would be a folder of each machine's own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
         return f"file:///tmp/checkpoints/loomgrain-{os.getuid()}"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_loomgrain_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if "://" not in warehouse:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_loomgrain_scratch"
 
 
 class Scratch:
@@ -69,6 +73,7 @@ class Scratch:
         self.spark = spark
         self.base = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        self._saved: list[str] = []
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -80,8 +85,17 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         out._loomgrain_path = path
+        self._saved.append(path)
         return out
 
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Delete all tables that were saved here but for those of frames, which are what a lazy result still reads."""
+        kept = {getattr(f, "_loomgrain_path", None) for f in frames}
+        for path in self._saved:
+            if path not in kept:
+                self.drop_path(path)
+        self._saved = [p for p in self._saved if p in kept]
+
     def drop(self, df: DataFrame) -> None:
         path = getattr(df, "_loomgrain_path", None)
         if path:
