@@ -424,6 +424,7 @@ def near_duplicates(
     pairs = scratch.save(_apart(members, stars, tried.unionByName(pairs), refs, roots, facts, width, percent, scratch), "pairs")
     links = scratch.save(links.unionByName(_confirm(pairs, facts, width, percent, distance, scratch)), "links")
     roots = scratch.save(connected_components(links, scratch), "roots")
+    scratch.keep_only(described, classes, roots)
     placed = classes.select("digest", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     placed = placed.select("digest", F.coalesce("root", "rep").alias("component_id"))
     out = described.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")

@@ -49,7 +49,7 @@ class WholeTextIds:
         if self.library is not None:
             try:
                 return self.library.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
-            except Exception:  # the pattern matcher's own limits; nothing else can be raised for a text
+            except ValueError:  # the pattern matcher's limit on very long runs
                 pass
         return self.own.encode(text)
 

@@ -441,7 +441,7 @@ def remove_repeats(
     shared = _shared_anchors(dealt([]), length, q, scratch)
     scratch.release()
     told = _told(dealt([]), shared, length, q, int(total), scratch)
-    scratch.drop(shared)
+    scratch.keep_only(copies, told)
     scratch.release()
     kept = "".join(f"{c} string, " for c in carry)
     marked = (

@@ -251,6 +251,7 @@ def top_k(
     stored = scratch.save(_blocks(every, tree, shards, block_rows), "candidates")
     grouped = scratch.save(_blocks(asked, tree, groups, max(8, group_bytes // (64 * width))), "queries")
     shared = spark.sparkContext.broadcast(sample)
+    scratch.keep_only(stored, grouped)
 
     def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(q):

@@ -166,6 +166,7 @@ class KneserNey:
         more = whole(log_ratio(chance)) - F.col("base")
         self.grams = scratch.save(grams.select("context", F.expr("right(key, 1)").alias("letter"), more.alias("more")), "grams")
         self.contexts = contexts.select("context", "base")
+        self.stored = contexts, self.grams
 
     def differences(self, words: DataFrame) -> DataFrame:
         """(word, units) of distinct words: log-likelihood in the toxic model less that in the ordinary one; no row for no difference."""
@@ -396,7 +397,9 @@ def fit(
     if weights is None or not weights[1] > 0:
         weights = _PLAIN
     scratch.release()
-    return ToxicityModel(KneserNey(counts.select("key", *_CLASSES), order, floor, scratch), weights, noise, spark)
+    model = KneserNey(counts.select("key", *_CLASSES), order, floor, scratch)
+    scratch.keep_only(*model.stored)
+    return ToxicityModel(model, weights, noise, spark)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:

@@ -181,6 +181,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], order: int = 5, max_false_b
     scores = scratch.save(score_texts(asked, counts, order, scratch), "scores")
     good = texts.where("held and verdict = 'allow'").join(scores, "text")
     cut = calibrated_cut(good, max_false_block)
+    scratch.keep_only(scores)
     told = scores.select(F.col("text").alias("__text"), F.col("score").alias("__score"))
     out = known.join(told, F.when(open_, text) == F.col("__text"), "left").drop("__text")
     blocked = F.coalesce(F.col("__score") > cut, F.lit(False))

@@ -4,6 +4,7 @@ import gzip
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -179,6 +180,14 @@ def test_bpe_tables(spark):
     assert {r.doc_id: r.text for r in bpe.decode_documents(encoded, PATH).collect()} == {i: x or "" for i, x in enumerate(ODD)}
 
 
+def test_repeated_rows_are_encoded_and_packed_each(spark):
+    d = docs(spark, {1: "some text", 2: "some text"}).unionByName(docs(spark, {1: "some text", -1: None}))
+    rows = bpe.encode_documents(d, PATH, bpe.build_lexicon(d, PATH), digest=True).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in rows) == [(0, 0), (1, 2), (1, 2), (2, 2)] and len({r.ids_sha256 for r in rows}) == 2
+    pieces = packing.pack_documents(d, PATH).collect()
+    assert len({p.sequence_id for p in pieces}) == len(pieces) == 7 and sum(p.length for p in pieces) == 10
+
+
 def test_packing_edges(spark):
     assert packing.lengths_of(0, 8) == [] and packing.lengths_of(29, 8) == [8, 8, 8, 4, 1]
     got = packing.pack_documents(docs(spark, [None, "", "a b c d e"]).unionByName(docs(spark, {-1: "x"})), PATH, max_length=2).collect()
@@ -467,15 +476,85 @@ def test_toxicity_keeps_every_gram(spark):
     r = random.Random(3)
     letters = "abcdefghijklmnopqrstuvwxyz"
     words = ["".join(r.choice(letters) for _ in range(12)) for _ in range(45_000)]
-    rows = spark.createDataFrame([(" ".join(words[k::50]), k % 2) for k in range(50)], "text string, toxic int")
+    rows = spark.createDataFrame([(" ".join(words[k::50]), k % 2, k % 3 == 0) for k in range(50)], "text string, toxic int, held boolean")
     wanted = [set(), set()]
     for i, w in enumerate(words):
         padded = " " * 5 + w + "\n"
         wanted[i % 50 % 2] |= {padded[j : j + 6] for j in range(len(w) + 1)}
     counts = toxicity.gram_counts(rows, 6).cache()
-    model = toxicity.KneserNey(counts, 6, Scratch(spark, "test"))
-    assert model.keys == len(wanted[0] | wanted[1]) > 400_000
+    assert counts.count() == len(wanted[0] | wanted[1]) > 400_000
     assert [counts.where(f"{c} > 0").count() for c in ("ordinary", "toxic")] == [len(x) for x in wanted]
+    told = counts.agg(*[F.sum(c).alias(c) for c in counts.columns[1:]]).first()
+    assert told.toxic + told.ordinary == 45_000 * 13 and told.held_toxic + told.held_ordinary == 13 * sum(len(words[k::50]) for k in range(0, 50, 3))
+
+
+class PlainKneserNey:
+    """Both classes' chances by brute force over word counts: counts less the floor, the rest to one interpolated model of both."""
+
+    def __init__(self, words, order, floor):
+        self.order, self.floor = order, floor
+        self.own = [Counter(), Counter()]
+        for k, counted in enumerate(words):
+            for w, n in counted.items():
+                padded = " " * (order - 1) + w + "\n"
+                for i in range(len(w) + 1):
+                    self.own[k][padded[i : i + order]] += n
+        self.levels = {order: self.own[0] + self.own[1]}
+        for n in range(order - 1, 0, -1):
+            self.levels[n] = Counter(g[1:] for g in self.levels[n + 1])
+        self.after = {n: self.by_context(x) for n, x in self.levels.items()}
+        self.own_after = [self.by_context(x) for x in self.own]
+
+    @staticmethod
+    def by_context(counts):
+        out = {}
+        for g, n in counts.items():
+            out.setdefault(g[:-1], []).append(n)
+        return out
+
+    def shared(self, gram):
+        p = 1 / (len(self.levels[1]) + 1)
+        for n in range(1, self.order + 1):
+            g = gram[-n:]
+            seen = self.after[n].get(g[:-1])
+            if seen:
+                values = list(self.levels[n].values())
+                ones, twos = values.count(1), values.count(2)
+                d = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+                p = (max(self.levels[n][g] - d, 0) + d * len(seen) * p) / sum(seen)
+        return p
+
+    def chance(self, k, gram):
+        seen, q = self.own_after[k].get(gram[:-1]), self.shared(gram)
+        return (max(self.own[k][gram] - self.floor, 0) + sum(min(n, self.floor) for n in seen) * q) / sum(seen) if seen else q
+
+    def difference(self, word):
+        padded = " " * (self.order - 1) + word + "\n"
+        grams = [padded[i : i + self.order] for i in range(len(word) + 1)]
+        return sum(np.log(self.chance(0, g) / self.chance(1, g)) for g in grams)
+
+
+def test_toxicity_model_brute_force(spark):
+    """Chances add up to 1, every word's difference is the brute force's, and the screen lets every word over the noise through."""
+    r = random.Random(8)
+    syllables = ["ba", "lo", "ñi", "ch", "er", "日本", "x9", "-"]
+    word = lambda bad: ("scum" if bad and r.random() < 0.3 else "") + "".join(r.choice(syllables) for _ in range(r.randrange(1, 4)))
+    texts = [(" ".join(word(i % 4 == 0) for _ in range(30)), int(i % 4 == 0), False) for i in range(120)]
+    counts = toxicity.gram_counts(spark.createDataFrame(texts, "text string, toxic int, held boolean"), 4).select("key", "toxic", "ordinary")
+    model = toxicity.KneserNey(counts.cache(), 4, 2, Scratch(spark, "test"))
+    plain = PlainKneserNey([Counter(w for t, k, _ in texts if k == c for w in toxicity.words_in(t)) for c in (1, 0)], 4, 2)
+    for k in (0, 1):
+        for context in ("   ", "  s", "scu", "ch日", "zzz", "ba\n"):
+            alphabet = [g for g in plain.levels[1]] + ["?"]
+            assert abs(sum(plain.chance(k, context + x) for x in alphabet) - 1) < 1e-9
+    words = sorted({w for t, *_ in texts for w in toxicity.words_in(t)} | {"scumbag", "unseen", "日", "scum" * 10, "?"})
+    asked = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {x.word: x.units / toxicity._UNIT for x in model.differences(asked).collect()}
+    for w in words:
+        assert abs(got.get(w, 0.0) - plain.difference(w)) < 1e-6, w
+    likely = dict(zip(words, toxicity.likely_words(words, toxicity.Bounds(model), 1.0), strict=True))
+    over = [w for w in words if plain.difference(w) > 1.0]
+    assert over and all(likely[w] for w in over) and sum(likely.values()) < len(words)
 
 
 def test_url_model_keeps_every_gram(spark):

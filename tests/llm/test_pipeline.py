@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loomgrain.llm import toxicity
+from loomgrain.llm import near_dup, toxicity
 from tests.llm.test_edges import components, library
 from tests.llm.test_queries import FOLDER
 
@@ -106,3 +106,43 @@ def test_run_and_registry(spark):
     summed = corpus_pipeline.queries()["pipeline"](spark, FOLDER)
     assert out.agg(F.sum("length")).first() == summed.agg(F.sum("length")).first()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dup", "suffix_dedup", "packing"]
+
+
+def test_odd_rows(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, extra columns of clashing names, long texts: every stage keeps to its docstring."""
+    lines = "line one of it\nline two of it\nline three of it"
+    same = "these are some words of a text that comes back later on in just the same form as before " * 2
+    rows = [(1, None), (2, ""), (3, lines + "\nown"), (3, lines + "\nown"), (None, lines + "\nno id"), (4, same), (5, same), (None, same), (6, "word " * 100_000), (7, "a\n\n\n\n")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int, copy int, score int")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert sorted(out.columns) == COLUMNS
+        got = [(r.doc_id, r.text) for r in out.collect()]
+        assert (1, None) in got and (2, "") in got, name
+        assert [i for i, _ in got].count(3) == 2 and [i for i, _ in got].count(None) == 2, name
+        assert (5 in [i for i, _ in got]) == (name not in ("near_dup", "suffix_dedup")), name
+    pieces = corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()
+    assert len({p.sequence_id for p in pieces}) == len(pieces) and {p.doc_tokens for p in pieces if p.doc_id in (1, 2)} == {1}
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars int")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name
+
+
+def test_near_copies_found(spark):
+    """Of pairs of documents at a similarity of 0.8 or more by five words, found by comparing all of them, all are linked."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, width=5).collect()}
+    sets = {i: near_dup.shingle_set(t, 5) for i, t in texts.items()}
+    owners = {}
+    for i, s in sets.items():
+        for x in s.tolist():
+            owners.setdefault(x, []).append(i)
+    pairs = {(a, b) for o in owners.values() if 1 < len(o) < 200 for k, a in enumerate(o) for b in o[k + 1 :]}
+    linked = [(a, b) for a, b in pairs if 100 * (n := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    assert len(linked) > 50 and sum(found[a] == found[b] for a, b in linked) >= 0.999 * len(linked)
