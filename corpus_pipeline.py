@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of ``documents``; n_chars follows the text where a stage changes it.
+
+Defined results of all stages: extra columns are left out; an empty table gives an empty table; a null or empty text is
+neither toxic nor a duplicate and stays, as it was, to be packed as the end id alone; rows are judged by their text, so that
+repeated rows of one doc_id stay or go together; rows with a null doc_id stay unless they are toxic, and lose only repeated windows of lines.
 """
 
 from __future__ import annotations
@@ -38,7 +42,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five words a shingle, similarity 0.8): the one of smallest doc_id."""
+    """One document of each near-duplicate group (five words a shingle, similarity 0.8): the one of smallest doc_id.
+
+    All rows of a doc_id that is not its group's smallest go; rows without a doc_id stay.
+    """
     judged = near_dup.near_duplicates(docs, width=5, percent=80)
     gone = judged.where(~F.col("kept")).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -51,7 +58,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two pieces of every document's ids."""
+    """Power-of-two pieces of every document's ids; repeated rows give pieces of their own."""
     return packing.pack_documents(docs, VOCABULARY)
 
 
@@ -81,6 +88,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch.keep_only(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
