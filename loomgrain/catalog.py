@@ -102,6 +102,17 @@ def state_upsert(spark, d):
     return records.latest(o, ["o_custkey"], "o_orderkey")
 
 
+def state_store(spark, d):
+    """Verdicts committed to a state store: a table loaded anew, then a part that replaces some of its rows."""
+    from loomgrain.sources.state import StateStore
+
+    o = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("k"))
+    store = StateStore(spark, Scratch(spark, "state").path("store"))
+    store.replace("verdict", o.select("id", F.lit(0).alias("judged")))
+    store.append("verdict", o.where("k % 3 = 0").select("id", F.lit(1).alias("judged")))
+    return store.read("verdict")
+
+
 def markup_clean(spark, d):
     c = text.clean_markup(F.col("html"))
     return _read(spark, d, "pages").select("page_id", F.length(c).cast("long").alias("n_chars"), F.md5(c).alias("digest"))
@@ -424,7 +435,7 @@ def stream_counts(spark, d):
 
 _QUERIES = [
     select_semi_join, facet_sets, facet_argmax, strata_counts, allocate_floor, allocate_overshoot, stratified_sample, select_papers,
-    type_selection, resume_antijoin, missing_path_inner, left_default, state_upsert, markup_clean, title_body_extract, section_excerpt,
+    type_selection, resume_antijoin, missing_path_inner, left_default, state_upsert, state_store, markup_clean, title_body_extract, section_excerpt,
     context_build, span_grounding, ellipsis_stitch, number_grounding, pair_guard, guard_reasons, drop_reason_topk, kept_by_type,
     status_counts, export_chat, json_extract_tolerant, json_objects_all, generation_parse, judge_verdicts, generation_prompts,
     model_stub_batch, classify_batch, usage_totals, chat_first_turns, sft_dedup, sft_split, normalize_tokens, token_f1, exact_match, weighted_perplexity,

@@ -181,6 +181,7 @@ SQL = {
     "left_default": "select d.doc_id, coalesce(toxic, -1)::int as toxic from documents d left join labels l on d.doc_id = l.doc_id",
     "state_upsert": """select o_custkey, o_orderkey, o_totalprice from orders
 qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1""",
+    "state_store": "select o_orderkey::varchar as id, case when o_orderkey % 3 = 0 then 1 else 0 end::int as judged from orders",
     "markup_clean": f"select page_id, length(c)::bigint as n_chars, md5(c) as digest from (select page_id, {_clean('html')} as c from pages)",
     "title_body_extract": f"""select page_id, {_clean(_first("html", "title"))} as title, body is not null as has_body, length(coalesce(body, html))::bigint as body_chars
 from (select page_id, html, {_first("html", "body", chr(92) + "b")} as body from pages)""",

@@ -116,3 +116,16 @@ def test_step_budget():
     assert blocks.step_budget(100, 32, 2, 0.5) == 16
     assert blocks.step_budget(100, 32, 2, 0.5, has_replay=False) == 8
     assert blocks.step_budget(100, 32, 2, 0.5, max_steps=20) == 20
+
+
+def test_stratified_sample_ranks_only_around_the_cut(spark):
+    rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 5 < 4, "big").otherwise("small").alias("k"))
+    allocation = spark.createDataFrame([("big", 1500), ("small", 4000), ("none", 3)], "k string, alloc long")
+    sample = selection.stratified_sample(rows, allocation, ["k"], "id", 3)
+    got = {k: {r.id for r in sample.where(F.col("k") == k).collect()} for k in ("big", "small")}
+    order = sorted((r.o, r.id) for r in rows.where("k = 'big'").select("id", selection.keyed_order(3, F.col("id")).alias("o")).collect())
+    assert got["big"] == {i for _, i in order[:1500]} and len(got["small"]) == 1000
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert all("__p" in line or "sum(" in line for line in plan.splitlines() if "Window [" in line)
+    none = selection.stratified_sample(rows, allocation.withColumn("alloc", F.lit(0).cast("long")), ["k"], "id", 3)
+    assert none.count() == 0
