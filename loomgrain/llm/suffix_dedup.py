@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgrain.llm.memory import tidy
+from loomgrain.llm.memory import give_back, tidy
 from loomgrain.session import Scratch
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -210,9 +210,10 @@ class Chunk:
         o = np.lexsort((content, self.anchor))
         new = np.ones(len(o), bool)
         new[1:] = (self.anchor[o[1:]] != self.anchor[o[:-1]]) | (content[o[1:]] != content[o[:-1]])
-        lows, highs, raw = self.lo[o].tolist(), self.hi[o].tolist(), self.raw
-        for i in np.nonzero(~new)[0].tolist():
-            new[i] = raw[lows[i] : highs[i]] != raw[lows[i - 1] : highs[i - 1]]
+        # equal hashes are not trusted: each is compared with the one before it
+        same = np.nonzero(~new)[0]
+        pairs = (x[o[at]].tolist() for at in (same, same - 1) for x in (self.lo, self.hi))
+        new[same] = [self.raw[a:b] != self.raw[c:d] for a, b, c, d in zip(*pairs, strict=True)]
         #: The number of each stretch's bytes, and for each number its first stretch, which is that of the smallest doc_id.
         self.number = np.empty(len(o), np.int64)
         self.number[o] = np.cumsum(new) - 1
@@ -235,6 +236,7 @@ def _report(length: int, q: int) -> Callable:
         at = np.nonzero(np.append(True, h[1:] != h[:-1]))[0] if len(h) else np.zeros(0, np.int64)
         many = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
         chunk = pdf["chunk"].iloc[0] if len(pdf) else 0
+        give_back()
         return pd.DataFrame({"chunk": chunk, "anchor": h[at].view(np.int64), "many": many})
 
     return run
@@ -258,6 +260,7 @@ def _send(length: int, q: int) -> Callable:
         at = c.first[number]
         parts = [c.raw[x:y] for x, y in zip(c.lo[at].tolist(), c.hi[at].tolist(), strict=True)]
         chunk = pdf["chunk"].iloc[0] if len(pdf) else 0
+        give_back()
         return pd.DataFrame({"anchor": c.anchor[at].view(np.int64), "bytes": parts, "doc": c.ids[c.row[at]], "chunk": chunk, "number": number})
 
     return run
@@ -394,6 +397,7 @@ def _mark(length: int, q: int, carry: list[str], whole: bool) -> Callable:
             n_bytes[i] = len(docs["text"].iloc[i].encode())
             spans[i], kept[i] = np.array([0, n_bytes[i]]), b""
         kept = [None if t is None else k for t, k in zip(docs["text"], kept, strict=True)]
+        give_back()
         carried = {n: docs[n].to_numpy() for n in carry}
         return pd.DataFrame({"doc_id": ids, **carried, "n_bytes": n_bytes, "spans": spans, "kept": kept})
 
