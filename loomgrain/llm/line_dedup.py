@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgrain.session import Scratch
+
 
 def _lines(text: str = "text") -> Column:
     return F.split(F.col(text), "\n")
@@ -45,6 +47,8 @@ def later_lines(docs: DataFrame, width: int = 3) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
+    # written, so that the join deals both sides out and adaptive execution can split a window that is everywhere
+    first = Scratch(docs.sparkSession, "lines").save(first, "first")
     later = windows.join(first, ["h1", "h2"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")) & (F.col("line") == F.col("first.line")))
     )
