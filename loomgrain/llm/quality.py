@@ -37,10 +37,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, WORD_GAPS[1:], "     "), " "), "")
 
 
-def _triple(i: Column) -> Column:
+def _triple(i: Column) -> list[Column]:
     """128 bits of the three words from a place on."""
-    words = [F.get("w", i + k) for k in range(3)]
-    return F.struct(F.xxhash64(*words).alias("a"), F.xxhash64(F.lit(1), *words).alias("b"))
+    words = [F.col("w")[i + k] for k in range(3)]
+    return [F.xxhash64(*words).alias("a"), F.xxhash64(F.lit(1), *words).alias("b")]
+
+
+def _equal(x: Column, y: Column) -> Column:
+    return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]), F.lit(False))
 
 
 def own_languages(docs: DataFrame, most: int) -> list[str]:
@@ -76,7 +80,7 @@ def document_features(docs: DataFrame, languages: list[str], lists: dict[str, li
     )
     hashed = F.transform(
         F.sequence(F.lit(0), F.size("w") - 3),
-        lambda i: F.struct(_triple(i).alias("h"), i.alias("i")),
+        lambda i: F.struct(*_triple(i), i.alias("i")),
     )
     pooled = sorted({w for ws in lists.values() for w in ws})
     known = F.create_map(*[x for lang, ws in sorted(lists.items()) for x in (F.lit(lang), F.array(*map(F.lit, ws)))])
@@ -96,8 +100,7 @@ def document_features(docs: DataFrame, languages: list[str], lists: dict[str, li
         F.transform(
             F.filter(
                 "s",
-                lambda x, j: F.coalesce(F.get("s", j - 1)["h"] == x["h"], F.lit(False))
-                | F.coalesce(F.get("s", j + 1)["h"] == x["h"], F.lit(False)),
+                lambda x, j: _equal(F.get("s", j - 1), x) | _equal(F.get("s", j + 1), x),
             ),
             lambda x: x["i"],
         ).alias("d"),
