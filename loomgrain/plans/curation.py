@@ -134,11 +134,13 @@ class Curation:
     def stats(self) -> DataFrame:
         return report.pair_status(self.state.pairs())
 
-    def advance(self, marks: set[str], hours: float = 4.0) -> str | None:
+    def advance(self, marks: set[str] | None = None, hours: float = 4.0) -> str | None:
         """Run the stage that the state calls for, model stages until the time is up; returns it, or None when all is done.
 
-        marks has the finished stages and gains those that this call finishes; keeping it between calls is the caller's.
+        marks has the finished stages and gains those that this call finishes; without it they are kept in the state folder.
         """
+        stored = marks is None
+        marks = self.state.marks() if stored else marks
         told = self.state.pairs().agg(report.count_where("kept = 1").alias("kept"), report.count_where("judged <> -1").alias("judged")).first()
         contexts = self.contexts().count()
 
@@ -151,6 +153,8 @@ class Curation:
         elif stage:
             getattr(self, stage)()
             marks.add(stage)
+            if stored:
+                self.state.mark(stage)
         return stage
 
     def run(self, stage: str) -> None:
@@ -165,7 +169,8 @@ def main(argv: list[str] | None = None) -> None:
 
     p = argparse.ArgumentParser(description="Run stages of the curation pipeline.")
     p.add_argument("--config", required=True)
-    p.add_argument("--stage", default="all", choices=[*report.STAGES, "all", "stats"])
+    p.add_argument("--stage", default="all", choices=[*report.STAGES, "all", "stats", "next"], help="next: whatever the state calls for")
+    p.add_argument("--hours", type=float, default=4.0, help="how long a model stage may take with --stage next")
     for name in ("store", "source-db", "state-db", "export-file", "base-url", "model"):
         p.add_argument(f"--{name}")
     p.add_argument("--concurrency", type=int)
@@ -176,6 +181,8 @@ def main(argv: list[str] | None = None) -> None:
     curation = Curation(build_session("curation"), config, progress_file=a["progress_file"])
     if a["stage"] == "stats":
         curation.stats().show(truncate=False)
+    elif a["stage"] == "next":
+        print(curation.advance(hours=a["hours"]) or "done")
     else:
         curation.run(a["stage"])
 

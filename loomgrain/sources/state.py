@@ -64,6 +64,15 @@ class StateStore:
         rows = self.spark.read.schema(f"{schema}, v int").option("basePath", f"{self.root}/{table}").parquet(*paths)
         return latest(rows, KEYS[table], "v").drop("v")
 
+    def mark(self, stage: str) -> None:
+        """Note that a stage is finished, as an empty file beside the tables."""
+        p, fs = self._fs(f"{self.root}/_finished/{stage}")
+        fs.create(p, True).close()
+
+    def marks(self) -> set[str]:
+        p, fs = self._fs(f"{self.root}/_finished")
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
     def pairs(self) -> DataFrame:
         """Pairs with ``judged``: -1 unjudged, 0 rejected, 1 supported."""
         told = self.read("verdict")

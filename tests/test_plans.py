@@ -192,6 +192,7 @@ def test_curation_resumes(spark, tmp_path):
         c.run("nothing")
     marks = {"sections"}
     assert [c.advance(marks) for _ in range(3)] == ["guard", "export", None] and marks == {"sections", "guard", "export"}
+    assert [c.advance() for _ in range(4)] == ["sections", "guard", "export", None] and c.state.marks() == marks
 
 
 def test_progress(tmp_path):
