@@ -181,16 +181,21 @@ _CONTEXT_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(letters: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes, never 0, of all runs of n characters in an array of code points."""
-    m = max(0, len(letters) - n + 1)
-    h = np.full(m, n, np.uint64)
-    for k in range(n):
-        h = (h ^ letters[k : k + m]) * _MIX
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes, never 0, of code points by column."""
+    h = np.full(len(columns[0]), len(columns), np.uint64)
+    for x in columns:
+        h = (h ^ x) * _MIX
         h ^= h >> np.uint64(29)
     return np.maximum(h * _MIX, np.uint64(1))
 
 
+def _hashes(letters: np.ndarray, n: int) -> np.ndarray:
+    """The hashes of all runs of n characters in an array of code points."""
+    m = max(0, len(letters) - n + 1)
+    return _mixed([letters[k : k + m] for k in range(n)])
+
+
 def _letters(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
@@ -219,7 +224,9 @@ class Bounds:
     def _summed(rows: DataFrame, bits: int) -> pa.Table:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                h = np.array([_hashes(_letters(k), len(k))[0] for k in b.column(0).to_pylist()], np.uint64)
+                if not b.num_rows:
+                    continue
+                h = _mixed(list(_letters("".join(b.column(0).to_pylist())).reshape(b.num_rows, -1).T))
                 at = (h >> np.uint64(64 - bits)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(h.view(np.int64)), b.column(1)], names=["bucket", "h", "units"])
 
