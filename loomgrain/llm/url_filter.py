@@ -11,7 +11,8 @@ The score of any other URL is its log-likelihood under the rejected model less t
 length; it is blocked above a cut calibrated on a held-out fifth of the decided URLs: the lowest score that at most
 ``max_false_block`` of the accepted ones among them exceed. So where masked URLs say nothing about the verdict, few are blocked.
 
-All n-grams stay a table. Each distinct n-gram that a text asks for meets the table's rows for its own endings and their
+All n-grams stay a table, and tables that grow with the corpus are joined by shuffle (their files pack so well that their size
+would mislead the planner into a broadcast). Each distinct n-gram that a text asks for meets the table's rows for its own endings and their
 contexts by two equi-joins; only order 0's totals and a histogram of held-out scores reach the driver.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule with a host, scores
@@ -121,11 +122,11 @@ def gram_ratios(asked: DataFrame, counts: DataFrame, scratch: Scratch) -> DataFr
     # each ending meets its context once, so that a context is asked for no more often than it has next characters
     known = ends.select("end").distinct().withColumn("context", F.expr("left(end, length(end) - 1)"))
     facts = [*_CLASSES, *contexts.columns[1:]]
-    known = known.join(counts.withColumnRenamed("gram", "end"), "end", "left")
+    known = known.join(counts.withColumnRenamed("gram", "end").hint("merge"), "end", "left")
     first = known.where("context = ''").withColumns({n: F.lit(letters[n] or 0) for n in contexts.columns[1:]})
-    rest = known.where("context <> ''").join(contexts, "context", "left")
+    rest = known.where("context <> ''").join(contexts.hint("merge"), "context", "left")
     told = scratch.save(first.select("end", *facts).unionByName(rest.select("end", *facts)), "facts")
-    levels = ends.join(told, "end").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct(F.length("end").alias("n"), *facts))).alias("levels"))
+    levels = ends.join(told.hint("merge"), "end").groupBy("gram").agg(F.sort_array(F.collect_list(F.struct(F.length("end").alias("n"), *facts))).alias("levels"))
 
     def chance(c: str) -> Column:
         def step(q: Column, x: Column) -> Column:
@@ -141,7 +142,7 @@ def score_texts(texts: DataFrame, counts: DataFrame, order: int, scratch: Scratc
     """(text, score) of distinct texts with characters: length-normalised log-likelihood of rejected less accepted."""
     grams = texts.select("text", F.explode(_cut(F.col("text"), order, False)).alias("gram"))
     ratios = scratch.save(gram_ratios(grams.select("gram").distinct(), counts, scratch), "ratios")
-    scored = grams.join(ratios, "gram").groupBy("text").agg(F.sum("part").alias("part"), F.count(F.lit(1)).alias("n"))
+    scored = grams.join(ratios.hint("merge"), "gram").groupBy("text").agg(F.sum("part").alias("part"), F.count(F.lit(1)).alias("n"))
     return scored.select("text", (F.col("part") / _UNIT / F.col("n")).alias("score"))
 
 
@@ -183,7 +184,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], order: int = 5, max_false_b
     cut = calibrated_cut(good, max_false_block)
     scratch.keep_only(scores)
     told = scores.select(F.col("text").alias("__text"), F.col("score").alias("__score"))
-    out = known.join(told, F.when(open_, text) == F.col("__text"), "left").drop("__text")
+    out = known.join(told.hint("merge"), F.when(open_, text) == F.col("__text"), "left").drop("__text")
     blocked = F.coalesce(F.col("__score") > cut, F.lit(False))
     out = out.withColumns(
         {"score": F.when(open_, F.coalesce("__score", F.lit(0.0))), "verdict": F.coalesce("verdict", F.when(blocked, "block").otherwise("allow"))}
