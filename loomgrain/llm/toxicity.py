@@ -176,7 +176,7 @@ class KneserNey:
         return met.groupBy("word").agg(F.sum(F.col("base") + F.coalesce("more", F.lit(0))).alias("units"))
 
 
-_BITS = 22
+_BITS = 21
 _CONTEXT_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
