@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType
 
+#: Characters that the library gets at once. It holds some hundred bytes a token until a call's results are freed.
+PORTION = 250_000
+
 
 @functools.lru_cache(maxsize=2)
 def _loaded(path: str):
@@ -21,13 +26,35 @@ def _loaded(path: str):
     return t
 
 
-def library_ids(text: Column, path: str) -> Column:
-    """Ids by a tokenizers JSON file, without special tokens; the file is loaded once in each worker."""
+def _portions(part: pa.Array) -> Iterator[list[str]]:
+    """A batch's texts in order, null as empty: lists of whole texts that reach PORTION characters with their last one."""
+    texts, size = [], 0
+    for at in range(0, len(part), 64):
+        for t in part.slice(at, 64).to_pylist():
+            texts.append(t or "")
+            size += len(texts[-1])
+            if size >= PORTION:
+                yield texts
+                texts, size = [], 0
+    if texts:
+        yield texts
 
-    @pandas_udf(ArrayType(IntegerType()))
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            made = _loaded(path).encode_batch(["" if t is None else t for t in s], add_special_tokens=False)
-            yield pd.Series([e.ids for e in made], dtype=object)
+
+def library_ids(text: Column, path: str) -> Column:
+    """Ids by a tokenizers JSON file, without special tokens; the file is loaded once in each worker.
+
+    Whole texts are encoded, null as empty. A worker holds the results of one portion, whatever the batch's size, and
+    uses one thread, as a task has one core (unless TOKENIZERS_PARALLELISM is set).
+    """
+
+    @arrow_udf(ArrayType(IntegerType()))
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        encode = _loaded(path).encode_batch_fast
+        for part in parts:
+            for texts in _portions(part):
+                ids = [np.array(e.ids, np.int32) for e in encode(texts, add_special_tokens=False)]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
     return run(text)
