@@ -1,13 +1,15 @@
 import os
+import random
 import threading
 from collections import Counter
 
 import psutil
 import public_tokenizers
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
 
 from loomgrain import catalog
+from loomgrain.functions import tokenize
 from loomgrain.functions.tokenize import PORTION, library_ids
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,3 +78,46 @@ def test_library_ids_odd_texts(spark):
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert Counter((r.i, tuple(r.ids)) for r in found) == wanted
     assert df.where("i < 0").select(library_ids(F.col("t"), PATH)).collect() == []
+
+
+def test_library_ids_long_text_memory_bounded(spark):
+    """One text of 5 million characters: its tokens' results must not be held all at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    text = " ".join(r.text for r in docs * 3)[:5_000_000]
+    df = spark.createDataFrame([(text,)], "t string").coalesce(1)
+    with PeakRise() as rise:
+        found = df.select(F.size(library_ids(F.col("t"), PATH)).alias("n")).first().n
+    assert found == len(plain_ids([text])[0])
+    assert rise.mb < 400
+
+
+def test_cut_texts_equal_whole_ones(monkeypatch):
+    """Cuts after every few characters, among all kinds of white space, marks and special tokens, change no id."""
+    assert tokenize._cuttable(PATH)
+    parts = ["a", "Bc", "don't", "'s", " 's", "12", " ", " ", "  ", "\t", "\n", " \n", "\r", "\x1c", "\x85"]
+    parts += ["\xa0", "\u2028", "\u3000", "\u200b", "\u180e", "é", "漢", "🙂", ".", "--", "<|endoftext|>", "<|end", "\x00"]
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(3000)]
+    wanted = plain_ids(texts)
+    for size in (1, 2, 9):
+        monkeypatch.setattr(tokenize, "PORTION", size)
+        assert [tokenize._ids(PATH, [t])[0].tolist() for t in texts] == wanted
+        assert all("".join(tokenize._pieces(t)) == t for t in texts)
+    assert sum(len(list(tokenize._pieces(t))) > 1 for t in texts) > 1000
+
+
+def test_other_files_are_not_cut(tmp_path):
+    """A file whose words, normalizer or added tokens may go over spaces keeps texts whole."""
+    changes = [
+        lambda t: setattr(t, "normalizer", normalizers.Lowercase()),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=True)),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.Metaspace()),
+        lambda t: t.add_tokens([AddedToken("of the", normalized=False)]),
+        lambda t: t.add_special_tokens([AddedToken("<x>", rstrip=True)]),
+    ]
+    for k, change in enumerate(changes):
+        t = Tokenizer.from_file(PATH)
+        change(t)
+        t.save(path := f"{tmp_path}/{k}.json")
+        assert not tokenize._cuttable(path)
